@@ -7,9 +7,12 @@ from dialogue_engine import constants as C
 from dialogue_engine import schemas
 from dialogue_engine.functions import chat
 from dialogue_engine.functions.text import strip_unicode, text_or_empty
-from dialogue_engine.operators.positions import SPAN, span_of
+from dialogue_engine.operators.positions import span_of
 from dialogue_engine.scratch import written
 
+# Turns per block. Few conversations are longer, so few need what the next function does.
+BLOCK_TURNS = 256
+
 
 def _last(entries: Column, count: int | None) -> Column:
     if count is None:
@@ -45,7 +48,7 @@ def chat_context(
     turns: DataFrame,
     system_prompt: str = C.SYSTEM_PROMPT,
     last_k: int | None = None,
-    span: int = SPAN,
+    span: int = BLOCK_TURNS,
 ) -> DataFrame:
     """For each user turn: system message, the earlier turns, and the message itself.
 

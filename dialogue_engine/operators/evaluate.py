@@ -314,7 +314,7 @@ def comparison_table(
     The row limit applies in each task before the shuffle.
     """
     order = Window.partitionBy("run_id").orderBy("prompt_id")
-    first = results.withColumn("shown", F.row_number().over(order)).where(F.col("shown") <= rows)
+    first = results.withColumn("shown", F.row_number().over(order).cast("long")).where(F.col("shown") <= rows)
     totals = results.groupBy("run_id").agg(F.count(F.lit(1)).alias("total"))
     cells = [
         excerpt(F.col(schemas.OUTPUT_COLUMNS[m]), C.OUTPUT_CELL_CHARS).alias(

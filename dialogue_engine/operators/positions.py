@@ -6,13 +6,12 @@ the number of rows in the earlier buckets is added from a table with one row per
 """
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SPAN = 4096
+SPAN = 65_536
+KEY = "__key"
 
 
 def span_of(col: Column | str, span: int = SPAN) -> Column:
@@ -22,12 +21,15 @@ def span_of(col: Column | str, span: int = SPAN) -> Column:
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
-    """Equi-join in which a null key meets a null key; key columns are kept once."""
-    renamed = right.select(
-        *(F.col(k).alias(f"__{k}") for k in keys), *(c for c in right.columns if c not in keys)
-    )
-    same = reduce(and_, (left[k].eqNullSafe(renamed[f"__{k}"]) for k in keys))
-    return left.join(renamed, same, how).drop(*(f"__{k}" for k in keys))
+    """Equi-join in which a null key meets a null key; key columns are kept once.
+
+    The keys are compared as one struct, which is never null itself. Unlike ``<=>`` this keeps a
+    plain column as join key, so a side that is already partitioned by it is not shuffled again.
+    """
+    keyed = left if KEY in left.columns else left.withColumn(KEY, F.struct(*keys))
+    others = [c for c in right.columns if c not in keys]
+    found = right.select(F.struct(*keys).alias(KEY), *others)
+    return keyed.join(found, KEY, how).drop(KEY)
 
 
 def positions(
@@ -60,8 +62,11 @@ def positions(
         *(merge[how](out).over(group).alias(out) for out, (_, how) in totals.items()),
     )
 
-    inside = Window.partitionBy(*keys, "__bucket").orderBy(*order)
-    numbered = keyed.withColumn("__inside", F.row_number().over(inside) - 1)
+    # window and join are partitioned by the same column: the rows are shuffled once
+    inside = Window.partitionBy(KEY).orderBy(*order)
+    numbered = keyed.withColumn(KEY, F.struct(*keys, "__bucket")).withColumn(
+        "__inside", F.row_number().over(inside) - 1
+    )
     return (
         null_safe_join(numbered, offsets, [*keys, "__bucket"], "inner")
         .withColumn(name, (F.col("__before") + F.col("__inside")).cast("long"))

@@ -41,9 +41,9 @@ def report(spark: SparkSession, evaluations: str, run_stats: str | None = None)
     """Tables for all evaluation files under a path. A missing path fails here."""
     files = read_evaluations(spark, evaluations)
     results = load_eval_results(files)
-    computed = metrics_record(evaluate_results(results), files.select("run_id"))
-    records = metrics_or_recompute(load_eval_metrics(files), computed)
     configs = load_eval_config(files)
+    computed = metrics_record(evaluate_results(results), configs.select("run_id"))
+    records = metrics_or_recompute(load_eval_metrics(files), computed)
     setup = configs.join(
         invalid_comparison(result_mode(results), configs).select("run_id", "mode", "invalid"),
         "run_id",

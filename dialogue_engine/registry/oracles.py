@@ -342,9 +342,9 @@ SELECT o_orderkey, replace(replace(replace(text, '{{{{Order Number}}}}', o_order
   '{{{{Customer}}}}', c_name), '{{{{Status}}}}', o_orderstatus) AS text
 FROM tpl JOIN customer ON o_custkey = c_custkey""",
     "held_out": f"""WITH prompts AS (
-  SELECT item_id AS prompt_id, text AS prompt FROM benchmark
-  UNION ALL SELECT doc_id + 1000000000, ' ' || replace(text, ' ', chr(10) || ' ') || chr(9) FROM documents
-  UNION ALL SELECT doc_id + 2000000000, text || ' new' FROM documents),
+  SELECT -1 - item_id AS prompt_id, text AS prompt FROM benchmark
+  UNION ALL SELECT doc_id, CASE WHEN doc_id % 2 = 0
+    THEN ' ' || replace(text, ' ', chr(10) || ' ') || chr(9) ELSE text || ' new' END FROM documents),
 known AS (SELECT DISTINCT {normal('text')} AS t FROM documents)
 SELECT prompt_id, md5(prompt) AS prompt FROM prompts p
 WHERE NOT EXISTS (SELECT 1 FROM known WHERE t = {normal('p.prompt')})""",

@@ -265,7 +265,7 @@ def in_scope(spark, sf_dir):
 
 @query
 def dedupe(spark, sf_dir):
-    kept = prepare.dedupe(views.cases(spark, sf_dir), ["flags", "category"])
+    kept = prepare.dedupe(views.flagged_cases(spark, sf_dir), ["flags", "category"])
     return kept.select("case_id", "flags", "category", "intent")
 
 
@@ -275,7 +275,7 @@ def fallback_union(spark, sf_dir):
     extra = table(spark, sf_dir, "benchmark").select(
         (-1 - F.col("item_id")).alias("case_id"), F.col("text").alias("instruction")
     )
-    return prepare.add_fallback_examples(views.cases(spark, sf_dir), extra).select(
+    return prepare.add_fallback_examples(views.flagged_cases(spark, sf_dir), extra).select(
         "case_id",
         "instruction",
         F.md5("response").alias("response"),
@@ -478,22 +478,17 @@ def placeholder_fill(spark, sf_dir):
 
 @query
 def held_out(spark, sf_dir):
-    """Benchmark items, and every document once more in capitals with other blanks, against the
+    """Benchmark items, and every document with other blanks or another ending, against the
     documents."""
     documents = table(spark, sf_dir, "documents")
-    varied = F.concat(F.lit(" "), F.regexp_replace("text", " ", "\n "), F.lit("\t"))
+    varied = F.when(
+        F.col("doc_id") % 2 == 0,
+        F.concat(F.lit(" "), F.replace("text", F.lit(" "), F.lit("\n ")), F.lit("\t")),
+    ).otherwise(F.concat("text", F.lit(" new")))
     prompts = (
         table(spark, sf_dir, "benchmark")
-        .select(F.col("item_id").alias("prompt_id"), F.col("text").alias("prompt"))
-        .unionByName(
-            documents.select((F.col("doc_id") + 1_000_000_000).alias("prompt_id"), varied.alias("prompt"))
-        )
-        .unionByName(
-            documents.select(
-                (F.col("doc_id") + 2_000_000_000).alias("prompt_id"),
-                F.concat("text", F.lit(" new")).alias("prompt"),
-            )
-        )
+        .select((-1 - F.col("item_id")).alias("prompt_id"), F.col("text").alias("prompt"))
+        .unionByName(documents.select(F.col("doc_id").alias("prompt_id"), varied.alias("prompt")))
     )
     kept = heldout.held_out(prompts, documents, instruction="text")
     return kept.select("prompt_id", F.md5("prompt").alias("prompt"))
@@ -544,7 +539,7 @@ def cost_proxy(spark, sf_dir):
 
 @query
 def distribution(spark, sf_dir):
-    return profile.distribution(views.cases(spark, sf_dir))
+    return profile.distribution(views.flagged_cases(spark, sf_dir))
 
 
 @query
@@ -564,7 +559,7 @@ def truncation_monitor(spark, sf_dir):
 
 @query
 def table_profile(spark, sf_dir):
-    return profile.table_profile(views.cases(spark, sf_dir))
+    return profile.table_profile(views.flagged_cases(spark, sf_dir))
 
 
 @query

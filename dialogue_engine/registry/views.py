@@ -17,22 +17,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def cases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as support cases; flags only where a document has a label."""
-    labels = table(spark, sf_dir, "labels").select(
-        "doc_id", F.concat_ws("-", "quality", "toxic").alias("flags")
+    """Documents as support cases."""
+    return table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("case_id"),
+        F.concat_ws(" ", "lang", "source", "n_chars").alias("instruction"),
+        F.col("text").alias("response"),
+        F.col("lang").alias("category"),
+        F.col("source").alias("intent"),
     )
-    return (
-        table(spark, sf_dir, "documents")
-        .join(labels, "doc_id", "left")
-        .select(
-            F.col("doc_id").alias("case_id"),
-            F.concat_ws(" ", "lang", "source", "n_chars").alias("instruction"),
-            F.col("text").alias("response"),
-            F.col("lang").alias("category"),
-            F.col("source").alias("intent"),
-            "flags",
-        )
+
+
+def flagged_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cases with flags where the document has a label, null elsewhere."""
+    labels = table(spark, sf_dir, "labels").select(
+        F.col("doc_id").alias("case_id"), F.concat_ws("-", "quality", "toxic").alias("flags")
     )
+    return cases(spark, sf_dir).join(labels, "case_id", "left")
 
 
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:

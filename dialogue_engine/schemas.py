@@ -1,5 +1,7 @@
 """Explicit schemas: nothing is inferred, so a column that is null everywhere keeps its type."""
 
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _S, _L, _D, _B = T.StringType(), T.LongType(), T.DoubleType(), T.BooleanType()
@@ -78,3 +80,10 @@ OUTPUT_COLUMNS = {
     "fine_tuned": "fine_tuned_output",
     "single": "ollama_output",
 }
+
+
+def is_broken(list_column: str) -> Column:
+    """Whether the record could not be read. Spark refuses to read nothing but the corrupt text,
+    so the condition names a second column, which does not change it."""
+    entries = F.col(list_column)
+    return F.col("_corrupt_record").isNotNull() & (entries.isNull() | (F.size(entries) >= 0))

@@ -10,8 +10,8 @@ def read_evaluations(spark: SparkSession, path: str) -> DataFrame:
     """Evaluation JSON of any number of runs, one file per run, in one scan.
 
     Both shapes are read: an object with results, metrics and configuration, and a bare list of
-    results. A file that cannot be read is a row with ``_corrupt_record``. ``run_id`` is the
-    path of the file. The functions below take the result apart.
+    results. A file that cannot be read is a row with ``broken``. ``run_id`` is the path of the
+    file. The functions below take the result apart.
     """
     return (
         spark.read.schema(schemas.EVALUATION_FILE)
@@ -21,12 +21,14 @@ def read_evaluations(spark: SparkSession, path: str) -> DataFrame:
             F.col("_metadata.file_path").alias("run_id"),
             F.monotonically_increasing_id().alias("row"),
             "*",
+            schemas.is_broken("results").alias("broken"),
         )
+        .drop("_corrupt_record")
     )
 
 
 def _readable(files: DataFrame) -> DataFrame:
-    return files.where(F.col("_corrupt_record").isNull())
+    return files.where(~F.col("broken"))
 
 
 def _is_list_entry(files: DataFrame):
@@ -38,7 +40,8 @@ def _is_list_entry(files: DataFrame):
 
 
 def unreadable_files(files: DataFrame) -> DataFrame:
-    return files.where(F.col("_corrupt_record").isNotNull()).select("run_id")
+    """Broken files, and how many results could be read before the fault."""
+    return files.where("broken").select("run_id", F.coalesce(F.size("results"), F.lit(0)).alias("entries_read"))
 
 
 def load_eval_results(files: DataFrame) -> DataFrame:
@@ -65,7 +68,7 @@ def load_eval_results(files: DataFrame) -> DataFrame:
 
 def load_eval_metrics(files: DataFrame) -> DataFrame:
     """Stored metrics, one row per run that has them."""
-    return files.where(F.col("metrics").isNotNull()).select("run_id", "metrics.*")
+    return _readable(files).where(F.col("metrics").isNotNull()).select("run_id", "metrics.*")
 
 
 def load_eval_config(files: DataFrame) -> DataFrame:

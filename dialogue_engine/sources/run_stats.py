@@ -13,7 +13,7 @@ def load_run_stats(spark: SparkSession, path: str) -> DataFrame:
         .option("multiLine", True)
         .json(path)
         .select(F.col("_metadata.file_path").alias("run_id"), "*")
-        .where(F.col("_corrupt_record").isNull())
+        .where(~schemas.is_broken("log_history"))
         .drop("_corrupt_record")
     )
 
