@@ -30,19 +30,6 @@ def prompt_messages(prompts: DataFrame, system_prompt: str = C.SYSTEM_PROMPT) ->
     return prompts.withColumn("messages", entries.cast(schemas.MESSAGES))
 
 
-def _reply_or_error(run: BatchFunction, conversations: list[list[dict]]) -> list[tuple]:
-    """One batch call; if it fails, one call per row, so that an error stays with its row."""
-    try:
-        replies = run(conversations)
-        if len(replies) != len(conversations):
-            raise ValueError(f"{len(replies)} replies for {len(conversations)} requests")
-        return [(reply, None) for reply in replies]
-    except Exception as error:
-        if len(conversations) == 1:
-            return [(None, f"{type(error).__name__}: {error}")]
-        return [_reply_or_error(run, [one])[0] for one in conversations]
-
-
 def batch_generate(
     requests: DataFrame,
     load: Mapping[str, Callable[[], BatchFunction]],
@@ -53,6 +40,8 @@ def batch_generate(
     ``load`` has a function per model that loads it; each task loads a model once, when the
     first row for it arrives, and then sends whole Arrow batches. Few rows with slow models need
     ``partitions`` to spread. Write the result before using it twice, or the models run twice.
+
+    If a batch fails it is sent again row by row, so that an error stays with its row.
     """
     if partitions is not None:
         requests = requests.repartition(partitions)
@@ -61,6 +50,18 @@ def batch_generate(
     fields = [*requests.schema.fields]
     fields += [T.StructField(name, T.StringType(), True) for name in ("output", "error")]
 
+    # Nested, so that Spark ships it whole and executors need not have this package.
+    def ask(model: BatchFunction, conversations: list[list[dict]]) -> list[tuple]:
+        try:
+            replies = model(conversations)
+            if len(replies) != len(conversations):
+                raise ValueError(f"{len(replies)} replies for {len(conversations)} requests")
+            return [(reply, None) for reply in replies]
+        except Exception as error:
+            if len(conversations) == 1:
+                return [(None, f"{type(error).__name__}: {error}")]
+            return [ask(model, [one])[0] for one in conversations]
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ready: dict[str, BatchFunction] = {}
         for batch in batches:
@@ -72,7 +73,7 @@ def batch_generate(
                     [{"role": m["role"], "content": m["content"]} for m in entries]
                     for entries in batch.loc[rows, "messages"]
                 ]
-                done = _reply_or_error(ready[model], conversations)
+                done = ask(ready[model], conversations)
                 batch.loc[rows, "output"] = [reply for reply, _ in done]
                 batch.loc[rows, "error"] = [error for _, error in done]
             yield batch[[*columns, "output", "error"]]

@@ -1,0 +1,66 @@
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from dialogue_engine import constants as C
+from dialogue_engine import schemas
+from dialogue_engine.functions import chat
+from dialogue_engine.operators import prepare
+
+MARKS = {r: f"<|start_header_id|>{r}<|end_header_id|>\n\n" for r in C.CHAT_ROLES}
+
+
+def render(spark, entries, tail=False):
+    df = spark.createDataFrame([(entries,)], f"m {schemas.MESSAGES.simpleString()}")
+    return df.select(chat.render_chat(F.col("m"), tail)).first()[0]
+
+
+def expected(entries, tail=False):
+    out = ""
+    for role, content in entries:
+        if role in MARKS:
+            begin = "<|begin_of_text|>" if role == "system" else ""
+            out += f"{begin}{MARKS[role]}{content}<|eot_id|>"
+    return out + (MARKS["assistant"] if tail else "")
+
+
+@pytest.mark.parametrize(
+    "entries",
+    [
+        [("system", "s"), ("user", "u")],
+        [("user", "only")],
+        [("user", "a"), ("tool", "dropped"), ("assistant", "b")],
+        [],
+    ],
+)
+@pytest.mark.parametrize("tail", [False, True])
+def test_render(spark, entries, tail):
+    assert render(spark, entries, tail) == expected(entries, tail)
+
+
+def test_length_adds_up(spark):
+    entries = [("system", "one"), ("user", "two words"), ("assistant", "\U0001f600")]
+    parts = sum(len(render(spark, [e])) for e in entries)
+    assert len(render(spark, entries)) == parts
+
+
+def test_to_messages_and_explode(spark):
+    cases = spark.createDataFrame([(1, "q", "a", "c")], "case_id long, instruction string, response string, category string")
+    examples = prepare.to_messages(cases)
+    assert examples.columns == ["case_id", "messages"]
+    rows = prepare.explode_messages(examples).orderBy("position").collect()
+    assert [(r.position, r.role, r.content) for r in rows] == [
+        (0, "system", C.SYSTEM_PROMPT),
+        (1, "user", "q"),
+        (2, "assistant", "a"),
+    ]
+
+
+def test_request_json(spark):
+    df = spark.createDataFrame([(5,), (None,)], "n long").withColumn(
+        "m", F.array(chat.message("user", F.lit('say "hi"')))
+    )
+    bodies = [json.loads(r[0]) for r in df.select(chat.request_json(F.lit("m1"), F.col("m"), F.col("n"))).collect()]
+    base = {"model": "m1", "messages": [{"role": "user", "content": 'say "hi"'}], "stream": False}
+    assert bodies == [{**base, "options": {"num_predict": 5}}, base]

@@ -1,0 +1,105 @@
+import hashlib
+import math
+import random
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from dialogue_engine.operators import split
+
+
+def ordered(ids, seed=42):
+    return sorted(ids, key=lambda i: (hashlib.md5(f"{seed}:{i}".encode()).hexdigest(), i))
+
+
+def size(share, n):
+    return math.ceil(Decimal(str(share)) * n)
+
+
+def frame(spark, n, partitions=4):
+    return spark.range(n).withColumnRenamed("id", "case_id").repartition(partitions)
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 19, 20, 21, 1000])
+@pytest.mark.parametrize("share", [0.05, 0.07, 0.5])
+def test_random_split(spark, n, share):
+    flagged = split.random_split(frame(spark, n), share)
+    rows = flagged.collect()
+    assert len(rows) == n
+    assert {r.case_id for r in rows if r.is_eval} == set(ordered(range(n))[: size(share, n)])
+
+
+def test_split_does_not_depend_on_partitions_but_on_the_seed(spark):
+    def chosen(partitions, seed):
+        flagged = split.random_split(frame(spark, 500, partitions), 0.1, seed)
+        return {r.case_id for r in flagged.where("is_eval").collect()}
+
+    assert chosen(1, 42) == chosen(7, 42)
+    assert chosen(1, 42) != chosen(1, 43)
+
+
+def test_parts_are_disjoint_and_complete(spark):
+    df = frame(spark, 333)
+    train, evaluation = split.split_parts(split.random_split(df))
+    assert train.intersect(evaluation).count() == 0
+    assert sorted(r[0] for r in train.unionAll(evaluation).collect()) == list(range(333))
+
+
+def test_many_rows_in_one_prefix(spark, monkeypatch):
+    monkeypatch.setattr(split, "PREFIX_CHARS", 1)
+    rows = split.random_split(frame(spark, 2000), 0.3).where("is_eval").collect()
+    assert {r.case_id for r in rows} == set(ordered(range(2000))[:600])
+
+
+def test_approx(spark):
+    rows = split.random_split(frame(spark, 4000), 0.25, approx=True).where("is_eval").collect()
+    limit = int(0.25 * 2**32)
+    assert {r.case_id for r in rows} == {
+        i for i in range(4000) if int(hashlib.md5(f"42:{i}".encode()).hexdigest()[:8], 16) < limit
+    }
+
+
+def test_stratified_split(spark):
+    rng = random.Random(3)
+    strata = {i: rng.choice(["hot", "hot", "hot", "a", "b", None]) for i in range(1500)}
+    strata[1500] = "alone"
+    df = spark.createDataFrame(list(strata.items()), "case_id long, intent string")
+    rows = split.stratified_split(df, ["intent"], 0.05).collect()
+    assert len(rows) == len(strata)
+    for value in set(strata.values()):
+        members = [i for i, v in strata.items() if v == value]
+        expected = set(ordered(members)[: size(0.05, len(members))])
+        assert {r.case_id for r in rows if r.intent == value and r.is_eval} == expected
+
+
+def test_first_rows_both_ways(spark, monkeypatch):
+    df = frame(spark, 700)
+    top = {r[0] for r in split.first_rows(df, 120).collect()}
+    monkeypatch.setattr(split, "TOP_K_ROWS", 0)
+    assert {r[0] for r in split.first_rows(df, 120).collect()} == top == set(ordered(range(700))[:120])
+    assert split.first_rows(df, 5000).count() == 700
+
+
+def test_subset(spark):
+    train, evaluation = split.split_parts(split.random_split(frame(spark, 2000)))
+    some, few = split.subset(train, evaluation, 30)
+    order = ordered(range(2000))
+    assert {r[0] for r in some.collect()} == set(order[100:130])
+    assert {r[0] for r in few.collect()} == set(order[:50])
+
+
+def test_review_sample(spark):
+    assert {r[0] for r in split.review_sample(frame(spark, 100)).collect()} == set(ordered(range(100))[:30])
+
+
+def test_eval_coverage(spark):
+    df = spark.createDataFrame([(1, "a", True), (2, "a", False), (3, "b", False), (4, None, False), (5, None, True)],
+                               "case_id long, intent string, is_eval boolean")
+    train, evaluation = split.split_parts(df)
+    assert [r[0] for r in split.eval_coverage(train, evaluation).collect()] == ["b"]
+
+
+def test_split_has_no_sort_of_the_table(spark):
+    plan = split.random_split(frame(spark, 100, 1))._jdf.queryExecution().executedPlan().toString()
+    assert "Sort " not in plan and "Window" not in plan and F is not None
