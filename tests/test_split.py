@@ -4,7 +4,6 @@ import random
 from decimal import Decimal
 
 import pytest
-from pyspark.sql import functions as F
 
 from dialogue_engine.operators import split
 
@@ -102,4 +101,4 @@ def test_eval_coverage(spark):
 
 def test_split_has_no_sort_of_the_table(spark):
     plan = split.random_split(frame(spark, 100, 1))._jdf.queryExecution().executedPlan().toString()
-    assert "Sort " not in plan and "Window" not in plan and F is not None
+    assert "Sort " not in plan and "Window" not in plan
