@@ -108,7 +108,25 @@ def test_run_stats(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).first() == row
 
 
-def test_scratch_uses_the_folder_of_the_session(spark):
-    assert spark.conf.get("spark.checkpoint.dir", None) in (None, scratch_dir(spark))
+def test_scratch_table(spark):
     table = written(spark.range(5).withColumn("x", F.lit(None).cast("string")))
     assert table.count() == 5 and scratch_dir(spark) in table.inputFiles()[0]
+
+
+@pytest.mark.parametrize("folder, master", [("/shared", "yarn"), (None, "local[2]"), (None, "yarn")])
+def test_scratch_folder(folder, master):
+    class Session:
+        class conf:
+            get = staticmethod(lambda key, default: folder)
+
+        class sparkContext:
+            pass
+
+    Session.sparkContext.master = master
+    if folder:
+        assert scratch_dir(Session) == folder
+    elif master == "yarn":
+        with pytest.raises(ValueError):
+            scratch_dir(Session)
+    else:
+        assert scratch_dir(Session) == scratch_dir(Session) != ""
