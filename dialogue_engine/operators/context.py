@@ -26,11 +26,13 @@ def _carried(history: DataFrame, span: int, last_k: int | None) -> DataFrame:
 
     Only conversations with a turn beyond the first block take part. The scan can skip files
     and row groups by the turn number, so for ordinary data their list is found at no cost, is
-    empty, and ends this branch.
+    empty, and ends this branch. The rows are partitioned by block right after the join with that
+    list, which leaves Spark free to split a conversation that makes the join uneven.
     """
     long_ids = written(history.where(F.col("turn") >= span).select("conv_id").distinct())
     blocks = (
         history.join(long_ids, "conv_id", "left_semi")
+        .repartition("conv_id", "block")
         .groupBy("conv_id", "block")
         .agg(F.sort_array(F.collect_list(F.struct("turn", "message"))).alias("entries"))
         .withColumn("messages", _last(F.col("entries")["message"], last_k))
@@ -95,15 +97,16 @@ def request_context(
     """Add to ``requests`` (conv_id, message, ..) the messages to send: system message, the turns
     of the conversation so far, and the new message.
 
-    Without ``last_k`` a request holds its whole conversation, as the row must. With it, only
-    the last k turns of each conversation leave the tasks that read them.
+    Without ``last_k`` a request holds its whole conversation, as the row must. With it, a task
+    passes on no more than the last k turns it has of a conversation.
     """
     history = turns.where(F.col("role").isin("user", "assistant")).join(
         requests.select("conv_id"), "conv_id", "left_semi"
     )
     if last_k is not None:
         newest = Window.partitionBy("conv_id").orderBy(F.col("turn").desc())
-        history = history.withColumn("__rank", F.row_number().over(newest)).where(
+        spread = history.repartition("conv_id", "turn")
+        history = spread.withColumn("__rank", F.row_number().over(newest)).where(
             F.col("__rank") <= last_k
         )
     entry = F.struct("turn", chat.message(F.col("role"), F.col("text")).alias("message"))

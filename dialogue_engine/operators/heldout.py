@@ -4,6 +4,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dialogue_engine.functions.text import normalised
+from dialogue_engine.scratch import written
+
+# Keys of 32 characters: a table of this many is well below Spark's broadcast limit.
+FEW_KEYS = 100_000
 
 
 def held_out(
@@ -11,11 +15,14 @@ def held_out(
 ) -> DataFrame:
     """Prompts whose text, apart from case and blanks, is no instruction of the data.
 
-    The data is first reduced to the hashes that some prompt has. The prompts are the small side
-    there, so Spark broadcasts them if their size allows and the data is not moved; otherwise
-    only hashes are.
+    Only hashes of the texts are compared. Few prompts are broadcast, and the data is searched
+    where it is. For many, the hashes of the data are shuffled, each once per task: an
+    instruction that makes up a third of the data is one row from every task.
     """
     keyed = prompts.withColumn("__key", F.md5(normalised(F.col(prompt))))
+    wanted = written(keyed.select("__key").distinct())
     known = cases.select(F.md5(normalised(F.col(instruction))).alias("__key"))
-    hits = known.join(keyed.select("__key"), "__key", "left_semi").distinct()
+    if wanted.count() > FEW_KEYS:
+        known = known.distinct()
+    hits = known.join(wanted, "__key", "left_semi").distinct()
     return keyed.join(hits, "__key", "left_anti").drop("__key")

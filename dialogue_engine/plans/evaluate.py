@@ -13,7 +13,7 @@ from dialogue_engine.operators.generate import (
     fan_out,
     prompt_messages,
 )
-from dialogue_engine.schemas import OUTPUT_COLUMNS
+from dialogue_engine.schemas import EVALUATION_CONFIG, OUTPUT_COLUMNS
 from dialogue_engine.sources.evaluations import write_results
 
 
@@ -24,13 +24,20 @@ def evaluate(
     path: str,
     partitions: int | None = None,
     keywords: Sequence[str] = C.SUPPORT_KEYWORDS,
+    config: Mapping[str, object] | None = None,
 ) -> None:
     """Ask every prompt of every model in ``load`` ("base" and "fine_tuned", or "single").
 
-    Writes ``responses``, ``results`` and ``metrics`` under ``path``. The answers are stored
-    before they are scored, so the models run once.
+    Writes ``responses``, ``results``, ``metrics`` and ``config`` under ``path``. The answers are
+    stored before they are scored, so the models run once. ``config`` has the base model, the path
+    of the adapter and whether it was loaded.
     """
     spark = prompts.sparkSession
+    described = spark.createDataFrame(
+        [tuple((config or {}).get(f.name) for f in EVALUATION_CONFIG.fields)], EVALUATION_CONFIG
+    )
+    write_results(described.withColumn("run_id", F.lit(run_id)), f"{path}/config")
+
     models = list(load)
     asked = prompt_messages(fan_out(prompts, models))
     answered = batch_generate(asked, load, partitions).select(

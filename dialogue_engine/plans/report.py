@@ -37,24 +37,28 @@ class Report:
     curve: DataFrame | None = None
 
 
+def report_tables(
+    results: DataFrame, stored: DataFrame, configs: DataFrame
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Setup, cards and comparison of the runs in ``configs``."""
+    computed = metrics_record(evaluate_results(results), configs.select("run_id"))
+    records = metrics_or_recompute(stored, computed)
+    flagged = invalid_comparison(result_mode(results), configs)
+    setup = configs.join(flagged.select("run_id", "mode", "invalid"), "run_id", "left")
+    return (
+        setup.withColumn("invalid", F.coalesce("invalid", F.lit(False))),
+        report_cards(records, results),
+        comparison_table(results, models=list(OUTPUT_COLUMNS)),
+    )
+
+
 def report(spark: SparkSession, evaluations: str, run_stats: str | None = None) -> Report:
     """Tables for all evaluation files under a path. A missing path fails here."""
     files = read_evaluations(spark, evaluations)
-    results = load_eval_results(files)
-    configs = load_eval_config(files)
-    computed = metrics_record(evaluate_results(results), configs.select("run_id"))
-    records = metrics_or_recompute(load_eval_metrics(files), computed)
-    setup = configs.join(
-        invalid_comparison(result_mode(results), configs).select("run_id", "mode", "invalid"),
-        "run_id",
-        "left",
-    )
-    tables = Report(
-        setup=setup.withColumn("invalid", F.coalesce("invalid", F.lit(False))),
-        cards=report_cards(records, results),
-        comparison=comparison_table(results, models=list(OUTPUT_COLUMNS)),
-        unreadable=unreadable_files(files),
+    setup, cards, comparison = report_tables(
+        load_eval_results(files), load_eval_metrics(files), load_eval_config(files)
     )
+    tables = Report(setup, cards, comparison, unreadable=unreadable_files(files))
     if run_stats is not None:
         runs = load_run_stats(spark, run_stats)
         log = run_log(runs)

@@ -5,7 +5,9 @@ import re
 
 import pytest
 from helpers import plan
+from pyspark.sql import functions as F
 
+from dialogue_engine.operators import context
 from dialogue_engine.registry import views
 from dialogue_engine.registry.queries import QUERIES
 
@@ -69,6 +71,15 @@ def test_context_is_partitioned_by_block(as_planned):
     assert re.search(r"Exchange hashpartitioning\(conv_id#\d+L, block#\d+L", as_planned("chat_context"))
 
 
+def test_requests_pass_on_only_the_last_turns(spark, as_planned):
+    turns = views.table(spark, SF_DIR, "conversations")
+    asked = turns.select("conv_id").distinct().withColumn("message", F.lit("q"))
+    text = plan(context.request_context(turns, asked, last_k=3))
+    limit = text.index(", Partial")
+    assert "Exchange hashpartitioning(conv_id" in text[:limit]
+    assert re.search(r"Exchange hashpartitioning\(conv_id#\d+L, turn", text[limit:])
+
+
 def test_cases_read_only_needed_columns(spark):
     text = plan(views.cases(spark, SF_DIR).select("case_id"))
     assert "ReadSchema: struct<doc_id:bigint>" in text

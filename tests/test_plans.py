@@ -5,7 +5,7 @@ import pytest
 from dialogue_engine import constants as C
 from dialogue_engine.plans.evaluate import evaluate
 from dialogue_engine.plans.prepare import prepare_examples
-from dialogue_engine.plans.report import report
+from dialogue_engine.plans.report import report, report_tables
 from dialogue_engine.plans.respond import respond
 from dialogue_engine.sources.cases import prompt_catalog
 
@@ -36,7 +36,9 @@ def test_evaluate_and_read_back(spark, tmp_path):
         return lambda: lambda conversations: [f"{reply} {c[-1]['content']}" for c in conversations]
 
     path = str(tmp_path / "eval")
-    evaluate(prompt_catalog(spark), {"base": load("b"), "fine_tuned": load("")}, "run1", path, partitions=2)
+    config = {"base_model": "m", "adapter_loaded": False}
+    models = {"base": load("b"), "fine_tuned": load("")}
+    evaluate(prompt_catalog(spark), models, "run1", path, partitions=2, config=config)
     evaluate(prompt_catalog(spark), {"single": load("s")}, "run2", path)
     metrics = {r.run_id: r for r in spark.read.parquet(f"{path}/metrics").collect()}
     hits = sum(any(k in p.lower() for k in C.SUPPORT_KEYWORDS) for p, _ in C.TEST_PROMPTS)
@@ -45,6 +47,12 @@ def test_evaluate_and_read_back(spark, tmp_path):
     assert metrics["run1"].avg_length_base == round(metrics["run1"].avg_length_fine_tuned + 1, 1)
     assert metrics["run2"].avg_length_ollama == metrics["run1"].avg_length_base
     assert metrics["run2"].avg_length_base is None
+    tables = [spark.read.parquet(f"{path}/{name}") for name in ("results", "metrics", "config")]
+    setup, cards, comparison = report_tables(*tables)
+    assert {r.run_id: r.invalid for r in setup.collect()} == {"run1": True, "run2": False}
+    shown = {(r.run_id, r.card): r.value for r in cards.collect()}
+    assert shown["run2", "avg_length_base"] == metrics["run2"].avg_length_ollama
+    assert comparison.count() == 30
     results = spark.read.parquet(f"{path}/results").where("run_id = 'run1'").collect()
     assert len(results) == 15 and all(r.base_output == f"b {r.prompt}" for r in results)
 

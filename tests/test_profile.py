@@ -1,5 +1,7 @@
 import statistics
 
+import pytest
+
 from dialogue_engine import constants as C
 from dialogue_engine.operators import heldout, prepare, profile
 from dialogue_engine.sources.cases import prompt_catalog
@@ -66,7 +68,9 @@ def test_held_out(spark):
     assert {r.prompt for r in prompts.collect()} - {r.prompt for r in kept.collect()} == {"Cancel everything"}
 
 
-def test_held_out_keeps_repeats(spark):
+@pytest.mark.parametrize("few", [0, 100])
+def test_held_out_keeps_repeats(spark, monkeypatch, few):
+    monkeypatch.setattr(heldout, "FEW_KEYS", few)
     prompts = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b"), (4, None)], "prompt_id long, prompt string")
     data = spark.createDataFrame([("B",), ("b ",)], "instruction string")
     assert sorted(r.prompt_id for r in heldout.held_out(prompts, data).collect()) == [1, 2, 4]
