@@ -103,7 +103,12 @@ def parse_reply_json(body: Column) -> Column:
     parsed = F.from_json(
         body, schemas.REPLY_BODY, {"columnNameOfCorruptRecord": "_corrupt_record"}
     )
-    return F.struct(
-        text_or_empty(parsed["message"]["content"]).alias("content"),
-        (body.isNull() | parsed["_corrupt_record"].isNotNull()).alias("bad_json"),
-    )
+
+    def checked(reply: Column) -> Column:
+        return F.struct(
+            text_or_empty(reply["message"]["content"]).alias("content"),
+            (reply.isNull() | reply["_corrupt_record"].isNotNull()).alias("bad_json"),
+        )
+
+    # both fields come from one variable, so the text is parsed once
+    return F.element_at(F.transform(F.array(parsed), checked), 1)

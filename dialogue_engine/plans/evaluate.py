@@ -1,6 +1,7 @@
 """Prompts through models, answers stored, scores stored."""
 
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,10 +40,14 @@ def evaluate(
     write_results(described.withColumn("run_id", F.lit(run_id)), f"{path}/config")
 
     models = list(load)
-    asked = prompt_messages(fan_out(prompts, models))
-    answered = batch_generate(asked, load, partitions).select(
-        F.lit(run_id).alias("run_id"), "prompt_id", "prompt", "model", "output", "error"
-    )
+    # model by model, so that no task has to hold two of them
+    answered = reduce(
+        DataFrame.unionByName,
+        (
+            batch_generate(prompt_messages(fan_out(prompts, [m])), {m: load[m]}, partitions)
+            for m in models
+        ),
+    ).select(F.lit(run_id).alias("run_id"), "prompt_id", "prompt", "model", "output", "error")
     write_results(answered, f"{path}/responses")
 
     stored = spark.read.parquet(f"{path}/responses").where(F.col("run_id") == run_id)
