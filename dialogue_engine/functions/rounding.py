@@ -1,29 +1,16 @@
-"""Rounding with the result Python's ``round`` gives.
-
-Spark's ``round`` and ``bround`` look at the shortest decimal spelling of a double, Python at
-its binary value, so 0.065 becomes 0.07 there and 0.06 with ``bround``. The scaled value
-``x * 10^digits`` is itself rounded to a double; its exact error is recovered by splitting x
-into two halves whose products are exact, and decides the cases that look like a tie.
-"""
+"""Rounding with the result Python's ``round`` gives."""
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_SPLITTER = float(2**27 + 1)
-
 
 def py_round(value: Column, digits: int) -> Column:
-    scale = float(10**digits)
+    """Round the binary value of a double, ties to even.
+
+    Spark's ``round`` and ``bround`` look at the shortest decimal spelling, so 0.065 becomes 0.06
+    with ``bround`` and 0.07 in Python. Number formatting looks at the binary value.
+    """
     x = value.cast("double")
-    scaled = x * F.lit(scale)
-    spread = x * F.lit(_SPLITTER)
-    high = spread - (spread - x)
-    error = (high * F.lit(scale) - scaled) + (x - high) * F.lit(scale)
-    below = F.floor(scaled)
-    rest = scaled - below
-    up = (
-        (rest > 0.5)
-        | ((rest == 0.5) & (error > 0))
-        | ((rest == 0.5) & (error == 0) & (below % 2 != 0))
-    )
-    return (below + F.when(up, 1).otherwise(0)).cast("double") / F.lit(scale)
+    text = F.call_function("format_number", x, F.lit("0." + "0" * digits))
+    # infinity has no number text and stays what it is
+    return F.coalesce(text.try_cast("double"), x)

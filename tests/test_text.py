@@ -1,3 +1,4 @@
+import math
 import random
 import struct
 
@@ -30,8 +31,10 @@ def test_py_round(spark, digits):
     ]
 
 
-def test_py_round_null(spark):
-    assert apply(spark, [None], lambda c: py_round(c, 1), "double") == [None]
+def test_py_round_without_a_number(spark):
+    values = [None, math.inf, -math.inf, math.nan, 1e300]
+    got = apply(spark, values, lambda c: py_round(c, 1), "double")
+    assert got[:3] == values[:3] and math.isnan(got[3]) and got[4] == 1e300
 
 
 def test_strip_like_python(spark):
