@@ -15,12 +15,12 @@ def held_out(
 ) -> DataFrame:
     """Prompts whose text, apart from case and blanks, is no instruction of the data.
 
-    Only hashes of the texts are compared. Few prompts are broadcast, and the data is searched
+    Only hashes of the texts are compared; the prompts are stored with theirs. Few prompts are broadcast, and the data is searched
     where it is. For many, the hashes of the data are shuffled, each once per task: an
     instruction that makes up a third of the data is one row from every task.
     """
-    keyed = prompts.withColumn("__key", F.md5(normalised(F.col(prompt))))
-    wanted = written(keyed.select("__key").distinct())
+    keyed = written(prompts.withColumn("__key", F.md5(normalised(F.col(prompt)))))
+    wanted = keyed.select("__key").distinct()
     known = cases.select(F.md5(normalised(F.col(instruction))).alias("__key"))
     if wanted.count() > FEW_KEYS:
         known = known.distinct()
