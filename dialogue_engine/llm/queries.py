@@ -2,9 +2,10 @@
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from dialogue_engine.llm import ngram_join
+from dialogue_engine.llm import decontaminate, line_chunks, ngram_join, packing, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -19,7 +20,38 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_toxicity(spark, sf_dir):
+    return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+@query
+def op2_benchmark_decontamination(spark, sf_dir):
+    return decontaminate.contaminations(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    )
+
+
 @query
 def op4_ngram_jaccard_join(spark, sf_dir):
     found = ngram_join.near_duplicates(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_shingles", "component_id")
+
+
+@query
+def op5_line_dedup(spark, sf_dir):
+    return line_chunks.drop_repeated_lines(_table(spark, sf_dir, "documents"), counts=True)
+
+
+def pack_documents(documents: DataFrame) -> DataFrame:
+    return packing.pack(
+        documents,
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        public_tokenizers.PATTERN,
+    )
+
+
+@query
+def op7_packing(spark, sf_dir):
+    return pack_documents(_table(spark, sf_dir, "documents"))
