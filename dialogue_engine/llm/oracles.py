@@ -1,3 +1,88 @@
 """SQL for the queries that SQL can express."""
 
+from dialogue_engine.llm.secret_scan import BASE_RULES, RULES
+
 ORACLES: dict[str, str] = {}
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _spans(order: int) -> str:
+    """Spans of one rule: a list of (start, order, end, kind)."""
+    rule = RULES[order]
+    pattern = _quoted(rule.pattern)
+    return f"""
+    SELECT doc_id, unnest(list_transform(range(1, len(m) + 1), lambda i: struct_pack(
+        s := begins[i], o := {order}, e := begins[i] + length(m[i]), kind := {_quoted(rule.kind)},
+        size := length(g[i])))) AS x
+    FROM (
+        SELECT doc_id, m, g, list_transform(range(1, len(m) + 1), lambda i:
+            list_sum(list_transform(gaps[1:i], lambda p: length(p)))::BIGINT
+            + coalesce(list_sum(list_transform(m[1:i - 1], lambda p: length(p))), 0)::BIGINT) AS begins
+        FROM (
+            SELECT doc_id, regexp_extract_all(t, {pattern}) AS m,
+                   regexp_extract_all(t, {pattern}, {rule.group}) AS g,
+                   regexp_split_to_array(t, {pattern}) AS gaps
+            FROM texts WHERE regexp_matches(t, {pattern})
+        )
+    )"""
+
+
+ORACLES["op6_secret_scan"] = f"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+found AS ({' UNION ALL '.join(map(_spans, range(len(RULES))))}),
+wanted AS (
+    SELECT doc_id, x FROM found
+    WHERE x.size >= CASE x.o {' '.join(f'WHEN {i} THEN {r.least}' for i, r in enumerate(RULES))} END
+),
+listed AS (
+    SELECT doc_id,
+           {', '.join(f"count(*) FILTER (x.kind = '{r.kind}') AS n_{r.kind}" for r in BASE_RULES)},
+           string_agg(x.kind || ':' || x.s || ':' || x.e, ',' ORDER BY x.s, x.o)
+               FILTER (x.o < {len(BASE_RULES)}) AS base,
+           string_agg(x.kind || ':' || x.s || ':' || x.e, ',' ORDER BY x.s, x.o) AS spans
+    FROM wanted GROUP BY doc_id
+)
+SELECT d.doc_id,
+       {', '.join(f"coalesce(n_{r.kind}, 0)::BIGINT AS n_{r.kind}" for r in BASE_RULES)},
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM documents d LEFT JOIN listed USING (doc_id)
+"""
+
+# Words end at the six white-space characters; a document's shingles are compared as texts.
+ORACLES["op4_ngram_jaccard_join"] = """
+WITH RECURSIVE split AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS w
+    FROM documents
+),
+sets AS (
+    SELECT doc_id, list_distinct(CASE
+        WHEN len(w) = 0 THEN []
+        WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
+    FROM split
+),
+classes AS (SELECT min(doc_id) AS rep, len(s) AS n, s FROM (
+    SELECT doc_id, list_sort(s) AS s FROM sets WHERE len(s) > 0) GROUP BY s),
+tokens AS (SELECT rep, n, unnest(s) AS token FROM classes),
+links AS (
+    SELECT a.rep AS x, b.rep AS y FROM tokens a JOIN tokens b ON a.token = b.token AND a.rep <> b.rep
+    GROUP BY a.rep, b.rep, a.n, b.n
+    HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))
+),
+reach AS (
+    SELECT rep AS x, rep AS y FROM classes
+    UNION
+    SELECT reach.x, links.y FROM reach JOIN links ON links.x = reach.y
+),
+lowest AS (SELECT x AS rep, min(y) AS component_id FROM reach GROUP BY x)
+SELECT sets.doc_id, len(sets.s)::BIGINT AS n_shingles,
+       coalesce(component_id, sets.doc_id)::BIGINT AS component_id
+FROM sets
+LEFT JOIN classes ON list_sort(sets.s) = classes.s
+LEFT JOIN lowest ON lowest.rep = classes.rep
+"""

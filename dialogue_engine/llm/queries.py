@@ -5,7 +5,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from dialogue_engine.llm import decontaminate, line_chunks, ngram_join, packing, toxicity
+from dialogue_engine.llm import (
+    decontaminate,
+    html_cut,
+    line_chunks,
+    line_rules,
+    ngram_join,
+    packing,
+    resample,
+    secret_scan,
+    sparse_suffixes,
+    toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -32,6 +43,13 @@ def op2_benchmark_decontamination(spark, sf_dir):
     )
 
 
+@query
+def op3_quality_resampling(spark, sf_dir):
+    return resample.importance_sample(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    )
+
+
 @query
 def op4_ngram_jaccard_join(spark, sf_dir):
     found = ngram_join.near_duplicates(_table(spark, sf_dir, "documents"))
@@ -43,6 +61,11 @@ def op5_line_dedup(spark, sf_dir):
     return line_chunks.drop_repeated_lines(_table(spark, sf_dir, "documents"), counts=True)
 
 
+@query
+def op6_secret_scan(spark, sf_dir):
+    return secret_scan.secrets(_table(spark, sf_dir, "documents"))
+
+
 def pack_documents(documents: DataFrame) -> DataFrame:
     return packing.pack(
         documents,
@@ -55,3 +78,21 @@ def pack_documents(documents: DataFrame) -> DataFrame:
 @query
 def op7_packing(spark, sf_dir):
     return pack_documents(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_quality_rules(spark, sf_dir):
+    return line_rules.quality(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    )
+
+
+@query
+def op9_html_extraction(spark, sf_dir):
+    return html_cut.extract(_table(spark, sf_dir, "pages"))
+
+
+@query
+def op10_suffix_dedup(spark, sf_dir):
+    found = sparse_suffixes.repeated_passages(_table(spark, sf_dir, "documents"))
+    return found.drop("text_hash")
