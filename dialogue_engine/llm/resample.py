@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dialogue_engine.llm.tables import unused
+from dialogue_engine.llm.tables import dealt, unused
 from dialogue_engine.llm.words import as_bytes, blocks, windows, word_hashes
 from dialogue_engine.scratch import written
 
@@ -178,7 +178,7 @@ def importance_sample(
         share = 1.0 if share is None else share
     good = labelled.where("is_target")
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    flagged = docs.join(good, "doc_id", "left").select(
+    flagged = docs.join(dealt(good), "doc_id", "left").select(
         "text", F.coalesce("is_target", F.lit(False)).alias("is_target")
     )
     ratios = log_ratios(bucket_counts(flagged))
@@ -202,6 +202,6 @@ def keep_sample(documents: DataFrame, labels: DataFrame, share: float | None = N
     ids = sample.select(F.struct("doc_id").alias(key)).distinct().withColumn(flag, F.lit(True))
     return (
         documents.withColumn(key, F.struct(F.col("doc_id").cast("long").alias("doc_id")))
-        .join(ids, key)
+        .join(dealt(ids), key)
         .select(*(f"`{c}`" for c in documents.columns))
     )

@@ -21,7 +21,7 @@ from itertools import product
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dialogue_engine.llm.tables import document_key, unused
+from dialogue_engine.llm.tables import dealt, document_key, unused
 from dialogue_engine.scratch import written
 
 # Alternatives a query may have before it is given up for a weaker one.
@@ -246,7 +246,7 @@ def with_spans(
     listed = candidates(documents, rules).select(
         F.col("key").alias(key), F.col("rules").alias(chosen)
     )
-    joined = documents.withColumn(key, document_key()).join(written(listed), key, "left")
+    joined = documents.withColumn(key, document_key()).join(dealt(written(listed)), key, "left")
     scanned_fully = {i for i, rule in enumerate(rules) if not trigram_query(rule.pattern)}
     none = F.array().cast("array<struct<start:int,order:int,end:int,kind:string>>")
     parts = []

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dialogue_engine.llm.tables import document_key
+from dialogue_engine.llm.tables import dealt, document_key
 from dialogue_engine.llm.words import as_bytes, blocks, signed, windows, word_hashes
 from dialogue_engine.scratch import written
 
@@ -95,7 +95,7 @@ def repeated_anchors(documents: DataFrame) -> DataFrame:
         .where("members > 1")
     )
     return (
-        found.join(counted, "run")
+        found.join(dealt(counted), "run")
         .select(
             "key",
             F.struct(
@@ -147,7 +147,7 @@ def contexts(documents: DataFrame, listed: DataFrame) -> DataFrame:
                         [pa.array(c, t) for c, t in zip(zip(*rows), _CONTEXT_TYPES)], names=names
                     )
 
-    keyed = documents.select(document_key().alias("key"), "text").join(listed, "key")
+    keyed = documents.select(document_key().alias("key"), "text").join(dealt(listed), "key")
     # rows that agree in doc_id and text are one document
     return keyed.dropDuplicates(["key"]).mapInArrow(run, _CONTEXT_SCHEMA)
 
@@ -252,7 +252,7 @@ def _window_matches(rows: DataFrame) -> DataFrame:
     )
     twice = spread.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hash")
     start = (F.col("at") - F.col("left")).cast("int")
-    return spread.join(twice, "hash", "left_semi").select(
+    return spread.join(dealt(twice), "hash", "left_semi").select(
         "doc_id", "text_hash", start.alias("start"), (start + PASSAGE).alias("end"), "first"
     )
 

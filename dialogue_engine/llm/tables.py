@@ -21,3 +21,9 @@ def document_key() -> Column:
 def like(df: DataFrame, columns: DataFrame) -> DataFrame:
     """The columns of another table, in their order."""
     return df.select(*(df[f"`{c}`"] for c in columns.columns))
+
+
+def dealt(df: DataFrame) -> DataFrame:
+    """The smaller side of a join whose sides are both dealt out by the key. It may grow with the
+    corpus, so the plan is the same at every size and nothing is broadcast."""
+    return df.hint("merge")

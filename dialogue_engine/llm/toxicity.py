@@ -32,9 +32,9 @@ TERMS = 4096
 # A term must be as telling as this chi-square: four documents of a class of one tenth pass.
 LEAST_CHI = 30.0
 FACTORS = 4
-ITERATIONS = 150
-STEP = 0.05
-SHRINK = 0.001
+ITERATIONS = 100
+STEP = 0.2
+SHRINK = 0.0001
 STEMS = (4, 5)
 
 _WORD = re.compile(r"[^\W\d_]+")
