@@ -18,7 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dialogue_engine.llm.tables import document_key, unused
+from dialogue_engine.llm.tables import dealt, document_key, unused
 from dialogue_engine.scratch import written
 
 # One boundary in so many lines on average, and one at least after so many.
@@ -107,12 +107,12 @@ def repeated_chunks(documents: DataFrame) -> DataFrame:
         .select("hash", "first")
     )
     repeats = written(counted)
-    found = written(_occurrences(documents).join(repeats, "hash"))
+    found = written(_occurrences(documents).join(dealt(repeats), "hash"))
     here = F.struct("key", "at")
     firsts = found.where(here == F.col("first")).select("hash", F.col("text").alias("first_text"))
     others = found.where(here != F.col("first"))
     # the same document, repeated, has the first chunk more than once
-    same = others.join(firsts.dropDuplicates(["hash"]), "hash").where(
+    same = others.join(dealt(firsts.dropDuplicates(["hash"])), "hash").where(
         F.col("text").cast("binary") == F.col("first_text").cast("binary")
     )
     return same.select("key", "at", "lines")
@@ -132,7 +132,7 @@ def drop_repeated_lines(documents: DataFrame, counts: bool = False) -> DataFrame
         .groupBy(F.col("key").alias(key))
         .agg(F.collect_set("at").alias(gone), F.sum("lines").alias(taken))
     )
-    joined = documents.withColumn(key, document_key()).join(written(listed), key, "left")
+    joined = documents.withColumn(key, document_key()).join(dealt(written(listed)), key, "left")
     rest = F.filter(_chunks(F.col("text")), lambda c: ~F.array_contains(gone, c["at"]))
     cleaned = F.when(
         F.col(gone).isNotNull(), F.array_join(F.transform(rest, lambda c: c["text"]), "\n")
