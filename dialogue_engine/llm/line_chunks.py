@@ -21,8 +21,9 @@ from pyspark.sql import functions as F
 from dialogue_engine.llm.tables import dealt, document_key, unused
 from dialogue_engine.scratch import written
 
-# One boundary in so many lines on average, and one at least after so many.
-MEAN_LINES = 3
+# A boundary stands where the rolled hash starts with a hex digit below this one, which is 5 in 16,
+# and at least after so many lines.
+CUT_BELOW = "5"
 MOST_LINES = 32
 
 
@@ -37,15 +38,17 @@ def _starts(lines: Column) -> Column:
     Line i starts one when the hash of lines i-1 and i says so, and every ``MOST_LINES``-th line
     of a chunk does, counted from its start.
     """
-    hashes = F.transform(lines, lambda line: F.xxhash64(line))
+    hashes = F.transform(lines, lambda line: F.md5(line))
 
     def cut(rolled: Column) -> Column:
-        marked = F.transform(rolled, lambda h, i: F.when((i == 0) | (F.pmod(h, F.lit(MEAN_LINES)) == 0), i))
+        marked = F.transform(
+            rolled, lambda h, i: F.when((i == 0) | (F.substring(h, 1, 1) < CUT_BELOW), i)
+        )
         return F.filter(marked, lambda i: i.isNotNull())
 
     def roll(h: Column) -> Column:
-        before = F.concat(F.array(F.lit(0).cast("long")), F.slice(h, 1, F.greatest(F.size(h) - 1, F.lit(0))))
-        return F.zip_with(h, before, lambda a, b: F.xxhash64(a, b))
+        before = F.concat(F.array(F.lit("")), F.slice(h, 1, F.greatest(F.size(h) - 1, F.lit(0))))
+        return F.zip_with(h, before, lambda a, b: F.md5(F.concat(b, a)))
 
     natural = _let(_let(hashes, roll), cut)
 
