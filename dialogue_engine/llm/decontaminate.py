@@ -177,7 +177,7 @@ class ItemIndex:
 
     def _block_hits(self, hashes: np.ndarray, bounds: np.ndarray) -> Iterator[list[dict]]:
         docs = len(bounds) - 1
-        best: dict[tuple[int, int], tuple[float, int]] = {}
+        best: dict[tuple[int, int], tuple[float, float, int]] = {}
         if len(hashes):
             sums = Sums(hashes)
             every = windows(hashes, WORDS)
@@ -194,23 +194,26 @@ class ItemIndex:
                 places = set(zip(*(part.tolist() for part in found)))
                 for doc, item, place in places:
                     low, high = ranges[doc]
-                    share = self._share(hashes, every, item, max(low, place), low, high)
-                    held = best.get((doc, item))
-                    here = (share, low - max(low, place))
-                    if share >= SIMILARITY and (held is None or here > held):
-                        best[doc, item] = here
+                    place, slack = max(low, place), self.lengths[item] // 8
+                    share = self._share(hashes, every, item, place, low, high, slack)
+                    if share >= SIMILARITY:
+                        # of places with the same share, where the item fits without slack
+                        exact = self._share(hashes, every, item, place, low, high, 0)
+                        here = (share, exact, low - place)
+                        best[doc, item] = max(best.get((doc, item), here), here)
         listed: list[list[dict]] = [[] for _ in range(docs)]
-        for (doc, item), (share, place) in sorted(best.items()):
+        for (doc, item), (share, _, place) in sorted(best.items()):
             listed[doc].append(
                 {"item_id": self.ids[item], "start_word": -place, "similarity": round(share, 6)}
             )
         yield from listed
 
-    def _share(self, hashes, every, item: int, place: int, low: int, high: int) -> float:
-        """Weighted share of the item's shingles in the item-sized piece at ``place``, and up to
-        an eighth of the item around it, for words put in or left out."""
+    def _share(
+        self, hashes, every, item: int, place: int, low: int, high: int, slack: int
+    ) -> float:
+        """Weighted share of the item's shingles in the item-sized piece at ``place`` and so many
+        words around it, which make up for words put in or left out."""
         length = self.lengths[item]
-        slack = length // 8
         first, last = max(low, place - slack), min(high, place + length + slack)
         if length >= WORDS:
             there = every[first : max(first, last - WORDS + 1)]
