@@ -1,0 +1,107 @@
+import itertools
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from edges import documents, edge_documents, no_documents
+
+from dialogue_engine.llm import line_rules as L
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def counts(text):
+    words = WORD.findall(text)
+    runs = list(zip(words, words[1:], words[2:]))
+    often, covered = Counter(runs), set()
+    for i, run in enumerate(runs):
+        if often[run] > 1:
+            covered |= {i, i + 1, i + 2}
+    lines = [line for line in text.split("\n") if WORD.search(line)]
+    return (
+        len(words),
+        sum(map(len, words)),
+        len(re.findall(r"[#*$%&|<>]", text)),
+        sum(line in lines[:i] for i, line in enumerate(lines)),
+        len(covered),
+    )
+
+
+def test_base_counts():
+    rng = random.Random(1)
+    letters = "ab é#*\n\t\x0b\x1c  |<日"
+    texts = ["".join(rng.choices(letters, k=rng.randrange(120))) for _ in range(400)]
+    texts += ["a b c a b c a b", "a a a a", "", "x\nx\nx\n\n\n", "one two"]
+    assert L.base_counts(texts) == list(map(counts, texts))
+
+
+def score(field, features, labels):
+    total = sum(f @ field.weights for f, y in zip(features, labels) if y)
+    return total + sum(field.moves[a, b] for a, b in zip(labels, labels[1:]))
+
+
+def test_viterbi_against_all_labellings():
+    rng = np.random.default_rng(2)
+    for _ in range(60):
+        field = L.LineField(rng.normal(size=len(L.FEATURES)), rng.normal(size=(2, 2)) * 2)
+        features = rng.random((rng.integers(1, 9), len(L.FEATURES)))
+        got = field.labels(features).tolist()
+        best = max(score(field, features, y) for y in itertools.product((0, 1), repeat=len(features)))
+        assert score(field, features, got) == pytest.approx(best)
+
+
+def prose(rng, n):
+    return " ".join(rng.choice(["river", "stone", "walks", "quietly", "under", "old", "light"]) + str(rng.randrange(90)) for _ in range(n)) + "."
+
+
+def labelled_corpus(spark, n=160):
+    rng = random.Random(5)
+    texts, labels = [], []
+    for i in range(n):
+        good = i % 2
+        lines = [prose(rng, rng.randrange(12, 40)) if good else " | ".join(prose(rng, 2) for _ in range(9)) for _ in range(rng.randrange(3, 12))]
+        texts.append("\n".join(lines))
+        labels.append((i, good))
+    return texts, spark.createDataFrame(labels, "doc_id long, quality int")
+
+
+def test_held_out_accuracy(spark):
+    texts, labels = labelled_corpus(spark)
+    field = L.train(documents(spark, texts[:100]), labels)
+    right = [(field.content_share(t) >= 0.5) == bool(i % 2) for i, t in enumerate(texts)][100:]
+    assert np.mean(right) > 0.95
+
+
+def test_chain_evens_out_single_lines(spark):
+    """A line that looks like boilerplate among content is labelled with its surroundings."""
+    texts, labels = labelled_corpus(spark)
+    field = L.train(documents(spark, texts), labels)
+    rng = random.Random(9)
+    lines = [prose(rng, 30) for _ in range(9)]
+    lines[4] = "Part | two"
+    features, _ = L.line_features("\n".join(lines))
+    assert field.labels(features).tolist() == [1] * 9
+
+
+def test_quality(spark):
+    texts, labels = labelled_corpus(spark)
+    rows = L.quality(documents(spark, texts), labels).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        got = (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words)
+        assert got == counts(texts[r.doc_id])
+        failed = r.n_words < 50 or 100 * r.n_repeat_words > 50 * r.n_words
+        assert r.base_failed == failed
+        assert r.kept == (not failed and r.content_share >= 0.5)
+
+
+@pytest.mark.parametrize("rows", [[], [(5, 1)], [(None, 1), (5, None)], [(5, 1), (4, 0)]])
+def test_edges(spark, rows):
+    labels = spark.createDataFrame(rows, "doc_id long, quality int")
+    got = L.quality(edge_documents(spark), labels).collect()
+    assert len(got) == 10
+    assert all(r.base_failed and not r.kept for r in got if r.doc_id in (1, 2, 3, 7))
+    assert [r.n_words for r in got if r.doc_id == 4] == [30_000]
+    assert L.quality(no_documents(spark), labels).collect() == []

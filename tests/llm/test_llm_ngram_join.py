@@ -1,0 +1,151 @@
+import random
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from edges import COLUMNS, documents, edge_documents, no_documents
+
+from dialogue_engine.llm import ngram_join as N
+
+
+def sets_of(texts):
+    out = []
+    for text in texts:
+        words = (text or "").encode().lower().split()
+        if len(words) < 5:
+            out.append(frozenset([tuple(words)]) if words else frozenset())
+        else:
+            out.append(frozenset(zip(*(words[i:] for i in range(5)))))
+    return out
+
+
+def components_of(sets):
+    """Smallest number reachable, by comparing every pair."""
+    root = list(range(len(sets)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            b = sets[j]
+            if a and b and 100 * len(a & b) >= 75 * len(a | b):
+                low, high = sorted((find(i), find(j)))
+                root[high] = low
+    return [find(i) for i in range(len(sets))]
+
+
+def varied(rng, words, edits):
+    words = list(words)
+    for _ in range(edits):
+        at = rng.randrange(len(words))
+        words[at : at + rng.randrange(2)] = [f"x{rng.randrange(10**6)}"]
+    return " ".join(words)
+
+
+def corpus(seed):
+    """Copies with few to many edits, chains of copies, shared passages, short texts."""
+    rng = random.Random(seed)
+    fresh = lambda n: [f"v{rng.randrange(5000)}" for _ in range(n)]
+    texts = []
+    for _ in range(6):
+        base = fresh(rng.randrange(30, 120))
+        texts += [varied(rng, base, e) for e in (0, 0, 1, 2, 3, 5, 8)]
+        chain = base
+        for _ in range(6):
+            chain = varied(rng, chain, 2).split()
+            texts.append(" ".join(chain))
+    hot = fresh(40)
+    texts += [" ".join(fresh(20) + hot + fresh(20)) for _ in range(40)]
+    texts += [" ".join(fresh(60)) for _ in range(30)]
+    texts += ["a b c", "A  b\nC", "a b", "", None, "a b c d e", "a b c d e f", "A B C D E"]
+    rng.shuffle(texts)
+    return texts
+
+
+def found(spark, texts):
+    rows = N.near_duplicates(documents(spark, texts)).collect()
+    return {r.doc_id: (r.n_shingles, r.component_id, r.is_kept) for r in rows}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_components_are_those_of_all_pairs(spark, seed):
+    texts = corpus(seed)
+    sets = sets_of(texts)
+    wanted = components_of(sets)
+    got = found(spark, texts)
+    assert {i: v[:2] for i, v in got.items()} == {
+        i: (len(s), c) for i, (s, c) in enumerate(zip(sets, wanted))
+    }
+    assert [i for i, v in sorted(got.items()) if v[2]] == [
+        i for i, c in enumerate(wanted) if c == i
+    ]
+
+
+def test_small_pieces_lose_no_link(spark, monkeypatch):
+    """Lists cut into pieces of a few sets; every pair of pieces is looked at."""
+    monkeypatch.setattr(N, "PIECE", 2)
+    monkeypatch.setattr(N, "LONGEST", 1)
+    texts = corpus(3)
+    wanted = components_of(sets_of(texts))
+    assert [v[1] for _, v in sorted(found(spark, texts).items())] == wanted
+
+
+def test_limit_is_three_quarters_inclusive(spark):
+    words = [f"w{i}" for i in range(11)]
+    # 7 shingles; with one more word 8: 6 of 8 and 7 of 9
+    a, b = " ".join(words[:10]), " ".join(words[1:11])
+    sets = sets_of([a, b])
+    share = len(sets[0] & sets[1]) / len(sets[0] | sets[1])
+    got = found(spark, [a, b])
+    assert (got[1][1] == 0) == (share >= 0.75)
+    exact = [" ".join(words[:10]), " ".join(words[:8] + ["y"])]
+    assert found(spark, exact)[1][1] == components_of(sets_of(exact))[1]
+
+
+def test_matching_prefixes_share_what_they_must():
+    """Sets of the needed similarity share at least the smaller number of matches."""
+    rng = random.Random(5)
+    for _ in range(300):
+        common = rng.randrange(3, 60)
+        extra = rng.randrange(0, common // 3 + 1)
+        split = rng.randrange(0, extra + 1)
+        every = rng.sample(range(10**6), common + extra)
+        x, y = sorted(every[: common + split]), sorted(every[:common] + every[common + split :])
+        if 4 * common < 3 * len(every):
+            continue
+        for l, m in ((1, 1), (2, 4), (3, 1), (4, 4)):
+            px = x[: min(len(x), int(N.prefix_size(np.int64(len(x)), np.int64(l))))]
+            py = y[: min(len(y), int(N.prefix_size(np.int64(len(y)), np.int64(m))))]
+            assert len(set(px) & set(py)) >= min(l, m, common)
+
+
+def test_prefix_grows_with_expected_cost():
+    rare = np.zeros(100)
+    common = np.full(100, 50.0)
+    assert N.choose_matches(100, rare) == 1
+    assert N.choose_matches(100, common) > 1
+
+
+def test_edges(spark):
+    docs = edge_documents(spark)
+    rows = N.near_duplicates(docs).collect()
+    assert len(rows) == 10
+    by = defaultdict(list)
+    for r in rows:
+        by[r.doc_id].append((r.n_shingles, r.component_id))
+    assert by[1] == [(0, 1)] and by[2] == [(0, 2)] and by[3] == [(0, 3)]
+    assert by[5] == [(4, 5), (4, 5)] and by[6] == [(4, 5)]
+    assert by[4] == [(29_996, 4)]
+    kept = N.keep_one_per_group(docs)
+    assert kept.columns == COLUMNS
+    assert Counter(r.doc_id for r in kept.collect()) == Counter(
+        {1: 1, 2: 1, 3: 1, 4: 1, 5: 1, 7: 1, None: 2}
+    )
+
+
+def test_no_documents(spark):
+    assert N.near_duplicates(no_documents(spark)).collect() == []
+    assert N.keep_one_per_group(no_documents(spark)).collect() == []
