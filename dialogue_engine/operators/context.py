@@ -1,5 +1,7 @@
 """Chat context per user turn, requests, and the growing history."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -7,7 +9,7 @@ from dialogue_engine import constants as C
 from dialogue_engine import schemas
 from dialogue_engine.functions import chat
 from dialogue_engine.functions.text import strip_unicode, text_or_empty
-from dialogue_engine.operators.positions import span_of
+from dialogue_engine.operators.positions import KEY, null_safe_join, span_of, top_per_key
 from dialogue_engine.scratch import written
 
 # Turns per block. Few conversations are longer, so few need what the next function does.
@@ -24,14 +26,15 @@ def _last(entries: Column, count: int | None) -> Column:
 def _carried(history: DataFrame, span: int, last_k: int | None) -> DataFrame:
     """Messages a block of a long conversation inherits from the blocks before it.
 
-    Only conversations with a turn beyond the first block take part. The scan can skip files
-    and row groups by the turn number, so for ordinary data their list is found at no cost, is
-    empty, and ends this branch. The rows are partitioned by block right after the join with that
+    Only conversations with a turn outside block 0 take part. The scan can skip files and row
+    groups by the turn number, so for ordinary data their list is found at no cost, is empty,
+    and ends this branch. The rows are partitioned by block right after the join with that
     list, which leaves Spark free to split a conversation that makes the join uneven.
     """
-    long_ids = written(history.where(F.col("turn") >= span).select("conv_id").distinct())
+    outside = (F.col("turn") >= span) | (F.col("turn") < 0)
+    long_ids = written(history.where(outside).select("conv_id").distinct())
     blocks = (
-        history.join(long_ids, "conv_id", "left_semi")
+        null_safe_join(history.drop(KEY), long_ids, ["conv_id"], "left_semi")
         .repartition("conv_id", "block")
         .groupBy("conv_id", "block")
         .agg(F.sort_array(F.collect_list(F.struct("turn", "message"))).alias("entries"))
@@ -64,17 +67,19 @@ def chat_context(
         "role",
         span_of("turn", span).alias("block"),
         chat.message(F.col("role"), F.col("text")).alias("message"),
-    )
+    ).withColumn(KEY, F.struct("conv_id", "block"))
     nothing = F.array().cast(schemas.MESSAGES)
     if last_k == 0:
         rows = history.where(F.col("role") == "user").withColumn("earlier", nothing)
     else:
         start = Window.unboundedPreceding if last_k is None else -last_k
-        before = Window.partitionBy("conv_id", "block").orderBy("turn").rowsBetween(start, -1)
+        # window and join are partitioned by the same column: the rows are shuffled once
+        before = Window.partitionBy(KEY).orderBy("turn").rowsBetween(start, -1)
         near = history.withColumn("near", F.collect_list("message").over(before)).where(
             F.col("role") == "user"
         )
-        rows = near.join(_carried(history, span, last_k), ["conv_id", "block"], "left").withColumn(
+        carried = _carried(history, span, last_k)
+        rows = null_safe_join(near, carried, ["conv_id", "block"], "left").withColumn(
             "earlier",
             _last(F.concat(F.coalesce("inherited", nothing), F.col("near")), last_k),
         )
@@ -104,11 +109,10 @@ def request_context(
         requests.select("conv_id"), "conv_id", "left_semi"
     )
     if last_k is not None:
-        newest = Window.partitionBy("conv_id").orderBy(F.col("turn").desc())
-        spread = history.repartition("conv_id", "turn")
-        history = spread.withColumn("__rank", F.row_number().over(newest)).where(
-            F.col("__rank") <= last_k
-        )
+        # which turns are kept is found without their texts
+        turns_of = history.select("conv_id", "turn").repartition("conv_id", "turn")
+        kept = top_per_key(turns_of, ["conv_id"], [F.col("turn").desc()], last_k, "turn")
+        history = history.join(kept.select("conv_id", "turn"), ["conv_id", "turn"], "left_semi")
     entry = F.struct("turn", chat.message(F.col("role"), F.col("text")).alias("message"))
     earlier = history.groupBy("conv_id").agg(F.sort_array(F.collect_list(entry)).alias("earlier"))
     messages = F.concat(
@@ -123,21 +127,27 @@ def request_context(
     )
 
 
-def append_reply(turns: DataFrame, replies: DataFrame) -> DataFrame:
+def append_reply(
+    turns: DataFrame, replies: DataFrame, order_by: Sequence[str] = ("message", "reply")
+) -> DataFrame:
     """History plus user message plus reply, as rows.
 
-    ``replies`` has (conv_id, message, reply), one new exchange per conversation. The new turns
-    follow the last turn of the conversation, or start one.
+    ``replies`` has (conv_id, message, reply) and, where a conversation has several, ``order_by``,
+    the columns that say which came first. The new turns follow the last turn of the
+    conversation, or start one.
     """
-    last = turns.groupBy("conv_id").agg(F.max("turn").alias("last_turn"))
-    following = F.coalesce(F.col("last_turn") + 1, F.lit(0)).cast("long")
+    own = turns.join(replies.select("conv_id").distinct(), "conv_id", "left_semi")
+    last = own.groupBy("conv_id").agg(F.max("turn").alias("last_turn"))
+    among = F.row_number().over(Window.partitionBy("conv_id").orderBy(*order_by)) - 1
+    numbered = replies.withColumn("__exchange", among)
+    following = F.coalesce(F.col("last_turn") + 1, F.lit(0)).cast("long") + 2 * F.col("__exchange")
     exchange = F.array(
-        F.struct(following.alias("turn"), F.lit("user").alias("role"), F.col("message").alias("text")),
+        F.struct(following.cast("long").alias("turn"), F.lit("user").alias("role"), F.col("message").alias("text")),
         F.struct(
-            (following + 1).alias("turn"), F.lit("assistant").alias("role"), F.col("reply").alias("text")
+            (following + 1).cast("long").alias("turn"), F.lit("assistant").alias("role"), F.col("reply").alias("text")
         ),
     )
-    added = replies.join(last, "conv_id", "left").select("conv_id", F.inline(exchange))
+    added = numbered.join(last, "conv_id", "left").select("conv_id", F.inline(exchange))
     return turns.select("conv_id", "turn", "role", "text").unionByName(added)
 
 

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dialogue_engine import constants as C
@@ -23,7 +23,7 @@ from dialogue_engine.functions.text import (
     length_commentary,
     reply_class,
 )
-from dialogue_engine.operators.positions import null_safe_join
+from dialogue_engine.operators.positions import null_safe_join, top_per_key
 
 
 def side_by_side(
@@ -31,9 +31,14 @@ def side_by_side(
     keys: Sequence[str] = ("run_id", "prompt_id"),
     models: Sequence[str] = ("base", "fine_tuned"),
 ) -> DataFrame:
-    """One row per prompt with the output of each model; a missing one is null."""
+    """One row per prompt with the output of each model; a missing one is null.
+
+    Of several answers of a model to a prompt the longest counts, as in ``paired_scores``; of
+    equally long ones the last in the alphabet. This is the one operator that moves the texts.
+    """
+    answer = F.struct(char_length(F.col("output")).alias("chars"), "output")
     outputs = [
-        F.max(F.when(F.col("model") == m, F.col("output"))).alias(schemas.OUTPUT_COLUMNS[m])
+        F.max(F.when(F.col("model") == m, answer))["output"].alias(schemas.OUTPUT_COLUMNS[m])
         for m in models
     ]
     wide = responses.groupBy(*keys).agg(*outputs)
@@ -44,6 +49,42 @@ def side_by_side(
     return wide
 
 
+_CLASSES = ("empty", "short", "ok")
+
+
+def paired_scores(
+    responses: DataFrame,
+    keys: Sequence[str] = ("run_id", "prompt_id"),
+    models: Sequence[str] = ("base", "fine_tuned"),
+    keywords: Sequence[str] = C.SUPPORT_KEYWORDS,
+) -> DataFrame:
+    """Scores per prompt and model as ``score_replies`` has them; a missing answer is an empty one.
+
+    The text becomes numbers before the shuffle: length, keywords and class of an answer are put
+    into one number, so that the longest answer of a model is a plain maximum.
+    """
+    scored = score_replies(responses, keywords)
+    kind = F.array_position(F.array(*map(F.lit, _CLASSES)), F.col("reply_class")) - 1
+    one = F.col("chars") * (1 << 24) + F.col("keywords") * 4 + kind
+    best = [F.coalesce(F.max(F.when(F.col("model") == m, one)), F.lit(0)).alias(m) for m in models]
+    entries = F.array(*(F.struct(F.lit(m).alias("model"), F.col(m).alias("one")) for m in models))
+    long = scored.groupBy(*keys).agg(*best).select(*keys, F.inline(entries))
+    return long.select(
+        *keys,
+        "model",
+        F.shiftright("one", 24).alias("chars"),
+        F.shiftright(F.col("one").bitwiseAND(F.lit((1 << 24) - 1)), 2).alias("keywords"),
+        F.element_at(
+            F.array(*map(F.lit, _CLASSES)), (F.col("one").bitwiseAND(F.lit(3)) + 1).cast("int")
+        ).alias("reply_class"),
+    )
+
+
+def metrics_of_scores(scores: DataFrame, by: Sequence[str] = ("run_id", "model")) -> DataFrame:
+    """``evaluation_metrics`` of replies that are scored already."""
+    return scores.groupBy(*by).agg(*metric_columns())
+
+
 def wide_to_long(
     results: DataFrame,
     keys: Sequence[str] = ("run_id", "prompt_id"),
@@ -60,14 +101,22 @@ def wide_to_long(
 
 
 def result_mode(results: DataFrame) -> DataFrame:
-    """Which outputs the results of a run have: ``two`` models, ``single`` or ``none``."""
-    two = F.bool_or(F.col("fine_tuned_output").isNotNull())
-    single = F.bool_or(F.col("ollama_output").isNotNull())
+    """Whether the results of a run are of ``two`` models or of a ``single`` one.
+
+    It is two when the result of any prompt has the field of the fine-tuned output, filled or
+    null. Where the source can tell, that is in ``has_two``; else a filled output says so. A run
+    without any output is single.
+    """
     return results.groupBy("run_id").agg(
-        F.when(two, "two").when(single, "single").otherwise("none").alias("mode")
+        F.when(F.bool_or(_of_two(results)), "two").otherwise("single").alias("mode")
     )
 
 
+def _of_two(results: DataFrame) -> Column:
+    filled = F.col("fine_tuned_output").isNotNull()
+    return filled | F.coalesce("has_two", F.lit(False)) if "has_two" in results.columns else filled
+
+
 def score_replies(
     responses: DataFrame, keywords: Sequence[str] = C.SUPPORT_KEYWORDS
 ) -> DataFrame:
@@ -114,25 +163,22 @@ def evaluation_metrics(
 
 
 def evaluate_results(
-    results: DataFrame, keywords: Sequence[str] = C.SUPPORT_KEYWORDS
+    results: DataFrame, keywords: Sequence[str] = C.SUPPORT_KEYWORDS, mode: str | None = None
 ) -> DataFrame:
     """``evaluation_metrics`` of stored results in which the runs differ in mode.
 
-    All three outputs are scored in the one pass over the text. Which of them the run really
-    has is decided afterwards, on the three rows per run that are left.
+    All three outputs are scored in the one pass over the text. Which of them count is decided
+    afterwards, on the three rows per run that are left: those of ``mode`` if it is given, else
+    those of the run's ``result_mode``. Null outputs are empty replies, so no run is lost.
     """
-    long = wide_to_long(results, models=list(schemas.OUTPUT_COLUMNS))
-    present = long.withColumn("present", F.col("output").isNotNull())
-    scored = score_replies(present, keywords)
-    metrics = scored.groupBy("run_id", "model").agg(
-        *metric_columns(), F.bool_or("present").alias("present")
+    flagged = results.withColumn("__two", F.lit(mode == "two") if mode else _of_two(results))
+    long = wide_to_long(flagged, ("run_id", "prompt_id", "__two"), list(schemas.OUTPUT_COLUMNS))
+    metrics = (
+        score_replies(long, keywords)
+        .groupBy("run_id", "model")
+        .agg(*metric_columns(), F.bool_or("__two").alias("__two"))
     )
-    run = Window.partitionBy("run_id")
-    two = F.bool_or((F.col("model") == "fine_tuned") & F.col("present")).over(run)
-    of_mode = (two & F.col("model").isin("base", "fine_tuned")) | (
-        ~two & (F.col("model") == "single") & F.col("present")
-    )
-    return metrics.withColumn("of_mode", of_mode).where("of_mode").drop("of_mode", "present")
+    return metrics.where(F.col("__two") == (F.col("model") != "single")).drop("__two")
 
 
 def metrics_record(metrics: DataFrame, runs: DataFrame | None = None) -> DataFrame:
@@ -242,9 +288,10 @@ def invalid_comparison(modes: DataFrame, configs: DataFrame) -> DataFrame:
 def metrics_by_test_type(
     responses: DataFrame, catalog: DataFrame, keywords: Sequence[str] = C.SUPPORT_KEYWORDS
 ) -> DataFrame:
-    """The scores per kind of test prompt. Scores first: the join carries numbers, not text."""
+    """The scores per kind of test prompt. Scores first: the join carries numbers, not text.
+    Replies to prompts that the catalog lacks are the kind null."""
     scored = score_replies(responses, keywords).join(
-        catalog.select("prompt_id", "test_type"), "prompt_id"
+        catalog.select("prompt_id", "test_type"), "prompt_id", "left"
     )
     return scored.groupBy("test_type", "model").agg(*metric_columns())
 
@@ -257,10 +304,11 @@ def weak_intents(
 ) -> DataFrame:
     """The k intents with the lowest relevance, then the most short replies.
 
-    ``responses.prompt_id`` is the ``case_id`` of the case that was asked.
+    ``responses.prompt_id`` is the ``case_id`` of the case that was asked. Replies without a case
+    are the intent null.
     """
     scored = score_replies(responses, keywords).join(
-        cases.select(F.col("case_id").alias("prompt_id"), "intent"), "prompt_id"
+        cases.select(F.col("case_id").alias("prompt_id"), "intent"), "prompt_id", "left"
     )
     return scored.groupBy("intent").agg(*metric_columns()).transform(weakest, k)
 
@@ -292,6 +340,19 @@ def ab_delta(
     )
 
 
+def ab_delta_of_scores(scores: DataFrame, keys: Sequence[str] = ("run_id", "prompt_id")) -> DataFrame:
+    """``ab_delta`` of ``paired_scores``."""
+
+    def difference(value: Column) -> Column:
+        return F.sum(F.when(F.col("model") == "fine_tuned", value).otherwise(-value))
+
+    return scores.groupBy(*keys).agg(
+        difference(F.col("chars")).alias("length_delta"),
+        difference(F.col("keywords")).alias("keyword_delta"),
+        difference((F.col("keywords") > 0).cast("long")).alias("relevance_delta"),
+    )
+
+
 def ab_summary(deltas: DataFrame, by: Sequence[str] = ("run_id",)) -> DataFrame:
     """Mean differences per run, and on how many prompts the fine-tuned reply gained keywords."""
     return deltas.groupBy(*by).agg(
@@ -311,10 +372,9 @@ def comparison_table(
 ) -> DataFrame:
     """The first prompts of each run with shortened cells, and ``total``, the number of prompts.
 
-    The row limit applies in each task before the shuffle.
+    Cells are shortened before anything is moved, and the limit holds in each task at any number
+    of rows.
     """
-    order = Window.partitionBy("run_id").orderBy("prompt_id")
-    first = results.withColumn("shown", F.row_number().over(order).cast("long")).where(F.col("shown") <= rows)
     totals = results.groupBy("run_id").agg(F.count(F.lit(1)).alias("total"))
     cells = [
         excerpt(F.col(schemas.OUTPUT_COLUMNS[m]), C.OUTPUT_CELL_CHARS).alias(
@@ -324,6 +384,8 @@ def comparison_table(
     ]
     if "prompt" in results.columns:
         cells.insert(0, excerpt(F.col("prompt"), C.PROMPT_CELL_CHARS).alias("prompt"))
-    return null_safe_join(first, totals, ["run_id"], "inner").select(
-        "run_id", "shown", "prompt_id", *cells, "total"
-    )
+    short = results.select("run_id", "prompt_id", *cells)
+    first = top_per_key(short, ["run_id"], [F.col("prompt_id")], rows, "prompt_id", "shown")
+    return null_safe_join(first, totals, ["run_id"], "inner").withColumn(
+        "shown", F.col("shown").cast("long")
+    ).select("run_id", "shown", "prompt_id", *(c for c in short.columns[2:]), "total")

@@ -3,6 +3,7 @@
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,6 +13,9 @@ from dialogue_engine import schemas
 from dialogue_engine.functions import chat
 from dialogue_engine.functions.text import text_or_empty
 
+# Conversations per call of a model.
+BATCH_SIZE = 64
+
 # list of conversations -> list of replies; a conversation is a list of {role, content}
 BatchFunction = Callable[[list[list[dict]]], list[str]]
 
@@ -34,19 +38,21 @@ def batch_generate(
     requests: DataFrame,
     load: Mapping[str, Callable[[], BatchFunction]],
     partitions: int | None = None,
+    batch_size: int = BATCH_SIZE,
 ) -> DataFrame:
     """Add ``output`` and ``error`` to rows that have ``model`` and ``messages``.
 
     ``load`` has a function per model that loads it; each task loads a model once, when the
-    first row for it arrives, and then sends whole Arrow batches. Few rows with slow models need
-    ``partitions`` to spread. Write the result before using it twice, or the models run twice.
+    first row for it arrives, and then sends batches of at most ``batch_size`` conversations. Few
+    rows with slow models need ``partitions`` to spread. Write the result before using it twice,
+    or the models run twice.
 
-    If a batch fails it is sent again row by row, so that an error stays with its row.
+    If a batch fails it is sent again row by row, so that an error stays with its row. Python
+    sees ``model`` and ``messages`` alone; all other columns pass through unread.
     """
     if partitions is not None:
         requests = requests.repartition(partitions)
     loaders = dict(load)
-    columns = requests.columns
     fields = [*requests.schema.fields]
     fields += [T.StructField(name, T.StringType(), True) for name in ("output", "error")]
 
@@ -62,23 +68,27 @@ def batch_generate(
                 return [(None, f"{type(error).__name__}: {error}")]
             return [ask(model, [one])[0] for one in conversations]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ready: dict[str, BatchFunction] = {}
         for batch in batches:
-            batch = batch.assign(output=None, error=None)
-            for model, rows in batch.groupby("model").groups.items():
+            done: list[tuple] = [(None, None)] * batch.num_rows
+            rows_of: dict[str, list[int]] = {}
+            for row, model in enumerate(batch.column("model").to_pylist()):
+                rows_of.setdefault(model, []).append(row)
+            messages = batch.column("messages")
+            for model, rows in rows_of.items():
                 if model not in ready:
                     ready[model] = loaders[model]()
-                conversations = [
-                    [{"role": m["role"], "content": m["content"]} for m in entries]
-                    for entries in batch.loc[rows, "messages"]
-                ]
-                done = ask(ready[model], conversations)
-                batch.loc[rows, "output"] = [reply for reply, _ in done]
-                batch.loc[rows, "error"] = [error for _, error in done]
-            yield batch[[*columns, "output", "error"]]
-
-    return requests.mapInPandas(run, T.StructType(fields))
+                for first in range(0, len(rows), batch_size):
+                    some = rows[first : first + batch_size]
+                    conversations = messages.take(pa.array(some)).to_pylist()
+                    for row, result in zip(some, ask(ready[model], conversations)):
+                        done[row] = result
+            added = [pa.array([d[i] for d in done], pa.string()) for i in (0, 1)]
+            names = [*batch.schema.names, "output", "error"]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=names)
+
+    return requests.mapInArrow(run, T.StructType(fields))
 
 
 def token_count(fn: Callable[[list[str]], list[int]]) -> Callable:

@@ -1,13 +1,12 @@
 """Test prompts must not come from the training data."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dialogue_engine.functions.rounding import py_round
 from dialogue_engine.functions.text import normalised
-from dialogue_engine.scratch import written
 
-# Keys of 32 characters: a table of this many is well below Spark's broadcast limit.
-FEW_KEYS = 100_000
+NGRAM = 8
 
 
 def held_out(
@@ -15,14 +14,58 @@ def held_out(
 ) -> DataFrame:
     """Prompts whose text, apart from case and blanks, is no instruction of the data.
 
-    Only hashes of the texts are compared; the prompts are stored with theirs. Few prompts are broadcast, and the data is searched
-    where it is. For many, the hashes of the data are shuffled, each once per task: an
-    instruction that makes up a third of the data is one row from every task.
+    Only hashes of the data's texts are moved, each once per task: an instruction that makes up
+    a third of the data is one row from every task. Each text is normalised once.
     """
-    keyed = written(prompts.withColumn("__key", F.md5(normalised(F.col(prompt)))))
-    wanted = keyed.select("__key").distinct()
-    known = cases.select(F.md5(normalised(F.col(instruction))).alias("__key"))
-    if wanted.count() > FEW_KEYS:
-        known = known.distinct()
-    hits = known.join(wanted, "__key", "left_semi").distinct()
-    return keyed.join(hits, "__key", "left_anti").drop("__key")
+    known = cases.select(F.md5(normalised(F.col(instruction))).alias("__key")).distinct()
+    keyed = prompts.withColumn("__key", F.md5(normalised(F.col(prompt))))
+    return keyed.join(known, "__key", "left_anti").drop("__key")
+
+
+def _ngrams(text: Column, n: int) -> Column:
+    """Hashes of the different runs of n words; of the whole text, if it has fewer."""
+
+    def runs(words: Column) -> Column:
+        last = F.greatest(F.size(words) - n + 1, F.lit(1))
+        every = F.transform(
+            F.sequence(F.lit(1), last),
+            lambda i: F.xxhash64(F.array_join(F.slice(words, i, n), " ")),
+        )
+        return F.when(words[0] == "", F.array().cast("array<bigint>")).otherwise(
+            F.array_distinct(every)
+        )
+
+    return F.element_at(F.transform(F.array(F.split(normalised(text), " ")), runs), 1)
+
+
+def held_out_overlap(
+    prompts: DataFrame,
+    cases: DataFrame,
+    n: int = NGRAM,
+    prompt: str = "prompt",
+    instruction: str = "instruction",
+    id_col: str = "prompt_id",
+) -> DataFrame:
+    """Per prompt how many of its word n-grams the data has: (id, ngrams, found, share).
+
+    ``id_col`` must be unique. A prompt without words has no n-grams and the share 0. The data
+    is reduced to the prompts' n-grams before its own are made distinct; as long as the
+    prompts' are few, Spark does that where the data is.
+    """
+    grams = prompts.select(id_col, _ngrams(F.col(prompt), n).alias("__grams")).select(
+        id_col, F.size("__grams").cast("long").alias("ngrams"), F.explode_outer("__grams").alias("__gram")
+    )
+    asked = grams.select("__gram").distinct()
+    known = (
+        cases.select(F.explode(_ngrams(F.col(instruction), n)).alias("__gram"))
+        .join(asked, "__gram", "left_semi")
+        .distinct()
+        .withColumn("__known", F.lit(1))
+    )
+    share = F.coalesce(F.col("found") / F.nullif(F.col("ngrams"), F.lit(0)), F.lit(0.0))
+    return (
+        grams.join(known, "__gram", "left")
+        .groupBy(id_col)
+        .agg(F.max("ngrams").alias("ngrams"), F.count("__known").alias("found"))
+        .withColumn("share", py_round(share, 4))
+    )

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 SPAN = 65_536
 KEY = "__key"
+# Parts that a group's rows are dealt out to before the best of each are compared.
+PARTS = 64
 
 
 def span_of(col: Column | str, span: int = SPAN) -> Column:
@@ -32,6 +34,50 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return keyed.join(found, KEY, how).drop(KEY)
 
 
+def top_per_key(
+    df: DataFrame,
+    keys: Sequence[str | Column],
+    order: Sequence[Column],
+    k: int,
+    spread_by: str,
+    name: str = "__rank",
+) -> DataFrame:
+    """The first k rows of each group, with their rank in ``name``.
+
+    In two steps, so that a group that holds a third of all rows is spread over ``PARTS`` tasks and
+    only the first k rows of each part meet in one, whatever k is.
+    """
+    part = F.pmod(F.xxhash64(spread_by), F.lit(PARTS))
+    first = Window.partitionBy(*keys, "__part").orderBy(*order)
+    spread = df.withColumn("__part", part).withColumn(name, F.row_number().over(first))
+    left = spread.where(F.col(name) <= k).drop("__part")
+    last = Window.partitionBy(*keys).orderBy(*order)
+    return left.withColumn(name, F.row_number().over(last)).where(F.col(name) <= k)
+
+
+def _rows_before(counted: DataFrame, keys: Sequence[str], bucket: str, levels: int) -> DataFrame:
+    """Add ``__before``: rows of the group in earlier buckets. Buckets are gathered by ``SPAN`` of
+    them, so that sparse buckets, of which a group has very many, are spread as well."""
+    if not levels:
+        earlier = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+        return counted.withColumn("__before", F.coalesce(F.sum("__rows").over(earlier), F.lit(0)))
+    outer = f"{bucket}_"
+    spread = counted.withColumn(outer, span_of(bucket))
+    inside = (
+        Window.partitionBy(*keys, outer).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    )
+    spread = spread.withColumn("__near", F.coalesce(F.sum("__rows").over(inside), F.lit(0)))
+    sums = spread.groupBy(*keys, outer).agg(F.sum("__rows").alias("__rows"))
+    far = _rows_before(sums, keys, outer, levels - 1).select(
+        *keys, outer, F.col("__before").alias("__far")
+    )
+    return (
+        null_safe_join(spread, far, [*keys, outer], "inner")
+        .withColumn("__before", F.col("__near") + F.col("__far"))
+        .drop(outer, "__near", "__far")
+    )
+
+
 def positions(
     df: DataFrame,
     keys: Sequence[str],
@@ -53,14 +99,13 @@ def positions(
         F.count(F.lit(1)).alias("__rows"),
         *(merge[how](col).alias(out) for out, (col, how) in totals.items()),
     )
-    group = Window.partitionBy(*keys)
-    earlier = group.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_bucket.select(
-        *keys,
-        "__bucket",
-        F.coalesce(F.sum("__rows").over(earlier), F.lit(0)).alias("__before"),
-        *(merge[how](out).over(group).alias(out) for out, (_, how) in totals.items()),
-    )
+    offsets = _rows_before(per_bucket, keys, "__bucket", levels=1)
+    offsets = offsets.select(*keys, "__bucket", "__before")
+    if totals:
+        whole = keyed.groupBy(*keys).agg(
+            *(merge[how](col).alias(out) for out, (col, how) in totals.items())
+        )
+        offsets = null_safe_join(offsets, whole, list(keys), "inner")
 
     # window and join are partitioned by the same column: the rows are shuffled once
     inside = Window.partitionBy(KEY).orderBy(*order)

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from dialogue_engine import constants as C
 from dialogue_engine.functions import chat
-from dialogue_engine.operators.positions import positions, span_of
+from dialogue_engine.operators.positions import null_safe_join, positions, span_of, top_per_key
+from dialogue_engine.operators.split import order_hash
 
 
 def keep_only(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -58,6 +59,18 @@ def dedupe(cases: DataFrame, keys: Sequence[str | Column], id_col: str = "case_i
     return cases.withColumn("__rank", F.row_number().over(first)).where("__rank = 1").drop("__rank")
 
 
+def cap_per_template(
+    cases: DataFrame, k: int, template: str = "response", id_col: str = "case_id", seed: int = C.SEED
+) -> DataFrame:
+    """At most k cases for each identical response, the first ones in seeded order.
+
+    A missing response is a template like any other. Templates are compared by md5.
+    """
+    order = [order_hash(id_col, seed), F.col(id_col)]
+    keyed = cases.withColumn("__template", F.md5(template))
+    return top_per_key(keyed, ["__template"], order, k, id_col).drop("__template", "__rank")
+
+
 def number_turns(turns: DataFrame) -> DataFrame:
     """Give turns the positions 0, 1, 2, ... in their conversation, closing gaps.
 
@@ -68,15 +81,17 @@ def number_turns(turns: DataFrame) -> DataFrame:
 
 
 def pair_turns(turns: DataFrame) -> DataFrame:
-    """User turns with the next turn, when that is the assistant's.
+    """User turns with the next turn of the conversation, when that is the assistant's. Turn
+    numbers may have gaps.
 
-    A join on (conversation, position) rather than a window: the key is unique, so a very long
-    conversation is spread evenly, and each row is on one side only.
+    A join on (conversation, position) rather than a window over the conversation: the key is
+    unique, so a very long conversation is spread evenly, and each row is on one side only.
     """
-    asked = turns.where(F.col("role") == "user").select(
-        "conv_id", "turn", F.col("text").alias("instruction")
+    at = positions(turns, ["conv_id"], ["turn"], span_of("turn"), name="__at")
+    asked = at.where(F.col("role") == "user").select(
+        "conv_id", "__at", "turn", F.col("text").alias("instruction")
     )
-    answered = turns.where(F.col("role") == "assistant").select(
-        "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("response")
+    answered = at.where(F.col("role") == "assistant").select(
+        "conv_id", (F.col("__at") - 1).alias("__at"), F.col("text").alias("response")
     )
-    return asked.join(answered, ["conv_id", "turn"])
+    return null_safe_join(asked, answered, ["conv_id", "__at"], "inner").drop("__at")

@@ -16,9 +16,8 @@ from dialogue_engine import constants as C
 from dialogue_engine.operators.positions import null_safe_join
 from dialogue_engine.scratch import written
 
+# Characters of the hash that are counted: 65,536 prefixes, so 10^11 rows leave 1.5 million to rank.
 PREFIX_CHARS = 4
-# Up to this many rows a plain top-k is cheaper than counting prefixes.
-TOP_K_ROWS = 10_000
 
 
 def order_hash(id_col: str, seed: int) -> Column:
@@ -115,9 +114,7 @@ def split_parts(flagged: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def first_rows(df: DataFrame, rows: int, seed: int = C.SEED, id_col: str = "case_id") -> DataFrame:
-    """The first min(rows, n) rows in seeded order."""
-    if rows <= TOP_K_ROWS:
-        return df.orderBy(order_hash(id_col, seed), id_col).limit(rows)
+    """The first min(rows, n) rows in seeded order, filtered in place at every size."""
 
     def size(total):
         return F.least(total, F.lit(rows).cast("long"))

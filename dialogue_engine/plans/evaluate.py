@@ -37,7 +37,7 @@ def evaluate(
     described = spark.createDataFrame(
         [tuple((config or {}).get(f.name) for f in EVALUATION_CONFIG.fields)], EVALUATION_CONFIG
     )
-    write_results(described.withColumn("run_id", F.lit(run_id)), f"{path}/config")
+    write_results(described.withColumn("run_id", F.lit(run_id)), f"{path}/config", run_id=run_id)
 
     models = list(load)
     # model by model, so that no task has to hold two of them
@@ -48,13 +48,20 @@ def evaluate(
             for m in models
         ),
     ).select(F.lit(run_id).alias("run_id"), "prompt_id", "prompt", "model", "output", "error")
-    write_results(answered, f"{path}/responses")
+    write_results(answered, f"{path}/responses", run_id=run_id)
 
-    stored = spark.read.parquet(f"{path}/responses").where(F.col("run_id") == run_id)
+    def of_this_run(table: str, schema) -> DataFrame:
+        return spark.read.schema(schema).parquet(f"{path}/{table}").where(F.col("run_id") == run_id)
+
+    stored = of_this_run("responses", answered.schema)
     wide = side_by_side(stored, ("run_id", "prompt_id", "prompt"), models)
     missing = [c for c in OUTPUT_COLUMNS.values() if c not in wide.columns]
     wide = wide.withColumns({c: F.lit(None).cast("string") for c in missing})
-    write_results(wide, f"{path}/results")
+    write_results(wide, f"{path}/results", run_id=run_id)
 
-    results = spark.read.parquet(f"{path}/results").where(F.col("run_id") == run_id)
-    write_results(metrics_record(evaluate_results(results, keywords)), f"{path}/metrics")
+    results = of_this_run("results", wide.schema)
+    # the mode is that of the models asked, and the run has a record even without any prompt
+    mode = "single" if models == ["single"] else "two"
+    this_run = described.select(F.lit(run_id).alias("run_id"))
+    record = metrics_record(evaluate_results(results, keywords, mode), this_run)
+    write_results(record, f"{path}/metrics", run_id=run_id)

@@ -17,17 +17,19 @@ def respond(
     load: Callable[[], BatchFunction],
     system_prompt: str = C.SYSTEM_PROMPT,
     last_k: int | None = None,
-) -> DataFrame:
-    """The turns after answering ``requests`` (conv_id, message, max_tokens), at most one per
-    conversation. Blank messages change nothing; failed answers add nothing."""
+) -> tuple[DataFrame, DataFrame]:
+    """The turns after answering ``requests`` (conv_id, message, max_tokens), and the requests that
+    failed, with their error. Blank messages change nothing; failed answers add nothing."""
     gated = request_gate(requests)
     ready = request_context(turns, gated, system_prompt, last_k).withColumn(
         "model", F.lit("single")
     )
     # stored before use: otherwise a second reader would ask the model again
     answered = written(
-        batch_generate(ready, {"single": load})
-        .where("error is null")
-        .select("conv_id", "message", F.col("output").alias("reply"))
+        batch_generate(ready, {"single": load}).select(
+            "conv_id", "message", F.col("output").alias("reply"), "error"
+        )
     )
-    return append_reply(turns, answered)
+    replies = answered.where("error is null").select("conv_id", "message", "reply")
+    failed = answered.where("error is not null").select("conv_id", "message", "error")
+    return append_reply(turns, replies), failed

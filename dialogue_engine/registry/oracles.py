@@ -151,7 +151,10 @@ def _single_metrics() -> str:
     """Metrics of the record query: even runs with two models, odd ones with one."""
     return LONG + f""", replies AS (
   SELECT run_id, model, output FROM long WHERE run_id % 2 = 0
-  UNION ALL SELECT run_id, 'single', base_output FROM wide WHERE run_id % 2 = 1),
+  UNION ALL SELECT run_id, 'single', base_output FROM wide WHERE run_id % 2 = 1
+  UNION ALL SELECT run_id + 10, 'single', NULL FROM wide
+  UNION ALL SELECT run_id + 20, 'base', base_output FROM wide
+  UNION ALL SELECT run_id + 20, 'fine_tuned', NULL FROM wide),
 {scored('replies', 'run_id, model')},
 m AS (SELECT run_id, model, {METRICS} FROM scored GROUP BY run_id, model)"""
 
@@ -189,7 +192,7 @@ SELECT prompt_id, model, n AS chars, k AS keywords,
   CASE WHEN inner_size = 0 THEN 'empty' WHEN inner_size < 20 THEN 'short' ELSE 'ok' END AS reply_class
 FROM scored""",
     "result_mode": f"""WITH {WIDE}
-SELECT prompt_id AS run_id, CASE WHEN fine_tuned_output IS NOT NULL THEN 'two' ELSE 'none' END AS mode
+SELECT prompt_id AS run_id, CASE WHEN fine_tuned_output IS NOT NULL THEN 'two' ELSE 'single' END AS mode
 FROM wide""",
     "side_by_side": f"""WITH {WIDE}
 SELECT *, 'Base: ' || {size('base_output')} || ' chars. Fine-tuned: ' || {size('fine_tuned_output')}
@@ -217,7 +220,7 @@ FROM numbered WHERE shown <= 15""",
     "metrics_by_test_type": f"""WITH {RESPONSES}, catalog AS (
   SELECT DISTINCT conv_id || ':' || (turn // 4) AS prompt_id, {_KIND} AS test_type
   FROM conversations WHERE role = 'user'),
-typed AS (SELECT c.test_type, r.model, r.output FROM responses r JOIN catalog c USING (prompt_id)),
+typed AS (SELECT c.test_type, r.model, r.output FROM responses r LEFT JOIN catalog c USING (prompt_id)),
 {scored('typed', 'test_type, model')}
 SELECT test_type, model, {METRICS} FROM scored GROUP BY test_type, model""",
     "weak_intents": f"""WITH replies AS (SELECT source AS intent, text AS output FROM documents),
@@ -245,7 +248,7 @@ FROM records""",
     unnest([0.5, num_prompts + 1000, 0, 0]::DOUBLE[]) FROM records WHERE run_id >= 2)
 SELECT * FROM cards WHERE value IS NOT NULL""",
     "invalid_comparison": f"""WITH {WIDE}, modes AS (
-  SELECT prompt_id AS run_id, CASE WHEN fine_tuned_output IS NOT NULL THEN 'two' ELSE 'none' END AS mode
+  SELECT prompt_id AS run_id, CASE WHEN fine_tuned_output IS NOT NULL THEN 'two' ELSE 'single' END AS mode
   FROM wide),
 configs AS (SELECT DISTINCT conv_id || ':' || (turn // 4) AS run_id,
   CASE conv_id % 3 WHEN 0 THEN true WHEN 1 THEN false END AS adapter_loaded FROM conversations)
@@ -263,8 +266,10 @@ FROM modes LEFT JOIN configs USING (run_id)""",
                              '$.message.content') ELSE '' END AS content,
   event_id % 3 = 2 AS bad_json FROM events""",
     "pair_turns": f"WITH {PAIRS} SELECT conv_id, turn, instruction, response FROM pairs",
+    "pair_turns_with_gaps": f"""WITH {PAIRS}
+SELECT conv_id, (turn - 2) * 1000003 AS turn, instruction, response FROM pairs""",
     "number_turns": """SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS turn,
-  role, text FROM conversations WHERE role = 'user'""",
+  role, text FROM conversations""",
     "chat_rendered": f"""WITH {PAIRS}, texts AS (SELECT case_id, {TRAINING_TEXT} AS text FROM pairs)
 SELECT case_id, md5(text) AS digest, CAST(length(text) AS BIGINT) AS chars FROM texts""",
     "messages_exploded": f"""WITH {PAIRS}
@@ -276,6 +281,10 @@ WHERE length(response) BETWEEN 57 AND 2470""",
     "in_scope": f"WITH {CASES} SELECT case_id, category, intent FROM cases WHERE category IN ('de', 'fr')",
     "dedupe": f"""WITH {CASES} SELECT min(case_id) AS case_id, flags, category,
   arg_min(intent, case_id) AS intent FROM cases GROUP BY flags, category""",
+    "cap_per_template": f"""WITH {CASES}, ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY response ORDER BY md5('{C.SEED}:' || case_id), case_id) AS r
+  FROM cases)
+SELECT case_id, md5(response) AS response, intent FROM ranked WHERE r <= 2""",
     "fallback_union": f"""WITH {CASES}
 SELECT case_id, instruction, md5(response) AS response, category, intent, flags FROM cases
 UNION ALL SELECT -1 - item_id, text, md5({lit(C.FALLBACK_REPLY)}), NULL, 'out_of_scope', NULL FROM benchmark""",
@@ -304,10 +313,15 @@ SELECT DISTINCT intent FROM flagged WHERE NOT is_eval
     "review_sample": f"""WITH {CASES} SELECT case_id, md5(response) AS response FROM cases
 ORDER BY md5('{C.SEED}:' || case_id), case_id LIMIT 30""",
     "chat_context": context("ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"),
+    "chat_context_shifted": context("ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING").replace(
+        "SELECT conv_id, turn, md5(text)", "SELECT conv_id, turn * 101 - 150 AS turn, md5(text)"
+    ),
     "chat_context_last4": context("ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING"),
     "append_reply": f"""WITH {OPEN}
 SELECT conv_id, turn, role, text FROM conversations
-UNION ALL SELECT conv_id, turn + 1, 'assistant', 'Re: ' || message FROM open""",
+UNION ALL SELECT conv_id, turn + 1, 'assistant', 'Re: ' || message FROM open
+UNION ALL SELECT conv_id, turn + 2, 'user', 'And?' FROM open
+UNION ALL SELECT conv_id, turn + 3, 'assistant', 'Re: ' || message FROM open""",
     "request_context": f"""WITH {OPEN}, asked AS (
   SELECT o.conv_id, {rendered('system', lit(C.SYSTEM_PROMPT))} || string_agg(
       CASE c.role WHEN 'user' THEN {rendered('user', 'c.text')}
@@ -323,8 +337,10 @@ FROM conversations WHERE role = 'user'""",
     AS BIGINT) AS num_predict,
   conv_id % 2 = 0 AS has_options
 FROM conversations WHERE role = 'user'""",
-    "fan_out_generate": """SELECT conv_id, turn, model, prefix || ' 2: ' || text AS output,
-  CAST(NULL AS VARCHAR) AS error
+    "fan_out_generate": """SELECT conv_id, turn, model,
+  CASE WHEN turn % 3 > 0 THEN 9007199254740993 + conv_id END AS large,
+  CASE WHEN length(text) % 7 <> 0 THEN prefix || ' 2: ' || text END AS output,
+  CASE WHEN length(text) % 7 = 0 THEN 'ValueError: seven' END AS error
 FROM conversations, (VALUES ('base', 'b'), ('fine_tuned', 'f')) AS models(model, prefix)
 WHERE role = 'user'""",
     "placeholder_inventory": f"""WITH {TPL}, names AS (
@@ -348,6 +364,19 @@ FROM tpl JOIN customer ON o_custkey = c_custkey""",
 known AS (SELECT DISTINCT {normal('text')} AS t FROM documents)
 SELECT prompt_id, md5(prompt) AS prompt FROM prompts p
 WHERE NOT EXISTS (SELECT 1 FROM known WHERE t = {normal('p.prompt')})""",
+    "held_out_overlap": f"""WITH prompts AS (
+  SELECT -1 - item_id AS prompt_id, text FROM benchmark UNION ALL SELECT doc_id, text FROM documents),
+words AS (SELECT prompt_id, string_split({normal('text')}, ' ') AS w FROM prompts),
+data AS (SELECT string_split({normal('text')}, ' ') AS w FROM documents WHERE length(source) % 2 = 0),
+grams AS (SELECT DISTINCT prompt_id, unnest(list_transform(range(1, greatest(len(w) - 7, 1) + 1),
+    lambda i: array_to_string(w[i:i + 7], ' '))) AS g FROM words WHERE w[1] <> ''),
+known AS (SELECT DISTINCT unnest(list_transform(range(1, greatest(len(w) - 7, 1) + 1),
+    lambda i: array_to_string(w[i:i + 7], ' '))) AS g FROM data WHERE w[1] <> ''),
+counted AS (SELECT prompt_id, count(*) AS ngrams, count(known.g) AS found
+  FROM grams LEFT JOIN known USING (g) GROUP BY prompt_id)
+SELECT prompt_id, coalesce(ngrams, 0) AS ngrams, coalesce(found, 0) AS found,
+  {rounded('coalesce(found / nullif(ngrams, 0), 0)', 4)} AS share
+FROM prompts LEFT JOIN counted USING (prompt_id)""",
     "loss_series": f"WITH {LOG} SELECT run_id, seq, coalesce(step, position) AS step, loss FROM losses",
     "loss_scaled": f"""WITH {LOG}, bounds AS (
   SELECT run_id, count(*) AS n, min(loss) AS mn, CASE WHEN max(loss) = 0 THEN 1 ELSE max(loss) END AS mx
@@ -384,7 +413,8 @@ FROM l GROUP BY "column\"""",
     "longest_cases": """SELECT doc_id AS case_id, source AS intent, CAST(length(text) AS BIGINT) AS chars
 FROM documents ORDER BY length(text) DESC, doc_id LIMIT 20""",
     "truncation_monitor": f"""WITH t AS (
-  SELECT source AS intent, CAST(len(regexp_extract_all(text, '[^{C.BLANK_CHARS}]+')) AS BIGINT) AS n FROM documents)
+  SELECT source AS intent, CAST(len(regexp_extract_all({TRAINING_TEXT}, '[^{C.BLANK_CHARS}]+')) AS BIGINT) AS n
+  FROM (SELECT source, lang || ' ' || source || ' ' || n_chars AS instruction, text AS response FROM documents))
 SELECT intent, count(*) AS cases, max(n) AS tokens_max, count(*) FILTER (WHERE n > 1024) AS truncated,
   {rounded('avg(CASE WHEN n > 1024 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END)', 4)} AS truncated_share
 FROM t GROUP BY intent""",

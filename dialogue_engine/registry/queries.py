@@ -42,6 +42,10 @@ def _pairs(spark, sf_dir):
     )
 
 
+def _scores(spark, sf_dir):
+    return evaluate.paired_scores(views.responses(spark, sf_dir), keywords=KEYWORDS)
+
+
 def _wide(spark, sf_dir):
     return evaluate.side_by_side(views.responses(spark, sf_dir))
 
@@ -55,8 +59,7 @@ def _digest(df, *keys):
 
 @query
 def evaluation_metrics(spark, sf_dir):
-    long = evaluate.wide_to_long(_wide(spark, sf_dir))
-    return evaluate.evaluation_metrics(long, keywords=KEYWORDS)
+    return evaluate.metrics_of_scores(_scores(spark, sf_dir))
 
 
 @query
@@ -66,7 +69,8 @@ def evaluation_metrics_documents(spark, sf_dir):
 
 @query
 def evaluation_record(spark, sf_dir):
-    """Stored layout, from results of two modes: every second run has one model only."""
+    """Stored layout, from results of two modes: every second run has one model only. Each run is
+    there again without any output, and once more with the fine-tuned ones failed."""
     wide = _wide(spark, sf_dir)
     single = F.col("run_id") % 2 == 1
     results = wide.select(
@@ -75,7 +79,18 @@ def evaluation_record(spark, sf_dir):
         F.when(~single, F.col("base_output")).alias("base_output"),
         F.when(~single, F.col("fine_tuned_output")).alias("fine_tuned_output"),
         F.when(single, F.col("base_output")).alias("ollama_output"),
+        F.lit(False).alias("has_two"),
+    )
+    none = F.lit(None).cast("string")
+    silent = results.select(
+        (F.col("run_id") + 10).alias("run_id"), "prompt_id", none.alias("base_output"),
+        none.alias("fine_tuned_output"), none.alias("ollama_output"), "has_two",
     )
+    failed = wide.select(
+        (F.col("run_id") + 20).alias("run_id"), "prompt_id", "base_output",
+        none.alias("fine_tuned_output"), none.alias("ollama_output"), F.lit(True).alias("has_two"),
+    )
+    results = results.unionByName(silent).unionByName(failed)
     record = evaluate.metrics_record(evaluate.evaluate_results(results, KEYWORDS))
     stats = [c for c in record.columns if c.startswith("length_stats")]
     return record.select(
@@ -91,8 +106,8 @@ def reply_scores(spark, sf_dir):
 
 @query
 def result_mode(spark, sf_dir):
-    results = _wide(spark, sf_dir).withColumn("ollama_output", F.lit(None).cast("string"))
-    return evaluate.result_mode(results.withColumn("run_id", F.col("prompt_id")))
+    """Each prompt as a run of its own."""
+    return evaluate.result_mode(views.result_rows(spark, sf_dir))
 
 
 @query
@@ -107,12 +122,15 @@ def ab_delta(spark, sf_dir):
 
 @query
 def ab_summary(spark, sf_dir):
-    return evaluate.ab_summary(evaluate.ab_delta(_wide(spark, sf_dir), keywords=KEYWORDS))
+    return evaluate.ab_summary(evaluate.ab_delta_of_scores(_scores(spark, sf_dir)))
 
 
 @query
 def comparison_table(spark, sf_dir):
-    return evaluate.comparison_table(_wide(spark, sf_dir))
+    cells = views.responses(spark, sf_dir).withColumn(
+        "output", text.excerpt(F.col("output"), C.OUTPUT_CELL_CHARS)
+    )
+    return evaluate.comparison_table(evaluate.side_by_side(cells))
 
 
 @query
@@ -139,8 +157,7 @@ def metrics_by_lang(spark, sf_dir):
 
 def _records(spark, sf_dir):
     """Computed records of all runs; two runs also have a stored one, partly filled."""
-    long = evaluate.wide_to_long(_wide(spark, sf_dir))
-    computed = evaluate.metrics_record(evaluate.evaluation_metrics(long, keywords=KEYWORDS))
+    computed = evaluate.metrics_record(evaluate.metrics_of_scores(_scores(spark, sf_dir)))
     stored = computed.where(F.col("run_id") >= 2).select(
         "run_id",
         *(
@@ -169,8 +186,7 @@ def report_cards(spark, sf_dir):
 @query
 def invalid_comparison(spark, sf_dir):
     """Each prompt as a run of its own; adapter state by the parity of the conversation."""
-    results = _wide(spark, sf_dir).withColumn("ollama_output", F.lit(None).cast("string"))
-    modes = evaluate.result_mode(results.withColumn("run_id", F.col("prompt_id")))
+    modes = evaluate.result_mode(views.result_rows(spark, sf_dir))
     state = F.when(F.col("conv_id") % 3 == 0, F.lit(True)).when(F.col("conv_id") % 3 == 1, F.lit(False))
     configs = (
         _conversations(spark, sf_dir)
@@ -231,10 +247,18 @@ def pair_turns(spark, sf_dir):
     return prepare.pair_turns(_conversations(spark, sf_dir))
 
 
+@query
+def pair_turns_with_gaps(spark, sf_dir):
+    """Turn numbers with gaps, below 0 and far apart."""
+    spread = (F.col("turn") - 2) * 1_000_003
+    return prepare.pair_turns(_conversations(spark, sf_dir).withColumn("turn", spread))
+
+
 @query
 def number_turns(spark, sf_dir):
-    """The turns of the user alone, numbered without gaps."""
-    return prepare.number_turns(_conversations(spark, sf_dir).where("role = 'user'"))
+    """All turns, after their numbers were spread out."""
+    spread = F.col("turn") * F.col("turn") * 70_001 - 5
+    return prepare.number_turns(_conversations(spark, sf_dir).withColumn("turn", spread))
 
 
 @query
@@ -269,6 +293,12 @@ def dedupe(spark, sf_dir):
     return kept.select("case_id", "flags", "category", "intent")
 
 
+@query
+def cap_per_template(spark, sf_dir):
+    kept = prepare.cap_per_template(views.cases(spark, sf_dir), 2)
+    return kept.select("case_id", F.md5("response").alias("response"), "intent")
+
+
 @query
 def fallback_union(spark, sf_dir):
     """Cases with out-of-scope examples made from the benchmark texts."""
@@ -355,6 +385,15 @@ def chat_context(spark, sf_dir):
     return _context_digest(context.chat_context(_conversations(spark, sf_dir)))
 
 
+@query
+def chat_context_shifted(spark, sf_dir):
+    """Turns from below 0 to beyond the first block."""
+    shifted = F.col("turn") * 101 - 150
+    return _context_digest(
+        context.chat_context(_conversations(spark, sf_dir).withColumn("turn", shifted))
+    )
+
+
 @query
 def chat_context_last4(spark, sf_dir):
     return _context_digest(context.chat_context(_conversations(spark, sf_dir), last_k=4))
@@ -374,9 +413,12 @@ def _open_messages(spark, sf_dir):
 
 @query
 def append_reply(spark, sf_dir):
+    """Two exchanges for each open conversation."""
     history, messages = _open_messages(spark, sf_dir)
     reply = F.concat(F.lit("Re: "), F.col("message"))
-    return context.append_reply(history, messages.withColumn("reply", reply))
+    first = messages.withColumn("reply", reply).withColumn("seq", F.lit(1))
+    second = first.withColumn("message", F.lit("And?")).withColumn("seq", F.lit(2))
+    return context.append_reply(history, first.unionByName(second), ["seq"])
 
 
 @query
@@ -419,6 +461,8 @@ def _stub(prefix):
 
     def load():
         def run(conversations):
+            if any(len(c[-1]["content"]) % 7 == 0 for c in conversations):
+                raise ValueError("seven")
             return [f"{prefix} {len(c)}: {c[-1]['content']}" for c in conversations]
 
         return run
@@ -431,8 +475,11 @@ def fan_out_generate(spark, sf_dir):
     prompts = views.requests(spark, sf_dir).withColumn("prompt", F.col("message"))
     models = {"base": _stub("b"), "fine_tuned": _stub("f")}
     asked = generate.prompt_messages(generate.fan_out(prompts, list(models)))
-    answered = generate.batch_generate(asked.select("conv_id", "turn", "model", "messages"), models)
-    return answered.select("conv_id", "turn", "model", "output", "error")
+    # a number that a double cannot hold, next to nulls
+    large = F.when(F.col("turn") % 3 > 0, F.lit(9_007_199_254_740_993) + F.col("conv_id"))
+    asked = asked.withColumn("large", large).select("conv_id", "turn", "large", "model", "messages")
+    answered = generate.batch_generate(asked, models)
+    return answered.select("conv_id", "turn", "large", "model", "output", "error")
 
 
 # --- placeholders -------------------------------------------------------------------------
@@ -494,6 +541,19 @@ def held_out(spark, sf_dir):
     return kept.select("prompt_id", F.md5("prompt").alias("prompt"))
 
 
+@query
+def held_out_overlap(spark, sf_dir):
+    """Benchmark items and documents against the documents of some sources."""
+    documents = table(spark, sf_dir, "documents")
+    prompts = (
+        table(spark, sf_dir, "benchmark")
+        .select((-1 - F.col("item_id")).alias("prompt_id"), F.col("text").alias("prompt"))
+        .unionByName(documents.select(F.col("doc_id").alias("prompt_id"), F.col("text").alias("prompt")))
+    )
+    data = documents.where(F.length("source") % 2 == 0)
+    return heldout.held_out_overlap(prompts, data, instruction="text")
+
+
 # --- training runs ------------------------------------------------------------------------
 
 
@@ -554,7 +614,9 @@ def longest_cases(spark, sf_dir):
 
 @query
 def truncation_monitor(spark, sf_dir):
-    return profile.truncation_monitor(views.cases(spark, sf_dir), F.col("response"))
+    """Lengths of the rendered examples, which is what the limit holds for."""
+    examples = prepare.to_messages(views.cases(spark, sf_dir), keys=("case_id", "intent"))
+    return profile.truncation_monitor(examples, chat.render_chat(F.col("messages")))
 
 
 @query

@@ -50,6 +50,17 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def result_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Replies as result rows with one output each; every prompt is a run."""
+    return responses(spark, sf_dir).select(
+        F.col("prompt_id").alias("run_id"),
+        *(
+            F.when(F.col("model") == m, F.col("output")).alias(f"{m}_output")
+            for m in ("base", "fine_tuned", "ollama")
+        ),
+    )
+
+
 def document_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as replies, one per case."""
     return table(spark, sf_dir, "documents").select(

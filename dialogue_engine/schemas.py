@@ -54,7 +54,8 @@ EVALUATION_CONFIG = _struct(
 # One schema reads both file shapes: an object file fills the first three fields, a file that
 # is a bare list of results fills the fields of a result, a broken file the last one.
 EVALUATION_FILE = _struct(
-    ("results", T.ArrayType(RESULT)),
+    # maps, because a null value then keeps its key
+    ("results", T.ArrayType(T.MapType(_S, _S))),
     ("metrics", METRICS),
     ("evaluation_config", EVALUATION_CONFIG),
     *RESULT_FIELDS,

@@ -13,23 +13,35 @@ def _local_folder() -> str:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The folder the session names; without one, a temporary folder, in local mode only."""
+    """The folder the session names. Without one, a temporary folder, where driver and executor are
+    one process; anywhere else the setting is required."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
     return _local_folder()
 
 
+def _tables(spark: SparkSession) -> str:
+    return f"{scratch_dir(spark)}/tables/{spark.sparkContext.applicationId}"
+
+
 def written(df: DataFrame) -> DataFrame:
-    """Write a small intermediate result once and read it back.
+    """Write an intermediate result once and read it back.
 
     It survives lost executors, is not computed again by each branch that uses it, and Spark
     now knows its size on disk: below ``spark.sql.autoBroadcastJoinThreshold`` a join with it
     becomes a broadcast join, above it stays a shuffle join. No broadcast is forced.
     """
     spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/tables/{uuid.uuid4().hex}"
+    path = f"{_tables(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clear_written(spark: SparkSession) -> None:
+    """Delete what this application has written. Frames made from it can no longer be read."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_tables(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

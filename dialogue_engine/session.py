@@ -1,5 +1,7 @@
 """A local session for tests and the benchmark. On a cluster the session is given."""
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 
@@ -13,6 +15,7 @@ def local_session(cpus: int | str = "*", memory: str = "8g") -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="dialogue-engine-"))
         .config("spark.ui.enabled", "false")
         .getOrCreate()
     )

@@ -1,6 +1,6 @@
 """The table of support cases and the catalogue of test prompts."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dialogue_engine import constants as C
@@ -10,8 +10,8 @@ from dialogue_engine import schemas
 def load_cases(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Read cases from Parquet or CSV.
 
-    A table without ``case_id`` gets one that is unique, but tied to how the files are cut into
-    tasks: write it once with ``write_cases`` and read that from then on.
+    A table without ``case_id`` gets one from the file and the position in it, so it does not
+    change with the number of tasks or their sizes. Formats other than Parquet and CSV need one.
     """
     if fmt == "csv":
         reader = spark.read.schema(schemas.CASES).option("header", True)
@@ -21,9 +21,18 @@ def load_cases(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
         cases = spark.read.format(fmt).load(path)
     if "case_id" in cases.columns:
         return cases.select("case_id", *schemas.CASE_COLUMNS)
-    return cases.select(
-        F.monotonically_increasing_id().alias("case_id"), *schemas.CASE_COLUMNS
-    )
+    if fmt == "parquet":
+        at = F.col("_metadata.row_index")
+    elif fmt == "csv":
+        # a file with quoted line breaks is read by one task, which numbers its rows in order
+        cases = cases.withColumn("__file", F.col("_metadata.file_path")).withColumn(
+            "__row", F.monotonically_increasing_id()
+        )
+        at = F.col("__row") - F.min("__row").over(Window.partitionBy("__file"))
+    else:
+        raise ValueError(f"cases in {fmt} need a case_id")
+    file = F.col("__file") if fmt == "csv" else F.col("_metadata.file_path")
+    return cases.select(F.concat_ws(":", file, at).alias("case_id"), *schemas.CASE_COLUMNS)
 
 
 def write_cases(cases: DataFrame, path: str) -> None:

@@ -1,6 +1,9 @@
 """Evaluation files and tables."""
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dialogue_engine import schemas
@@ -27,16 +30,24 @@ def read_evaluations(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def evaluation_runs(spark: SparkSession, path: str) -> DataFrame:
+    """The run of every file, also of one that holds no row at all. Contents are not read."""
+    listed = spark.read.format("binaryFile").load(path)
+    return listed.select(F.col("_metadata.file_path").alias("run_id"))
+
+
 def _readable(files: DataFrame) -> DataFrame:
     return files.where(~F.col("broken"))
 
 
-def _is_list_entry(files: DataFrame):
-    return (
-        files["results"].isNull()
-        & files["metrics"].isNull()
-        & files["evaluation_config"].isNull()
-    )
+_RESULT_NAMES = [name for name, _ in schemas.RESULT_FIELDS]
+
+
+def _list_entries(files: DataFrame) -> DataFrame:
+    """The rows of files that are a bare list: those with a field of a result."""
+    whole = ("results", "metrics", "evaluation_config")
+    is_object = reduce(or_, (F.col(name).isNotNull() for name in whole))
+    return files.where(~is_object & F.coalesce(*_RESULT_NAMES).isNotNull())
 
 
 def unreadable_files(files: DataFrame) -> DataFrame:
@@ -45,25 +56,31 @@ def unreadable_files(files: DataFrame) -> DataFrame:
 
 
 def load_eval_results(files: DataFrame) -> DataFrame:
-    """Result rows of every file: (run_id, prompt_id, prompt, the outputs, commentary).
+    """Result rows of every file: (run_id, prompt_id, prompt, the outputs, commentary, has_two).
 
-    ``prompt_id`` is the position in the file. Entries of a bare list are rows already; their
-    position comes from the reading order, and a file is read by one task as it is.
+    ``prompt_id`` is the position in the file. ``has_two`` says whether the entry has the field of
+    the fine-tuned output, be it null. Entries without a field of a result are no results. Rows
+    of a bare list are numbered from the first of their file, whose smallest row number is one
+    row per task and file; no text is moved for it.
     """
-    names = [name for name, _ in schemas.RESULT_FIELDS]
-    alone = F.array(F.struct(*names))
-    in_file = Window.partitionBy("run_id").orderBy("row")
-    return (
-        _readable(files)
-        .withColumn("entries", F.when(_is_list_entry(files), alone).otherwise(F.col("results")))
-        .withColumn("before", F.row_number().over(in_file) - 1)
-        .select("run_id", "before", F.posexplode("entries").alias("position", "entry"))
-        .select(
-            "run_id",
-            (F.col("before") + F.col("position")).cast("long").alias("prompt_id"),
-            "entry.*",
-        )
+    readable = _readable(files)
+    objects = readable.select("run_id", F.posexplode("results").alias("prompt_id", "entry")).select(
+        "run_id",
+        F.col("prompt_id").cast("long").alias("prompt_id"),
+        *(F.col("entry")[name].alias(name) for name in _RESULT_NAMES),
+        F.map_contains_key("entry", "fine_tuned_output").alias("has_two"),
+        F.arrays_overlap(F.map_keys("entry"), F.array(*map(F.lit, _RESULT_NAMES))).alias("is_result"),
+    )
+    entries = _list_entries(readable)
+    first = entries.groupBy("run_id").agg(F.min("row").alias("first_row"))
+    rows = entries.join(first, "run_id").select(
+        "run_id",
+        (F.col("row") - F.col("first_row")).alias("prompt_id"),
+        *_RESULT_NAMES,
+        F.col("fine_tuned_output").isNotNull().alias("has_two"),
+        F.lit(True).alias("is_result"),
     )
+    return objects.unionByName(rows).where("is_result").drop("is_result")
 
 
 def load_eval_metrics(files: DataFrame) -> DataFrame:
@@ -77,11 +94,19 @@ def load_eval_config(files: DataFrame) -> DataFrame:
     return _readable(files).groupBy("run_id").agg(config).select("run_id", "config.*")
 
 
-def write_results(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Write rows under one folder per run, replacing only the runs that are in ``df``.
+def write_results(
+    df: DataFrame, path: str, fmt: str = "parquet", run_id: str | None = None
+) -> None:
+    """Write rows under one folder per run, replacing only the runs that are in ``df``, and the run
+    ``run_id``, which then loses its old rows even if it has no new ones.
 
     The rebalance hint sends a run's rows to few tasks when it is small, and to many when large.
     """
+    if run_id is not None:
+        jvm = df.sparkSession._jvm
+        utils = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+        folder = jvm.org.apache.hadoop.fs.Path(path, utils.getPartitionPathString("run_id", run_id))
+        folder.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)
     (
         df.hint("rebalance", "run_id")
         .write.mode("overwrite")

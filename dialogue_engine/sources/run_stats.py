@@ -18,6 +18,15 @@ def load_run_stats(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def unreadable_run_stats(spark: SparkSession, path: str) -> DataFrame:
+    """Files that ``load_run_stats`` leaves out because they cannot be read."""
+    files = spark.read.schema(schemas.RUN_STATS_FILE).option("multiLine", True).json(path)
+    broken = files.select(
+        F.col("_metadata.file_path").alias("run_id"), schemas.is_broken("log_history").alias("broken")
+    )
+    return broken.where("broken").select("run_id")
+
+
 def run_log(runs: DataFrame) -> DataFrame:
     """The log entries of each run in order."""
     return runs.select("run_id", F.posexplode("log_history").alias("seq", "entry")).select(

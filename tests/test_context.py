@@ -12,8 +12,8 @@ def conversations():
     """Short ones, one of 90 turns with gaps, one empty text, a role that is not chat."""
     rng = random.Random(5)
     rows = []
-    for conv, length in enumerate([1, 2, 3, 90, 7]):
-        turn = 0
+    for conv, length in [(0, 1), (1, 2), (2, 3), (3, 90), (4, 7), (5, 12), (None, 30)]:
+        turn = -6 if conv == 5 else 0
         for i in range(length):
             turn += 1 if conv != 3 else rng.choice([1, 1, 2, 40])
             role = rng.choice(["user", "user", "assistant", "system", "tool"])
@@ -25,7 +25,7 @@ def expected(rows, last_k):
     out = {}
     for conv in {r[0] for r in rows}:
         history = []
-        for _, turn, role, text in sorted(r for r in rows if r[0] == conv):
+        for _, turn, role, text in sorted((r for r in rows if r[0] == conv), key=lambda r: r[1]):
             if role not in ("user", "assistant"):
                 continue
             if role == "user":
@@ -46,9 +46,12 @@ def test_chat_context(spark, span, last_k):
 
 def test_append_reply(spark):
     turns = spark.createDataFrame([(1, 0, "user", "a"), (1, 1, "assistant", "b"), (2, 4, "user", "c")], TURNS)
-    replies = spark.createDataFrame([(1, "q", "r"), (3, "x", "y")], "conv_id long, message string, reply string")
+    replies = spark.createDataFrame(
+        [(1, "q", "r"), (3, "x", "y"), (1, "second", "s")], "conv_id long, message string, reply string"
+    )
     rows = {tuple(r) for r in context.append_reply(turns, replies).collect()}
     assert rows == {
+        (1, 4, "user", "second"), (1, 5, "assistant", "s"),
         (1, 0, "user", "a"), (1, 1, "assistant", "b"), (1, 2, "user", "q"), (1, 3, "assistant", "r"),
         (2, 4, "user", "c"), (3, 0, "user", "x"), (3, 1, "assistant", "y"),
     }

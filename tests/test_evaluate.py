@@ -82,7 +82,7 @@ def results(spark):
 
 
 def test_mode(results):
-    assert {tuple(r) for r in E.result_mode(results).collect()} == {("two", "two"), ("one", "single"), ("blank", "none")}
+    assert {tuple(r) for r in E.result_mode(results).collect()} == {("two", "two"), ("one", "single"), ("blank", "single")}
 
 
 def test_mixed_runs(spark, results):
@@ -97,6 +97,43 @@ def test_mixed_runs(spark, results):
                                 for c in nothing.asDict()}
 
 
+def test_run_without_output_stays(results):
+    rows = {r.run_id: r for r in E.metrics_record(E.evaluate_results(results)).collect()}
+    blank = rows["blank"]
+    assert (blank.num_prompts, blank.avg_length_ollama, blank.empty_responses) == (1, 0.0, 1)
+    asked = {r.run_id: r for r in E.metrics_record(E.evaluate_results(results, mode="two")).collect()}
+    assert asked["blank"].avg_length_base == 0.0 and asked["blank"].avg_length_ollama is None
+
+
+def test_field_that_is_null_counts_as_there(spark):
+    rows = [("r", 0, "p", "base text", None, None, True), ("s", 0, "p", None, None, "x", False)]
+    df = spark.createDataFrame(rows, RESULTS + ", has_two boolean")
+    assert {tuple(r) for r in E.result_mode(df).collect()} == {("r", "two"), ("s", "single")}
+    record = {r.run_id: r for r in E.metrics_record(E.evaluate_results(df)).collect()}["r"]
+    assert (record.avg_length_base, record.avg_length_fine_tuned, record.empty_responses) == (9.0, 0.0, 1)
+
+
+def test_paired_scores(spark):
+    rows = [("r", 1, "base", "order"), ("r", 1, "base", "the longer answer, an order"), ("r", 1, "fine_tuned", None),
+            ("r", 2, "fine_tuned", "x" * 70_000)]
+    df = spark.createDataFrame(rows, "run_id string, prompt_id long, model string, output string")
+    got = {(r.prompt_id, r.model): tuple(r)[3:] for r in E.paired_scores(df).collect()}
+    assert got == {(1, "base"): (27, 1, "ok"), (1, "fine_tuned"): (0, 0, "empty"),
+                   (2, "base"): (0, 0, "empty"), (2, "fine_tuned"): (70_000, 0, "ok")}
+    wide = E.side_by_side(df)
+    assert wide.where("prompt_id = 1").first().base_output == "the longer answer, an order"
+    assert {tuple(r) for r in E.ab_delta(wide).collect()} == {
+        tuple(r) for r in E.ab_delta_of_scores(E.paired_scores(df)).collect()}
+
+
+def test_replies_without_case_or_type_are_kept(spark):
+    replies = spark.createDataFrame([(7, "m", "order")], "prompt_id long, model string, output string")
+    cases = spark.createDataFrame([], "case_id long, intent string")
+    catalog = spark.createDataFrame([], "prompt_id long, test_type string")
+    assert [(r.intent, r.num_prompts) for r in E.weak_intents(replies, cases, 3).collect()] == [(None, 1)]
+    assert [(r.test_type, r.num_prompts) for r in E.metrics_by_test_type(replies, catalog).collect()] == [(None, 1)]
+
+
 def test_side_by_side_and_back(spark):
     rows = [("r", 1, "base", "b1"), ("r", 1, "fine_tuned", "f1"), ("r", 2, "base", "b2"), ("s", 2, "fine_tuned", "f2")]
     wide = E.side_by_side(spark.createDataFrame(rows, "run_id string, prompt_id long, model string, output string"))
@@ -126,7 +163,7 @@ def test_stored_records_win(spark, results):
         "run_id", *(F.lit(None).cast(computed.schema[c].dataType).alias(c) for c in computed.columns[1:])
     )
     chosen = {r.run_id: (r.num_prompts, r.source) for r in E.metrics_or_recompute(stored.union(empty), computed).collect()}
-    assert chosen == {"two": (99, "stored"), "one": (1, "computed")}
+    assert chosen == {"two": (99, "stored"), "one": (1, "computed"), "blank": (1, "computed")}
 
 
 def test_cards(spark, results):

@@ -78,3 +78,14 @@ def test_map_rows(spark):
         prompts(spark, 3), lambda batch: batch.assign(n=batch["prompt"].str.len())[["n"]], "n long"
     )
     assert [r.n for r in mapped.collect()] == [2, 2, 2]
+
+
+def test_large_numbers_next_to_nulls(spark, load):
+    df = spark.range(40).select(
+        F.when(F.col("id") % 3 > 0, F.col("id") + 9_007_199_254_740_993).alias("n"),
+        F.lit("echo").alias("model"),
+        F.array(F.struct(F.lit("user").alias("role"), F.col("id").cast("string").alias("content"))).alias("messages"),
+    )
+    out = generate.batch_generate(df, {"echo": load["echo"]}, batch_size=7).collect()
+    assert sorted((r.n is None, r.n) for r in out) == sorted((r.n is None, r.n) for r in df.collect())
+    assert all(r.output == r.messages[0].content and r.error is None for r in out)

@@ -57,6 +57,44 @@ def test_evaluate_and_read_back(spark, tmp_path):
     assert len(results) == 15 and all(r.base_output == f"b {r.prompt}" for r in results)
 
 
+def test_second_evaluation_replaces_the_first(spark, tmp_path):
+    def works():
+        return lambda conversations: ["an order"] * len(conversations)
+
+    def fails():
+        def run(conversations):
+            raise RuntimeError("out of memory")
+
+        return run
+
+    path = str(tmp_path / "eval")
+    evaluate(prompt_catalog(spark), {"base": works, "fine_tuned": works}, "r", path)
+    evaluate(prompt_catalog(spark), {"base": works, "fine_tuned": fails}, "r", path)
+    row = spark.read.parquet(f"{path}/metrics").first()
+    assert (row.relevance_score_base, row.relevance_score_fine_tuned) == (1.0, 0.0)
+    assert (row.num_prompts, row.empty_responses) == (15, 15)
+    evaluate(prompt_catalog(spark), {"base": fails, "fine_tuned": fails}, "r", path)
+    row = spark.read.parquet(f"{path}/metrics").first()
+    assert (row.num_prompts, row.relevance_score_base, row.avg_length_base) == (15, 0.0, 0.0)
+    errors = spark.read.parquet(f"{path}/responses").where("error is not null").count()
+    assert errors == 30
+    evaluate(prompt_catalog(spark).where("false"), {"base": works, "fine_tuned": works}, "r", path)
+    assert spark.read.parquet(f"{path}/metrics").first().num_prompts == 0
+
+
+def test_training_belongs_to_its_evaluation(spark, tmp_path):
+    (tmp_path / "e").mkdir()
+    (tmp_path / "e" / "a.json").write_text("[]")
+    stats = {"trainable_params": 1, "total_params": 4, "duration_seconds": 2.0, "log_history": [{"loss": 2.0}]}
+    (tmp_path / "stats.json").write_text(json.dumps(stats))
+    run = report(spark, str(tmp_path / "e")).setup.first().run_id
+    training = report(spark, str(tmp_path / "e"), str(tmp_path / "stats.json")).training.first().run_id
+    of = spark.createDataFrame([(run, training)], "run_id string, training_run string")
+    tables = report(spark, str(tmp_path / "e"), str(tmp_path / "stats.json"), of)
+    assert [(r.run_id, r.final_loss) for r in tables.training.collect()] == [(run, 2.0)]
+    assert {r.card: r.value for r in tables.cards.collect()}["prompts"] == 0
+
+
 def test_report(spark, tmp_path):
     (tmp_path / "e").mkdir()
     results = [{"prompt": f"p{i}", "base_output": "order", "fine_tuned_output": "x" * i} for i in range(20)]
@@ -98,7 +136,8 @@ def test_respond(spark):
     requests = spark.createDataFrame(
         [(1, "next", 64), (2, " \t", 64), (3, "first", 0), (4, "fail", 0)], "conv_id long, message string, max_tokens long"
     )
-    after = respond(turns, requests, load)
+    after, failed = respond(turns, requests, load)
+    assert [tuple(r) for r in failed.collect()] == [(4, "fail", "ValueError: no")]
     assert {tuple(r) for r in after.subtract(turns).collect()} == {
         (1, 2, "user", "next"), (1, 3, "assistant", "4:next"), (3, 0, "user", "first"), (3, 1, "assistant", "2:first"),
     }

@@ -1,9 +1,10 @@
 import random
 from collections import defaultdict
 
+import pytest
 from pyspark.sql import functions as F
 
-from dialogue_engine.operators.positions import null_safe_join, positions, span_of
+from dialogue_engine.operators.positions import null_safe_join, positions, span_of, top_per_key
 from dialogue_engine.operators.prepare import number_turns, pair_turns
 
 
@@ -54,3 +55,27 @@ def test_pair_turns(spark):
         "conv_id long, turn long, role string, text string",
     )
     assert [tuple(r) for r in pair_turns(turns).collect()] == [(1, 2, "b", "c")]
+
+
+def test_sparse_order_is_spread(spark):
+    """Numbers so far apart that every bucket has one row."""
+    rows = [("k", i * 10**9) for i in range(-400, 400)] + [(None, i * 7**20) for i in range(30)]
+    df = spark.createDataFrame(rows, "k string, o long")
+    got = positions(df, ["k"], ["o"], span_of("o"), totals={"n": (F.lit(1), "sum")}).collect()
+    wanted = {}
+    for key in ("k", None):
+        own = sorted(o for k, o in rows if k == key)
+        wanted |= {(key, o): (i, len(own)) for i, o in enumerate(own)}
+    assert {(r.k, r.o): (r.position, r.n) for r in got} == wanted
+
+
+@pytest.mark.parametrize("k", [1, 5, 2000])
+def test_top_per_key(spark, k):
+    rows = [("hot", (i * 7919) % 5003) for i in range(5003)] + [("cold", i) for i in range(3)] + [(None, 4)]
+    df = spark.createDataFrame(rows, "k string, o long")
+    got = top_per_key(df, ["k"], [F.col("o").desc()], k, "o").collect()
+    wanted = set()
+    for key in ("hot", "cold", None):
+        own = sorted((o for key_, o in rows if key_ == key), reverse=True)
+        wanted |= {(key, o, i) for i, o in enumerate(own[:k], 1)}
+    assert {(r.k, r.o, r["__rank"]) for r in got} == wanted

@@ -68,9 +68,16 @@ def test_held_out(spark):
     assert {r.prompt for r in prompts.collect()} - {r.prompt for r in kept.collect()} == {"Cancel everything"}
 
 
-@pytest.mark.parametrize("few", [0, 100])
-def test_held_out_keeps_repeats(spark, monkeypatch, few):
-    monkeypatch.setattr(heldout, "FEW_KEYS", few)
+def test_held_out_overlap(spark):
+    prompts = spark.createDataFrame(
+        [(1, "A b  c d"), (2, "x y z"), (3, "one"), (4, " "), (5, None), (6, "a b c q")], "prompt_id long, prompt string"
+    )
+    data = spark.createDataFrame([("so a B c",), ("b c d",), ("ONE",), (None,)], "instruction string")
+    rows = {r.prompt_id: (r.ngrams, r.found, r.share) for r in heldout.held_out_overlap(prompts, data, n=3).collect()}
+    assert rows == {1: (2, 2, 1.0), 2: (1, 0, 0.0), 3: (1, 1, 1.0), 4: (0, 0, 0.0), 5: (0, 0, 0.0), 6: (2, 1, 0.5)}
+
+
+def test_held_out_keeps_repeats(spark):
     prompts = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b"), (4, None)], "prompt_id long, prompt string")
     data = spark.createDataFrame([("B",), ("b ",)], "instruction string")
     assert sorted(r.prompt_id for r in heldout.held_out(prompts, data).collect()) == [1, 2, 4]

@@ -5,7 +5,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from dialogue_engine import schemas
-from dialogue_engine.scratch import scratch_dir, written
+from dialogue_engine.scratch import clear_written, scratch_dir, written
 from dialogue_engine.sources import cases as cases_source
 from dialogue_engine.sources import evaluations as ev
 from dialogue_engine.sources import run_stats
@@ -48,6 +48,39 @@ def test_results_of_every_shape(spark, folder):
     assert {r.ollama_output for r in rows if "one.json" in r.run_id} == {"o0 \U0001f600"}
 
 
+def test_odd_entries_are_no_results(spark, tmp_path):
+    contents = {
+        "nothing": {}, "note": {"note": 1}, "empty": [],
+        "mixed": {"results": [{"note": 1}, {"prompt": "p", "fine_tuned_output": None}, {}]},
+        "list": [{"prompt": None, "base_output": "b"}, {"prompt": "q", "fine_tuned_output": "f"}],
+    }
+    for name, content in contents.items():
+        (tmp_path / f"{name}.json").write_text(json.dumps(content))
+    files = ev.read_evaluations(spark, str(tmp_path))
+    rows = ev.load_eval_results(files).collect()
+    found = {(r.run_id.rsplit("/", 1)[1], r.prompt_id): (r.prompt, r.has_two) for r in rows}
+    assert found == {("mixed.json", 1): ("p", True), ("list.json", 0): (None, False), ("list.json", 1): ("q", True)}
+    assert set(by_file(ev.evaluation_runs(spark, str(tmp_path)).collect())) == set(contents)
+
+
+def test_case_ids_do_not_depend_on_the_tasks(spark, tmp_path):
+    rows = [(f"q{i}", f"a{i}", "c", "i", None) for i in range(500)]
+    cases = spark.createDataFrame(rows, schemas.CASES).repartition(3)
+    cases.write.parquet(str(tmp_path / "cases"))
+    cases.write.option("header", True).csv(str(tmp_path / "csv"))
+
+    def ids(size, fmt, folder):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        loaded = cases_source.load_cases(spark, str(tmp_path / folder), fmt)
+        found = {r.case_id: r.instruction for r in loaded.collect()}
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        return found
+
+    for fmt, folder in (("parquet", "cases"), ("csv", "csv")):
+        first = ids("128m", fmt, folder)
+        assert len(first) == 500 and first == ids("2k", fmt, folder)
+
+
 def test_metrics_config_and_broken_files(spark, folder):
     files = ev.read_evaluations(spark, str(folder))
     metrics = by_file(ev.load_eval_metrics(files).collect())
@@ -99,6 +132,7 @@ def test_run_stats(spark, tmp_path):
     (tmp_path / "stats.json").write_text(json.dumps(stats))
     (tmp_path / "broken.json").write_text("{")
     runs = run_stats.load_run_stats(spark, str(tmp_path))
+    assert set(by_file(run_stats.unreadable_run_stats(spark, str(tmp_path)).collect())) == {"broken"}
     row = runs.first()
     assert runs.count() == 1 and row.total_params == 3_237_063_680
     assert row.config["batch_size"] == "1" and row.config["used_4bit"] == "false"
@@ -113,7 +147,23 @@ def test_scratch_table(spark):
     assert table.count() == 5 and scratch_dir(spark) in table.inputFiles()[0]
 
 
-@pytest.mark.parametrize("folder, master", [("/shared", "yarn"), (None, "local[2]"), (None, "yarn")])
+def test_clear_written():
+    from pyspark.sql import SparkSession
+
+    spark = SparkSession.getActiveSession()
+    table = written(spark.range(3))
+    (file,) = {f.rsplit("/", 2)[0] for f in table.inputFiles()}
+    path = spark._jvm.org.apache.hadoop.fs.Path(file)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    assert system.exists(path)
+    clear_written(spark)
+    assert not system.exists(path)
+
+
+@pytest.mark.parametrize(
+    "folder, master",
+    [("/shared", "yarn"), (None, "local[2]"), (None, "yarn"), (None, "local-cluster[2,1,1024]")],
+)
 def test_scratch_folder(folder, master):
     class Session:
         class conf:
@@ -125,7 +175,7 @@ def test_scratch_folder(folder, master):
     Session.sparkContext.master = master
     if folder:
         assert scratch_dir(Session) == folder
-    elif master == "yarn":
+    elif master != "local[2]":
         with pytest.raises(ValueError):
             scratch_dir(Session)
     else:

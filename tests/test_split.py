@@ -72,11 +72,9 @@ def test_stratified_split(spark):
         assert {r.case_id for r in rows if r.intent == value and r.is_eval} == expected
 
 
-def test_first_rows_both_ways(spark, monkeypatch):
+def test_first_rows(spark):
     df = frame(spark, 700)
-    top = {r[0] for r in split.first_rows(df, 120).collect()}
-    monkeypatch.setattr(split, "TOP_K_ROWS", 0)
-    assert {r[0] for r in split.first_rows(df, 120).collect()} == top == set(ordered(range(700))[:120])
+    assert {r[0] for r in split.first_rows(df, 120).collect()} == set(ordered(range(700))[:120])
     assert split.first_rows(df, 5000).count() == 700
 
 
@@ -102,3 +100,15 @@ def test_eval_coverage(spark):
 def test_split_has_no_sort_of_the_table(spark):
     plan = split.random_split(frame(spark, 100, 1))._jdf.queryExecution().executedPlan().toString()
     assert "Sort " not in plan and "Window" not in plan
+
+
+def test_cap_per_template(spark):
+    from dialogue_engine.operators.prepare import cap_per_template
+
+    rows = [(i, None if i % 5 == 0 else f"r{i % 3}") for i in range(300)]
+    df = spark.createDataFrame(rows, "case_id long, response string")
+    got = {(r.case_id, r.response) for r in cap_per_template(df, 7).collect()}
+    wanted = set()
+    for response in {r for _, r in rows}:
+        wanted |= {(i, response) for i in ordered([i for i, r in rows if r == response])[:7]}
+    assert got == wanted
