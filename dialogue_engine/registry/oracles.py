@@ -353,6 +353,12 @@ SELECT o_orderkey, replace(replace(replace(replace(text, '{{{{Order Number}}}}',
 FROM tpl""",
     "placeholder_strip": f"""WITH {TPL}
 SELECT o_orderkey, regexp_replace(text, '\\{{\\{{[^{{}}]+\\}}\\}}', '', 'g') AS text FROM tpl""",
+    "placeholder_keep": f"WITH {TPL} SELECT o_orderkey, text FROM tpl",
+    "token_counts": f"""SELECT doc_id,
+  CAST(len(regexp_extract_all(text, '[^{C.BLANK_CHARS}]+')) AS BIGINT) AS tokens FROM documents""",
+    "mapped_rows": "SELECT conv_id, turn, CAST(length(text) AS BIGINT) AS chars FROM conversations",
+    "cases_with_ids": f"""WITH {CASES}
+SELECT instruction, md5(response) AS response, category, intent, flags, 1::BIGINT AS uses FROM cases""",
     "placeholder_fill": f"""WITH {TPL}
 SELECT o_orderkey, replace(replace(replace(text, '{{{{Order Number}}}}', o_orderkey::VARCHAR),
   '{{{{Customer}}}}', c_name), '{{{{Status}}}}', o_orderstatus) AS text

@@ -7,7 +7,11 @@ from pyspark.sql import functions as F
 
 from dialogue_engine import constants as C
 from dialogue_engine.functions import chat, text
-from dialogue_engine.functions.placeholders import generic_placeholders, strip_placeholders
+from dialogue_engine.functions.placeholders import (
+    generic_placeholders,
+    handle_placeholders,
+    strip_placeholders,
+)
 from dialogue_engine.operators import (
     context,
     evaluate,
@@ -21,6 +25,8 @@ from dialogue_engine.operators import (
 )
 from dialogue_engine.registry import views
 from dialogue_engine.registry.views import KEYWORDS, table
+from dialogue_engine.scratch import written
+from dialogue_engine.sources.cases import load_cases
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -520,6 +526,44 @@ def placeholder_fill(spark, sf_dir):
     return filled.select("o_orderkey", "text")
 
 
+@query
+def placeholder_keep(spark, sf_dir):
+    return views.order_texts(spark, sf_dir).select(
+        "o_orderkey", handle_placeholders(F.col("text"), "keep").alias("text")
+    )
+
+
+# --- Python functions and sources ---------------------------------------------------------
+
+
+@query
+def token_counts(spark, sf_dir):
+    """Lengths from a Python function, as a tokenizer would give them."""
+    tokens = generate.token_count(lambda texts: [len(t.split()) for t in texts])
+    return table(spark, sf_dir, "documents").select("doc_id", tokens(F.col("text")).alias("tokens"))
+
+
+@query
+def mapped_rows(spark, sf_dir):
+    turns = _conversations(spark, sf_dir)
+    return generate.map_rows(
+        turns,
+        lambda batch: batch.assign(chars=batch["text"].str.len())[["conv_id", "turn", "chars"]],
+        "conv_id bigint, turn bigint, chars bigint",
+    )
+
+
+@query
+def cases_with_ids(spark, sf_dir):
+    """Cases stored without ids and loaded again: the ids are unique and the rest is as it was."""
+    stored = written(views.flagged_cases(spark, sf_dir).drop("case_id"))
+    loaded = load_cases(spark, stored.inputFiles()[0].rsplit("/", 1)[0])
+    ids = loaded.groupBy("case_id").agg(F.count(F.lit(1)).alias("uses"))
+    return loaded.join(ids, "case_id").select(
+        "instruction", F.md5("response").alias("response"), "category", "intent", "flags", "uses"
+    )
+
+
 # --- held-out prompts ---------------------------------------------------------------------
 
 

@@ -31,7 +31,8 @@ def as_planned(spark):
 def test_no_cross_join_and_python_only_for_models(spark, as_planned, name):
     text = as_planned(name)
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
-    assert bool(PYTHON.search(text)) == (name == "fan_out_generate")
+    with_python = ("fan_out_generate", "token_counts", "mapped_rows")
+    assert bool(PYTHON.search(text)) == (name in with_python)
 
 
 def test_scores_take_one_scan_and_one_shuffle(as_planned):
