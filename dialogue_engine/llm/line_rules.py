@@ -5,8 +5,8 @@ does the label of the line before it: a linear chain over the lines, decoded who
 A document is kept when content lines have at least ``CONTENT_SHARE`` of its words and the base
 rules let it pass.
 
-The field is trained by likelihood on lines of at most about ``SAMPLE_ROWS`` labelled documents,
-chosen by a hash of the id; a document's quality label stands for all its lines, which the
+The field is trained by likelihood on the first ``SAMPLE_LINES`` lines of at most about
+``SAMPLE_ROWS`` labelled documents, chosen by a hash of the id; a document's quality label stands for all its lines, which the
 chain and the share of content even out. Scoring reads every line of every text.
 """
 
@@ -23,6 +23,8 @@ from dialogue_engine.llm.tables import unused
 from dialogue_engine.llm.words import as_bytes, blocks, windows, word_hashes
 
 SAMPLE_ROWS = 3_000
+# Lines of a sampled document that are trained on.
+SAMPLE_LINES = 1024
 CONTENT_SHARE = 0.5
 # Base rules.
 LEAST_WORDS = 50
@@ -194,7 +196,7 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> L
     chosen = (
         documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
         .join(F.broadcast(sample), "doc_id")
-        .select("quality", features("text").alias("lines"))
+        .select("quality", F.slice(features("text"), 1, SAMPLE_LINES).alias("lines"))
         .collect()
     )
     sequences = [(np.array(r["lines"]), int(r["quality"] > 0)) for r in chosen if r["lines"]]
