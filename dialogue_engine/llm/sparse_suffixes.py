@@ -15,9 +15,9 @@ Where the data goes:
 2. The texts meet the positions that are left, and give 25 words of context on either side of
    each, as 32-bit hashes.
 3. The contexts are dealt out by run and sorted. A run that is more frequent than ``PIECE`` is
-   dealt out in pieces of about that size. A member whose only copies are in other pieces is
-   found by counting instead: of each member of such a run all 26 windows of 50 words around it
-   are hashed, and windows that occur twice mark their words.
+   dealt out in pieces of about that size. A member that has no match in its piece is looked for in
+   the others by counting: all 26 windows of 50 words around it are hashed, and those that
+   occur twice among all members' windows mark their words.
 
 Neighbours in two orders are compared, not all pairs: a match can be missed where other suffixes
 match one side of it longer in both orders and neither reaches 50 words together. Two words with
@@ -184,9 +184,9 @@ def _best_matches(after: list[bytes], before: list[bytes]) -> list[tuple[int, in
 
 
 def matches(rows: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, start, end, first): matches of 50 words or more around suffixes."""
-    schema = "doc_id bigint, text_hash bigint, start int, end int, first boolean"
-    names = ["doc_id", "text_hash", "start", "end", "first"]
+    """(doc_id, text_hash, at, start, end, first): matches of 50 words or more around suffixes."""
+    schema = "doc_id bigint, text_hash bigint, at int, start int, end int, first boolean"
+    names = ["doc_id", "text_hash", "at", "start", "end", "first"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -197,11 +197,11 @@ def matches(rows: DataFrame) -> DataFrame:
                 found = _best_matches([r[5] for r in held], [r[6] for r in held])
                 for r, (left, right) in zip(held, found):
                     if left + RUN + right >= PASSAGE:
-                        out.append((r[0], r[1], r[2] - left, r[2] + RUN + right, r[3]))
+                        out.append((r[0], r[1], r[2], r[2] - left, r[2] + RUN + right, r[3]))
             held.clear()
 
         def batch_of(rows: list[tuple]) -> pa.RecordBatch:
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_())
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_())
             return pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names
             )
@@ -225,8 +225,9 @@ def matches(rows: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, schema)
 
 
-def _window_matches(rows: DataFrame) -> DataFrame:
-    """The same for runs in several pieces, by counting windows of 50 words around each member."""
+def _window_matches(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """The same for members of runs in several pieces that have no match in their own piece, by
+    counting windows of 50 words around the members."""
 
     def window(left: Column) -> Column:
         """The window that starts so many words before the run; null where the text ends first."""
@@ -246,14 +247,25 @@ def _window_matches(rows: DataFrame) -> DataFrame:
         )
 
     every = F.transform(F.sequence(F.lit(0), F.lit(CONTEXT)), window)
-    spread = (
-        rows.where("pieces > 1")
-        .select("doc_id", "text_hash", "at", "first", F.inline(F.array_compact(every)))
+    hot = rows.where("pieces > 1").withColumn("place", F.struct("doc_id", "text_hash", "at"))
+    matched = found.select(F.struct("doc_id", "text_hash", "at").alias("place")).distinct()
+    alone = hot.join(dealt(matched), "place", "left_anti")
+    wanted = alone.select("run").distinct()
+    twice = (
+        hot.join(dealt(wanted), "run", "left_semi")
+        .select(F.inline(F.array_compact(every)))
+        .groupBy("hash")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .where("n > 1")
+        .select("hash")
     )
-    twice = spread.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hash")
     start = (F.col("at") - F.col("left")).cast("int")
-    return spread.join(dealt(twice), "hash", "left_semi").select(
-        "doc_id", "text_hash", start.alias("start"), (start + PASSAGE).alias("end"), "first"
+    return (
+        alone.select("doc_id", "text_hash", "at", "first", F.inline(F.array_compact(every)))
+        .join(dealt(twice), "hash", "left_semi")
+        .select(
+            "doc_id", "text_hash", "at", start.alias("start"), (start + PASSAGE).alias("end"), "first"
+        )
     )
 
 
@@ -282,7 +294,8 @@ def repeated_passages(documents: DataFrame) -> DataFrame:
     null ids are ids like others. A passage repeated inside one document counts.
     """
     rows = written(contexts(documents, written(repeated_anchors(documents))))
-    found = matches(rows).unionByName(_window_matches(rows))
+    near = written(matches(rows))
+    found = near.unionByName(_window_matches(rows, near))
     span = F.struct("start", "end")
     per_text = found.groupBy("doc_id", "text_hash").agg(
         F.sort_array(F.collect_set(span)).alias("every"),
