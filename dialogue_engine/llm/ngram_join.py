@@ -17,11 +17,12 @@ How the work is laid out:
    shingle is: a fixed 8 MB whatever the size of the corpus. They only decide the order.
 2. A second pass emits the prefixes, once per different set and task. They are dealt out by
    shingle, common shingles also by a salt, and shingles that only one set has are dropped.
-3. Every set is compared with the smallest set of each lookup list (linear in the lists, never
-   all pairs), which joins large groups of near copies at once.
-4. Pairs inside lists are only formed between sets that are not connected yet. This makes the
-   result exact and leaves nothing to do inside the large groups. The lists of common shingles
-   are worked on in pieces, pair of pieces by pair of pieces.
+3. Every set is compared with one set of each lookup list, the one of which most is shared
+   (linear in the lists, never all pairs). This joins large groups of near copies at once.
+4. Pairs inside lists are only formed between sets that are not connected yet, of similar size,
+   and only where both have enough shingles left that such sets share. This makes the result
+   exact and leaves nothing to do inside the large groups. The lists of common shingles are
+   worked on in pieces, pair of pieces by pair of pieces.
 """
 
 from collections.abc import Iterator
@@ -30,11 +31,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dialogue_engine.llm.graph import components
-from dialogue_engine.llm.tables import document_key, unused
+from dialogue_engine.llm.tables import dealt, document_key, unused
 from dialogue_engine.llm.words import as_bytes, mix, shingle_sets, signed
 from dialogue_engine.scratch import written
 
@@ -211,65 +212,39 @@ def _prefix_batch(tokens, salts, nodes) -> pa.RecordBatch:
 
 
 def shared_prefixes(rows: DataFrame) -> DataFrame:
-    """Rows of lists with at least two sets, or of shingles with several lists, with (ha, hb, hn,
-    hp), the smallest set of the list.
+    """The rows of lists with at least two sets, or of shingles with several lists; each once.
 
-    The rows arrive sorted, so a task holds one Arrow batch and the head of one list.
+    The rows arrive sorted, so a task holds one Arrow batch and one row more.
     """
-    schema = rows.schema.simpleString()[7:-1].replace(":", " ").replace(",", ", ")
-    schema += ", ha bigint, hb bigint, hn int, hp int"
+    names = rows.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head, alone, last = None, None, None
+        held = None
         for batch in batches:
-            col = {n: batch.column(n).to_numpy() for n in batch.schema.names}
-            if not batch.num_rows:
-                continue
+            col = {n: batch.column(n).to_numpy() for n in names}
+            if held is not None:
+                col = {n: np.concatenate([held[n], col[n]]) for n in names}
             key = np.stack([col["token"], col["salt"]])
             node = np.stack([col["na"], col["nb"]])
-            new_list = np.ones(batch.num_rows, bool)
-            new_list[1:] = (key[:, 1:] != key[:, :-1]).any(0)
-            repeat = np.zeros(batch.num_rows, bool)
-            repeat[1:] = ~new_list[1:] & (node[:, 1:] == node[:, :-1]).all(0)
-            if head is not None:
-                new_list[0] = tuple(key[:, 0]) != head[0]
-                repeat[0] = not new_list[0] and tuple(node[:, 0]) == last
-            last = tuple(node[:, -1])
-            keep = np.flatnonzero(~repeat)
-            if not len(keep):
-                continue
-            col = {n: v[keep] for n, v in col.items()}
-            new_list = new_list[keep]
-            starts = np.flatnonzero(new_list)
-            list_no = np.cumsum(new_list) - 1
-            heads = {}
-            for out, of in (("ha", "na"), ("hb", "nb"), ("hn", "n"), ("hp", "p")):
-                own = col[of][starts]
-                heads[out] = np.where(
-                    list_no >= 0, own[np.maximum(list_no, 0)] if len(own) else 0,
-                    head[1][of] if head else 0,
-                ).astype(col[of].dtype)
-            sizes = np.bincount(list_no + 1, minlength=len(starts) + 1)
-            several = col["salts"] > 1
-            wanted = (sizes[list_no + 1] > 1) | several | (list_no < 0)
-            out = {n: v[wanted] for n, v in (col | heads).items()}
-            # the first row of a list that goes on in the next batch may be alone so far
-            if alone is not None and not new_list[0]:
-                yield _arrow(alone)
-            alone = None
-            if len(starts):
-                at = starts[-1]
-                head = (
-                    (col["token"][at], col["salt"][at]),
-                    {n: col[n][at] for n in ("na", "nb", "n", "p")},
-                )
-                if sizes[-1] == 1 and not several[at]:
-                    alone = {n: v[at : at + 1] for n, v in (col | heads).items()}
-            if len(out["token"]):
-                yield _arrow(out)
+            same_list = np.zeros(len(col["n"]), bool)
+            same_list[1:] = (key[:, 1:] == key[:, :-1]).all(0)
+            repeat = same_list.copy()
+            repeat[1:] &= (node[:, 1:] == node[:, :-1]).all(0)
+            col = {n: v[~repeat] for n, v in col.items()}
+            same_list = same_list[~repeat]
+            # the held row has been given out already if its list had two rows by then
+            given = held is not None and bool(held["given"][0])
+            wanted = same_list | (col["salts"] > 1)
+            wanted[:-1] |= same_list[1:]
+            last = {n: v[-1:] for n, v in col.items()}
+            held = last | {"given": wanted[-1:] if len(wanted) > 1 else np.array([given])}
+            if given:
+                wanted[0] = False
+            if wanted.any():
+                yield _arrow({n: v[wanted] for n, v in col.items()})
 
     lists = rows.repartition("token", "salt").sortWithinPartitions("token", "salt", "na", "nb")
-    return lists.mapInArrow(run, schema)
+    return lists.mapInArrow(run, rows.schema)
 
 
 def _arrow(columns: dict[str, np.ndarray]) -> pa.RecordBatch:
@@ -291,15 +266,31 @@ def _similar_size(n: Column, m: Column) -> Column:
     return (n * OF >= m * SAME) & (m * OF >= n * SAME)
 
 
+def with_shared(rows: DataFrame) -> DataFrame:
+    """Add ``s``: how many rows a set has here. A window over one set's own prefix."""
+    own = Window.partitionBy("na", "nb")
+    return rows.withColumn("s", F.count(F.lit(1)).over(own).cast("int"))
+
+
 def _head_pairs(shared: DataFrame) -> DataFrame:
+    """Each set with the set that leads one of its lists, where half of the matches needed are
+    there already. The leader of a list is the set of which the largest share is shared: a text
+    that others are copies of, rather than one of the copies."""
+    leader = F.struct(
+        (F.col("s") / F.col("p")).alias("share"), F.col("na").alias("ha"), F.col("nb").alias("hb"),
+        F.col("n").alias("hn"), F.col("p").alias("hp"),
+    )
+    heads = shared.groupBy("token").agg(F.max(leader).alias("h")).select("token", "h.*")
     pairs = (
-        shared.where("na <> ha or nb <> hb")
+        shared.join(dealt(heads), "token")
+        .where("(na <> ha or nb <> hb)")
         .where(_similar_size(F.col("n"), F.col("hn")))
         .groupBy("na", "nb", "ha", "hb", "n", "p", "hn", "hp")
         .agg(F.count(F.lit(1)).alias("matches"))
     )
+    twice = 2 * F.col("matches")
     return pairs.where(
-        _could_be_similar(F.col("matches"), F.col("n"), F.col("p"), F.col("hn"), F.col("hp"))
+        _could_be_similar(twice, F.col("n"), F.col("p"), F.col("hn"), F.col("hp"))
     ).select("na", "nb", "ha", "hb")
 
 
@@ -311,8 +302,9 @@ def _open_pairs(shared: DataFrame, labels: DataFrame) -> DataFrame:
     """
     node = F.struct("na", "nb")
     labelled = (
-        shared.withColumn("node", node)
-        .join(labels, "node", "left")
+        shared.drop("s")
+        .withColumn("node", node)
+        .join(dealt(labels), "node", "left")
         .withColumn("label", F.coalesce("component", "node"))
         .select("token", "salt", "salts", "na", "nb", "n", "p", F.xxhash64("label").alias("label"))
     )
@@ -328,9 +320,12 @@ def _open_pairs(shared: DataFrame, labels: DataFrame) -> DataFrame:
             F.least("salt", other).alias("u"), F.greatest("salt", other).alias("v")
         ),
     )
-    units = labelled.join(mixed, "token", "left_semi").select(
-        "*", F.explode(pieces).alias("unit")
-    ).select("token", "unit.u", "unit.v", "salt", "na", "nb", "n", "p", "label")
+    # no pair of a set has more matches than the set has rows left
+    units = (
+        with_shared(labelled.join(dealt(mixed), "token", "left_semi"))
+        .select("*", F.explode(pieces).alias("unit"))
+        .select("token", "unit.u", "unit.v", "salt", "na", "nb", "n", "p", "s", "label")
+    )
     schema = "na bigint, nb bigint, n int, p int, ha bigint, hb bigint, hn int, hp int"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -341,16 +336,19 @@ def _open_pairs(shared: DataFrame, labels: DataFrame) -> DataFrame:
             col = {n: batch.column(n).to_numpy() for n in batch.schema.names}
             key = np.stack([col["token"], col["u"], col["v"]])
             edge = np.flatnonzero((key[:, 1:] != key[:, :-1]).any(0)) + 1
-            for low, high in zip([0, *edge], [*edge, batch.num_rows]):
-                part = {n: v[low:high] for n, v in col.items()}
-                if held and any(held[-1][n][-1] != part[n][0] for n in ("token", "u", "v")):
-                    yield from _pairs_of(held)
-                    held = []
-                held.append(part)
+            # the last group may go on in the next batch, the others are complete
+            cut = int(edge[-1]) if len(edge) else 0
+            if held and not cut and any(held[-1][n][-1] != col[n][0] for n in ("token", "u", "v")):
+                yield from _pairs_of(held)
+                held = []
+            if cut:
+                yield from _pairs_of([*held, {n: v[:cut] for n, v in col.items()}])
+                held = []
+            held.append({n: v[cut:] for n, v in col.items()})
         if held:
             yield from _pairs_of(held)
 
-    ordered = units.repartition("token", "u", "v").sortWithinPartitions("token", "u", "v", "n")
+    ordered = units.repartition("token", "u", "v").sortWithinPartitions("token", "u", "v", "label")
     pairs = (
         ordered.mapInArrow(run, schema)
         .groupBy("na", "nb", "ha", "hb", "n", "p", "hn", "hp")
@@ -362,27 +360,37 @@ def _open_pairs(shared: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _pairs_of(held: list[dict[str, np.ndarray]]) -> Iterator[pa.RecordBatch]:
-    """Pairs of one group: different labels, similar sizes, and from the two pieces of the group.
-    The rows are ordered by size."""
+    """Pairs inside complete groups: different labels, similar sizes, from the two pieces of the
+    group, and with enough rows left on both sides. Groups are ordered by label, so the rows
+    of a large component are never held against each other."""
     col = {n: np.concatenate([part[n] for part in held]) for n in held[0]}
-    n, label, salt = col["n"].astype(np.int64), col["label"], col["salt"]
-    across = col["u"][0] != col["v"][0]
-    upto = np.searchsorted(n, n * OF // SAME, side="right")
-    left, right, count = [], [], 0
-    for i in range(len(n)):
-        other = np.arange(i + 1, upto[i])
-        other = other[label[other] != label[i]]
-        if across:
-            other = other[salt[other] != salt[i]]
-        if len(other):
-            left.append(np.full(len(other), i))
-            right.append(other)
-            count += len(other)
-        if count and (count > 100_000 or i == len(n) - 1):
-            yield _pair_batch(col, np.concatenate(left), np.concatenate(right))
-            left, right, count = [], [], 0
-    if count:
-        yield _pair_batch(col, np.concatenate(left), np.concatenate(right))
+    n, rows = col["n"].astype(np.int64), len(col["n"])
+    new_group = np.ones(rows, bool)
+    key = np.stack([col["token"], col["u"], col["v"]])
+    new_group[1:] = (key[:, 1:] != key[:, :-1]).any(0)
+    new_label = new_group.copy()
+    new_label[1:] |= col["label"][1:] != col["label"][:-1]
+    group_end, label_end = (
+        np.append(np.flatnonzero(new)[1:], rows)[np.cumsum(new) - 1] for new in (new_group, new_label)
+    )
+    count = group_end - label_end
+    upto = np.cumsum(count)
+    first = 0
+    while first < rows:
+        before = int(upto[first - 1]) if first else 0
+        last = max(first + 1, int(np.searchsorted(upto, before + 500_000, side="right")))
+        some = count[first:last]
+        left = np.repeat(np.arange(first, last), some)
+        right = label_end[left] + np.arange(len(left)) - np.repeat(np.cumsum(some) - some, some)
+        small, large = np.minimum(n[left], n[right]), np.maximum(n[left], n[right])
+        rest = np.maximum(n[left] - col["p"][left], n[right] - col["p"][right])
+        most = np.minimum(col["s"][left], col["s"][right])
+        keep = (small * OF >= large * SAME) & ((most + rest) * (SAME + OF) >= SAME * (small + large))
+        across = col["u"][left] != col["v"][left]
+        keep &= ~across | (col["salt"][left] != col["salt"][right])
+        if keep.any():
+            yield _pair_batch(col, left[keep], right[keep])
+        first = last
 
 
 def _pair_batch(col, left: np.ndarray, right: np.ndarray) -> pa.RecordBatch:
@@ -404,13 +412,13 @@ def _similar(pairs: DataFrame, documents: DataFrame, rows: DataFrame) -> DataFra
     left = pairs.select("na", "nb")
     nodes = left.unionByName(pairs.select(F.col("ha").alias("na"), F.col("hb").alias("nb")))
     wanted = written(
-        rows.join(nodes.distinct(), ["na", "nb"], "left_semi")
+        rows.join(dealt(nodes.distinct()), ["na", "nb"], "left_semi")
         .groupBy("na", "nb")
         .agg(F.min(F.struct("doc_id", "text_hash")).alias("key"))
         .select("key")
     )
     keyed = documents.select(document_key().alias("key"), "text")
-    texts = keyed.join(wanted, "key", "left_semi").select("text")
+    texts = keyed.join(dealt(wanted), "key", "left_semi").select("text")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -445,7 +453,7 @@ def _similar(pairs: DataFrame, documents: DataFrame, rows: DataFrame) -> DataFra
                 keep.append(both * OF >= SAME * (len(x) + len(y) - both))
             yield batch.select(["na", "nb", "ha", "hb"]).filter(pa.array(keep, pa.bool_()))
 
-    joined = pairs.join(stored, ["na", "nb"]).join(heads, ["ha", "hb"]).select(
+    joined = pairs.join(dealt(stored), ["na", "nb"]).join(dealt(heads), ["ha", "hb"]).select(
         "na", "nb", "ha", "hb", "members", "head_members"
     )
     return joined.mapInArrow(compare, "na bigint, nb bigint, ha bigint, hb bigint").select(
@@ -468,7 +476,7 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     rows = written(signatures(documents))
     docs = rows.where("row is null").select("doc_id", "text_hash", "n_shingles", "na", "nb")
     filled = docs.where("n_shingles > 0")
-    shared = written(shared_prefixes(prefixes(documents, shingle_counts(rows))))
+    shared = written(with_shared(shared_prefixes(prefixes(documents, shingle_counts(rows)))))
 
     first = written(_similar(written(_head_pairs(shared)), documents, filled))
     stars = written(components(first)) if not first.isEmpty() else None
@@ -484,7 +492,7 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     node = F.struct("na", "nb")
     labelled = (
         filled.withColumn("node", node)
-        .join(labels, "node", "left")
+        .join(dealt(labels), "node", "left")
         .withColumn("label", F.coalesce("component", "node"))
         .select("doc_id", "text_hash", "n_shingles", "label")
     )
@@ -492,7 +500,7 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
         F.min("doc_id").alias("component_id"),
         F.min(F.struct("doc_id", "text_hash")).alias("first"),
     )
-    found = labelled.join(groups, "label").select(
+    found = labelled.join(dealt(groups), "label").select(
         "doc_id",
         "text_hash",
         "n_shingles",
@@ -522,7 +530,7 @@ def keep_one_per_group(documents: DataFrame) -> DataFrame:
     alone = F.when(F.col(size) == 0, F.monotonically_increasing_id()).otherwise(F.lit(0))
     return (
         documents.withColumn(key, document_key())
-        .join(wanted, key)
+        .join(dealt(wanted), key)
         .withColumn(tie, alone)
         .dropDuplicates([key, tie])
         .select(*documents.columns)
