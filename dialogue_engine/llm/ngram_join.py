@@ -20,9 +20,10 @@ How the work is laid out:
 3. Every set is compared with one set of each lookup list, the one of which most is shared
    (linear in the lists, never all pairs). This joins large groups of near copies at once.
 4. Pairs inside lists are only formed between sets that are not connected yet, of similar size,
-   and only where both have enough shingles left that such sets share. This makes the result
-   exact and leaves nothing to do inside the large groups. The lists of common shingles are
-   worked on in pieces, pair of pieces by pair of pieces.
+   and only where both have enough shingles left that such sets share. Each row carries a
+   bitmap of its set's remaining shingles, which bounds what two sets can share before a pair is
+   given out. This makes the result exact and leaves nothing to do inside the large groups. The
+   lists of common shingles are worked on in pieces, pair of pieces by pair of pieces.
 """
 
 from collections.abc import Iterator
@@ -297,8 +298,10 @@ def _head_pairs(shared: DataFrame) -> DataFrame:
 def _open_pairs(shared: DataFrame, labels: DataFrame) -> DataFrame:
     """Pairs of sets from different components so far that share enough of their prefixes.
 
-    Only shingles with sets from two components are looked at. Their lists are cut into pieces
-    of a bounded expected size, and every pair of pieces is a group of its own.
+    Only shingles with sets from two components are looked at, the rarest first. Their lists are
+    cut into pieces of a bounded expected size, and every pair of pieces is a group of its own.
+    A pair that needs N matches is looked at where its shingle is among the first ``s - N + 1`` of
+    both sets, which holds for the first shingle they share; so none is missed.
     """
     node = F.struct("na", "nb")
     labelled = (
@@ -310,9 +313,11 @@ def _open_pairs(shared: DataFrame, labels: DataFrame) -> DataFrame:
     )
     mixed = (
         labelled.groupBy("token")
-        .agg(F.min("label").alias("low"), F.max("label").alias("high"))
+        .agg(
+            F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("freq")
+        )
         .where("low <> high")
-        .select("token")
+        .select("token", "freq")
     )
     pieces = F.transform(
         F.sequence(F.lit(0), F.col("salts") - 1),
@@ -320,13 +325,21 @@ def _open_pairs(shared: DataFrame, labels: DataFrame) -> DataFrame:
             F.least("salt", other).alias("u"), F.greatest("salt", other).alias("v")
         ),
     )
-    # no pair of a set has more matches than the set has rows left
+    # windows over the rows of one set, which are no more than its prefix
+    own = Window.partitionBy("na", "nb")
     units = (
-        with_shared(labelled.join(dealt(mixed), "token", "left_semi"))
+        labelled.join(dealt(mixed), "token")
+        .withColumns(
+            {
+                "s": F.count(F.lit(1)).over(own).cast("int"),
+                "r": F.row_number().over(own.orderBy("freq", "token")) - 1,
+                **{b: F.bit_or(bit).over(own) for b, bit in zip(_BITS, _bitmap(F.col("token")))},
+            }
+        )
         .select("*", F.explode(pieces).alias("unit"))
-        .select("token", "unit.u", "unit.v", "salt", "na", "nb", "n", "p", "s", "label")
+        .select("token", "unit.u", "unit.v", "salt", "na", "nb", "n", "p", "s", "r", "label", *_BITS)
     )
-    schema = "na bigint, nb bigint, n int, p int, ha bigint, hb bigint, hn int, hp int"
+    schema = "na bigint, nb bigint, ha bigint, hb bigint"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict[str, np.ndarray]] = []
@@ -349,20 +362,23 @@ def _open_pairs(shared: DataFrame, labels: DataFrame) -> DataFrame:
             yield from _pairs_of(held)
 
     ordered = units.repartition("token", "u", "v").sortWithinPartitions("token", "u", "v", "label")
-    pairs = (
-        ordered.mapInArrow(run, schema)
-        .groupBy("na", "nb", "ha", "hb", "n", "p", "hn", "hp")
-        .agg(F.count(F.lit(1)).alias("matches"))
-    )
-    return pairs.where(
-        _could_be_similar(F.col("matches"), F.col("n"), F.col("p"), F.col("hn"), F.col("hp"))
-    ).select("na", "nb", "ha", "hb")
+    return ordered.mapInArrow(run, schema).distinct()
+
+
+_BITS = [f"b{i}" for i in range(8)]
+
+
+def _bitmap(token: Column) -> list[Column]:
+    """The bit of a shingle in a map of 512 bits, as eight numbers."""
+    bit = F.expr("shiftleft(1L, cast(pmod(token, 64) as int))")
+    word = F.pmod(F.floor(token / 64), F.lit(8))
+    return [F.when(word == i, bit).otherwise(F.lit(0).cast("long")) for i in range(8)]
 
 
 def _pairs_of(held: list[dict[str, np.ndarray]]) -> Iterator[pa.RecordBatch]:
     """Pairs inside complete groups: different labels, similar sizes, from the two pieces of the
-    group, and with enough rows left on both sides. Groups are ordered by label, so the rows
-    of a large component are never held against each other."""
+    group, and able to share enough. Groups are ordered by label, so the rows of a large component
+    are never held against each other."""
     col = {n: np.concatenate([part[n] for part in held]) for n in held[0]}
     n, rows = col["n"].astype(np.int64), len(col["n"])
     new_group = np.ones(rows, bool)
@@ -374,6 +390,9 @@ def _pairs_of(held: list[dict[str, np.ndarray]]) -> Iterator[pa.RecordBatch]:
         np.append(np.flatnonzero(new)[1:], rows)[np.cumsum(new) - 1] for new in (new_group, new_label)
     )
     count = group_end - label_end
+    bits = np.stack([col[b] for b in _BITS], 1).view(_U64)
+    # shingles that fell on a bit of another one
+    lost = col["s"] - np.bitwise_count(bits).sum(1, dtype=np.int64)
     upto = np.cumsum(count)
     first = 0
     while first < rows:
@@ -384,12 +403,20 @@ def _pairs_of(held: list[dict[str, np.ndarray]]) -> Iterator[pa.RecordBatch]:
         right = label_end[left] + np.arange(len(left)) - np.repeat(np.cumsum(some) - some, some)
         small, large = np.minimum(n[left], n[right]), np.maximum(n[left], n[right])
         rest = np.maximum(n[left] - col["p"][left], n[right] - col["p"][right])
-        most = np.minimum(col["s"][left], col["s"][right])
-        keep = (small * OF >= large * SAME) & ((most + rest) * (SAME + OF) >= SAME * (small + large))
+        # similar sets share at least 3 (n + m) / 7, and all but ``rest`` of it in their prefixes
+        need = np.maximum(1, -(-SAME * (small + large) // (SAME + OF)) - rest)
+        keep = small * OF >= large * SAME
+        for side in (left, right):
+            keep &= col["r"][side] + need <= col["s"][side]
         across = col["u"][left] != col["v"][left]
         keep &= ~across | (col["salt"][left] != col["salt"][right])
-        if keep.any():
-            yield _pair_batch(col, left[keep], right[keep])
+        left, right, need = left[keep], right[keep], need[keep]
+        for at in range(0, len(left), 100_000):
+            a, b = left[at : at + 100_000], right[at : at + 100_000]
+            common = np.bitwise_count(bits[a] & bits[b]).sum(1, dtype=np.int64)
+            able = common + np.minimum(lost[a], lost[b]) >= need[at : at + 100_000]
+            if able.any():
+                yield _pair_batch(col, a[able], b[able])
         first = last
 
 
@@ -399,9 +426,7 @@ def _pair_batch(col, left: np.ndarray, right: np.ndarray) -> pa.RecordBatch:
         (col["na"][left] == col["na"][right]) & (col["nb"][left] > col["nb"][right])
     )
     a, b = np.where(later, right, left), np.where(later, left, right)
-    out = {n: col[n][a] for n in ("na", "nb", "n", "p")}
-    out |= {h: col[n][b] for h, n in (("ha", "na"), ("hb", "nb"), ("hn", "n"), ("hp", "p"))}
-    return _arrow(out)
+    return _arrow({"na": col["na"][a], "nb": col["nb"][a], "ha": col["na"][b], "hb": col["nb"][b]})
 
 
 def _similar(pairs: DataFrame, documents: DataFrame, rows: DataFrame) -> DataFrame:
