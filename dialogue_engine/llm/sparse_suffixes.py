@@ -2,33 +2,29 @@
 
 Only suffixes at content-selected positions are kept: of every 26 neighbouring runs of 25 words,
 the start of the run with the smallest hash. A passage of 50 words has 26 such runs, so each of
-its copies keeps a suffix at the same place inside it. The kept suffixes are sorted, by the
-run and then by the words after it, and again by the words before it; suffixes next to each
-other are compared and their match is extended to the left and to the right. A match of 50
-words or more around a suffix marks the words it covers, and what is marked around
-neighbouring suffixes adds up to the whole passage.
+its copies keeps a suffix at the same place inside it, and both suffixes start with the same run.
+Every window of 50 words therefore belongs to one kept suffix, and can occur again only if the
+run of that suffix does. The windows of repeated suffixes are counted, all of them: those that
+occur twice mark their words, and overlapping ones add up to the whole passage.
 
 Where the data goes:
 
 1. Each text gives (hash of the run, document, position), about one row per 13 words. Runs are
    counted by partial aggregates; those that occur once go no further.
-2. The texts meet the positions that are left, and give 25 words of context on either side of
-   each, as 32-bit hashes.
-3. The contexts are dealt out by run and sorted. A run that is more frequent than ``PIECE`` is
-   dealt out in pieces of about that size. A member that has no match in its piece is looked for in
-   the others by counting: all 26 windows of 50 words around it are hashed, and those that
-   occur twice among all members' windows mark their words.
+2. The texts meet the positions that are left and give the hashes of their windows, each window
+   once: at most one row per word, however often a run or a window occurs.
+3. Windows are counted by partial aggregates, and those that occur twice are joined to their
+   places, in a join that Spark can split. Places are put in order per document and merged.
 
-Neighbours in two orders are compared, not all pairs: a match can be missed where other suffixes
-match one side of it longer in both orders and neither reaches 50 words together. Two words with
-equal 32-bit hashes count as the same word, so a match may be a word too long once in 2**32.
+Nothing depends on how many members a run has. Two windows with equal 64-bit hashes count as the
+same words.
 """
 
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dialogue_engine.llm.tables import dealt, document_key
@@ -38,18 +34,23 @@ from dialogue_engine.scratch import written
 PASSAGE = 50
 RUN = 25
 CHOICE = PASSAGE - RUN + 1
-CONTEXT = PASSAGE - RUN
+# Windows of a text are handed on in batches of so many rows.
 PIECE = 4096
 
-_U64 = np.uint64
 
-
-def minimisers(runs: np.ndarray) -> np.ndarray:
-    """Positions of the smallest of every ``CHOICE`` neighbouring hashes; of equals the first."""
+def _smallest(runs: np.ndarray) -> np.ndarray:
+    """For every ``CHOICE`` neighbouring hashes the position of the smallest; of equals the first."""
     if len(runs) < CHOICE:
         return np.zeros(0, np.int64)
     least = np.lib.stride_tricks.sliding_window_view(runs, CHOICE).argmin(1)
-    places = least + np.arange(len(least))
+    return least + np.arange(len(least))
+
+
+def minimisers(runs: np.ndarray) -> np.ndarray:
+    """Positions of the smallest of every ``CHOICE`` neighbouring hashes, each once."""
+    places = _smallest(runs)
+    if not len(places):
+        return places
     return places[np.append(True, places[1:] != places[:-1])]
 
 
@@ -86,204 +87,68 @@ def anchors(documents: DataFrame) -> DataFrame:
 
 
 def repeated_anchors(documents: DataFrame) -> DataFrame:
-    """(key, anchors): per document its suffixes whose run occurs more than once, with the number
-    of pieces of the run and whether the suffix is the first of all."""
+    """(key, anchors): per document the positions of its suffixes whose run occurs more than once."""
     found = anchors(documents).distinct()
-    counted = (
-        found.groupBy("run")
-        .agg(F.count(F.lit(1)).alias("members"), F.min(F.struct("key", "at")).alias("first"))
-        .where("members > 1")
-    )
+    counted = found.groupBy("run").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
     return (
-        found.join(dealt(counted), "run")
-        .select(
-            "key",
-            F.struct(
-                "at",
-                "run",
-                F.ceil(F.col("members") / PIECE).cast("int").alias("pieces"),
-                (F.struct("key", "at") == F.col("first")).alias("first"),
-            ).alias("a"),
-        )
+        found.join(dealt(counted.select("run")), "run", "left_semi")
         .groupBy("key")
-        .agg(F.sort_array(F.collect_list("a")).alias("anchors"))
+        .agg(F.sort_array(F.collect_list("at")).alias("anchors"))
     )
 
 
-_CONTEXT_SCHEMA = (
-    "doc_id bigint, text_hash bigint, at int, first boolean, run bigint, pieces int, piece int, "
-    "after binary, before binary"
-)
+_WINDOW_SCHEMA = "doc_id bigint, text_hash bigint, at int, hash bigint"
 
 
-def contexts(documents: DataFrame, listed: DataFrame) -> DataFrame:
-    """A row per listed suffix with the words after its run and, backwards, those before it."""
-    names = [part.split()[0] for part in _CONTEXT_SCHEMA.split(", ")]
+def passages(documents: DataFrame, listed: DataFrame) -> DataFrame:
+    """A row per window of 50 words that belongs to a listed suffix: its document, first word
+    and hash."""
+    names = [part.split()[0] for part in _WINDOW_SCHEMA.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = as_bytes(batch.column("text"))
-            keys = batch.column("key").to_pylist()
-            places = batch.column("anchors").to_pylist()
+            ids, text_hashes = batch.column("key").flatten()
+            places = batch.column("anchors")
             for first, last in blocks(texts):
                 hashes, bounds = word_hashes(texts[first:last])
-                short = (hashes >> _U64(32)).astype(">u4")
-                rows = []
-                for i in range(first, last):
-                    own = short[bounds[i - first] : bounds[i - first + 1]]
-                    key = keys[i]
-                    spread = hash((key["doc_id"], key["text_hash"]))
-                    for a in places[i]:
-                        at = a["at"]
-                        after = own[at + RUN : at + RUN + CONTEXT].tobytes()
-                        before = own[max(0, at - CONTEXT) : at][::-1].tobytes()
-                        piece = spread % a["pieces"]
-                        rows.append(
-                            (key["doc_id"], key["text_hash"], at, a["first"], a["run"], a["pieces"],
-                             piece, after, before)
+                runs, every = windows(hashes, RUN), windows(hashes, PASSAGE)
+                for i, low, high in zip(range(first, last), bounds[:-1], bounds[1:]):
+                    own = _smallest(runs[low : max(low, high - RUN + 1)])
+                    starts = np.flatnonzero(np.isin(own, places[i].values.to_numpy()))
+                    for k in range(0, len(starts), PIECE):
+                        at = starts[k : k + PIECE]
+                        owner = pa.array(np.full(len(at), i))
+                        yield pa.RecordBatch.from_arrays(
+                            [
+                                ids.take(owner),
+                                text_hashes.take(owner),
+                                pa.array(at.astype(np.int32)),
+                                pa.array(signed(every[low + at])),
+                            ],
+                            names=names,
                         )
-                if rows:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, t) for c, t in zip(zip(*rows), _CONTEXT_TYPES)], names=names
-                    )
 
     keyed = documents.select(document_key().alias("key"), "text").join(dealt(listed), "key")
     # rows that agree in doc_id and text are one document
-    return keyed.dropDuplicates(["key"]).mapInArrow(run, _CONTEXT_SCHEMA)
-
-
-_CONTEXT_TYPES = (
-    pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.int32(), pa.int32(),
-    pa.binary(), pa.binary(),
-)
-
-
-def _common(a: bytes, b: bytes) -> int:
-    """Words that two contexts have in common from their start."""
-    size = min(len(a), len(b))
-    if a[:size] == b[:size]:
-        return size // 4
-    x, y = np.frombuffer(a[:size], ">u4"), np.frombuffer(b[:size], ">u4")
-    return int(np.argmax(x != y))
-
-
-def _best_matches(after: list[bytes], before: list[bytes]) -> list[tuple[int, int]]:
-    """For the suffixes of one run: words before and after it that match with a neighbour, for
-    the neighbour with the longest match, in the two orders."""
-    best = [(0, 0)] * len(after)
-    for order in (
-        sorted(range(len(after)), key=lambda i: (after[i], before[i])),
-        sorted(range(len(after)), key=lambda i: (before[i], after[i])),
-    ):
-        for i, j in zip(order, order[1:]):
-            found = (_common(before[i], before[j]), _common(after[i], after[j]))
-            for one in (i, j):
-                if sum(found) > sum(best[one]):
-                    best[one] = found
-    return best
-
-
-def matches(rows: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, at, start, end, first): matches of 50 words or more around suffixes."""
-    schema = "doc_id bigint, text_hash bigint, at int, start int, end int, first boolean"
-    names = ["doc_id", "text_hash", "at", "start", "end", "first"]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        out: list[tuple] = []
+    return keyed.dropDuplicates(["key"]).mapInArrow(run, _WINDOW_SCHEMA)
 
-        def close() -> None:
-            if len(held) > 1:
-                found = _best_matches([r[5] for r in held], [r[6] for r in held])
-                for r, (left, right) in zip(held, found):
-                    if left + RUN + right >= PASSAGE:
-                        out.append((r[0], r[1], r[2], r[2] - left, r[2] + RUN + right, r[3]))
-            held.clear()
 
-        def batch_of(rows: list[tuple]) -> pa.RecordBatch:
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_())
-            return pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names
-            )
-
-        previous = None
-        columns = ("doc_id", "text_hash", "at", "first", "run", "after", "before", "piece")
-        for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in columns)):
-                if (row[4], row[7]) != previous:
-                    close()
-                    previous = (row[4], row[7])
-                held.append(row)
-            if out:
-                yield batch_of(out)
-                out.clear()
-        close()
-        if out:
-            yield batch_of(out)
-
-    dealt = rows.repartition("run", "piece").sortWithinPartitions("run", "piece", "after", "before")
-    return dealt.mapInArrow(run, schema)
-
-
-def _window_matches(rows: DataFrame, found: DataFrame) -> DataFrame:
-    """The same for members of runs in several pieces that have no match in their own piece, by
-    counting windows of 50 words around the members."""
-
-    def window(left: Column) -> Column:
-        """The window that starts so many words before the run; null where the text ends first."""
-        right = CONTEXT - left
-        inside = (F.length("before") >= 4 * left) & (F.length("after") >= 4 * right)
-        return F.when(
-            inside,
-            F.struct(
-                left.alias("left"),
-                F.xxhash64(
-                    "run",
-                    left,
-                    F.substring("before", F.lit(1), 4 * left),
-                    F.substring("after", F.lit(1), 4 * right),
-                ).alias("hash"),
-            ),
-        )
-
-    every = F.transform(F.sequence(F.lit(0), F.lit(CONTEXT)), window)
-    hot = rows.where("pieces > 1").withColumn("place", F.struct("doc_id", "text_hash", "at"))
-    matched = found.select(F.struct("doc_id", "text_hash", "at").alias("place")).distinct()
-    alone = hot.join(dealt(matched), "place", "left_anti")
-    wanted = alone.select("run").distinct()
+def repeated_windows(rows: DataFrame) -> DataFrame:
+    """(doc_id, text_hash, at, later): the windows that occur more than once, and whether an
+    earlier place has the same one."""
+    place = F.struct("doc_id", "text_hash", "at")
     twice = (
-        hot.join(dealt(wanted), "run", "left_semi")
-        .select(F.inline(F.array_compact(every)))
-        .groupBy("hash")
-        .agg(F.count(F.lit(1)).alias("n"))
+        rows.groupBy("hash")
+        .agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first"))
         .where("n > 1")
-        .select("hash")
+        .select("hash", "first")
     )
-    start = (F.col("at") - F.col("left")).cast("int")
-    return (
-        alone.select("doc_id", "text_hash", "at", "first", F.inline(F.array_compact(every)))
-        .join(dealt(twice), "hash", "left_semi")
-        .select(
-            "doc_id", "text_hash", "at", start.alias("start"), (start + PASSAGE).alias("end"), "first"
-        )
+    return rows.join(dealt(twice), "hash").select(
+        "doc_id", "text_hash", "at", (place != F.col("first")).alias("later")
     )
 
 
-def _merged(spans: Column) -> Column:
-    """Overlapping or touching spans, given in order, made one."""
-    none = F.array().cast("array<struct<start:int,end:int>>")
-
-    def add(done: Column, span: Column) -> Column:
-        last = F.element_at(done, -1)
-        joined = F.struct(last["start"].alias("start"), F.greatest(last["end"], span["end"]).alias("end"))
-        return F.when(
-            (F.size(done) > 0) & (span["start"] <= last["end"]),
-            F.concat(F.slice(done, 1, F.size(done) - 1), F.array(joined)),
-        ).otherwise(F.concat(done, F.array(span)))
-
-    return F.aggregate(spans, none, add)
-
-
 def repeated_passages(documents: DataFrame) -> DataFrame:
     """(doc_id, text_hash, start_word, n_words, later_words) per repeated passage of a text.
 
@@ -293,36 +158,27 @@ def repeated_passages(documents: DataFrame) -> DataFrame:
     passages. Rows that agree in doc_id and text are one document and do not repeat each other;
     null ids are ids like others. A passage repeated inside one document counts.
     """
-    rows = written(contexts(documents, written(repeated_anchors(documents))))
-    near = written(matches(rows))
-    found = near.unionByName(_window_matches(rows, near))
-    span = F.struct("start", "end")
-    per_text = found.groupBy("doc_id", "text_hash").agg(
-        F.sort_array(F.collect_set(span)).alias("every"),
-        F.sort_array(F.collect_set(F.when(~F.col("first"), span))).alias("later"),
+    rows = written(passages(documents, written(repeated_anchors(documents))))
+    text = ["doc_id", "text_hash"]
+    ordered = Window.partitionBy(*text).orderBy("at")
+    before = ordered.rowsBetween(Window.unboundedPreceding, -1)
+    upto = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # touching windows are one passage
+    apart = F.coalesce(F.col("at") > F.lag("at").over(ordered) + PASSAGE, F.lit(True))
+    previous = F.last(F.when(F.col("later"), F.col("at")), ignorenulls=True).over(before)
+    added = F.least(F.lit(PASSAGE), F.coalesce(F.col("at") - previous, F.lit(PASSAGE)))
+    marked = repeated_windows(rows).select(
+        *text,
+        "at",
+        F.sum(apart.cast("int")).over(upto).alias("passage"),
+        F.when(F.col("later"), added).otherwise(0).alias("added"),
     )
-
-    def overlap(whole: Column) -> Column:
-        return F.aggregate(
-            "l",
-            F.lit(0),
-            lambda total, part: total
-            + F.greatest(
-                F.lit(0),
-                F.least(part["end"], whole["end"]) - F.greatest(part["start"], whole["start"]),
-            ),
-        )
-
     return (
-        per_text.select(
-            "doc_id", "text_hash", _merged(F.col("later")).alias("l"),
-            F.explode(_merged(F.col("every"))).alias("span"),
-        )
-        .select(
-            "doc_id",
-            "text_hash",
-            F.col("span.start").alias("start_word"),
-            (F.col("span.end") - F.col("span.start")).alias("n_words"),
-            overlap(F.col("span")).alias("later_words"),
+        marked.groupBy(*text, "passage")
+        .agg(
+            F.min("at").alias("start_word"),
+            (F.max("at") + PASSAGE - F.min("at")).alias("n_words"),
+            F.sum("added").cast("int").alias("later_words"),
         )
+        .drop("passage")
     )

@@ -83,3 +83,24 @@ def test_edges(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = sorted((r.doc_id or 0, r.start_word, r.n_words) for r in S.repeated_passages(docs).collect())
     assert got == [(0, 0, 60), (1, 0, 60), (2, 0, 60), (2, 61, 60)]
+
+
+def one_sided(rng, name):
+    """A text and four others: two share its middle words with 25 more on one side or less than 25
+    on the other. Only the first of each pair reaches 50 words with it, and others match a side longer."""
+    fresh = lambda n: [f"{name}{rng.randrange(10**6)}" for _ in range(n)]
+    left, run, right = fresh(25), fresh(25), fresh(25)
+    part = lambda before, after: [
+        *fresh(30), *left[25 - before :], *run, *right[:after], *fresh(30)
+    ]
+    sides = [(25, 0), (24, 0), (23, 0), (0, 25), (0, 24), (0, 23)]
+    return [part(12, 13), part(12, 13), *(part(max(0, b - 1), max(0, a - 1)) for b, a in sides)]
+
+
+def test_matches_behind_longer_one_sided_ones(spark):
+    """Runs of few members: others match one side longer, but not 50 words together."""
+    rng = random.Random(6)
+    texts = [" ".join(w) for i in range(40) for w in one_sided(rng, f"g{i}x")]
+    wanted = covered(texts)
+    assert len(wanted) >= 80
+    assert found(spark, texts)[0] == wanted
