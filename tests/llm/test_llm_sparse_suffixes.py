@@ -104,3 +104,19 @@ def test_matches_behind_longer_one_sided_ones(spark):
     wanted = covered(texts)
     assert len(wanted) >= 80
     assert found(spark, texts)[0] == wanted
+
+
+def test_matches_with_different_texts_add_up(spark):
+    """One text has the first 50 of 75 words and another the last 50: all 75 are marked, also where
+    a single suffix is kept in them."""
+    rng = random.Random(8)
+    fresh = lambda n: [f"v{rng.randrange(10**6)}" for _ in range(n)]
+    texts = []
+    for _ in range(250):
+        words = fresh(75)
+        for part in (words, words[:50], words[25:]):
+            texts.append(" ".join([*fresh(30), *part, *fresh(30)]))
+    got, later = found(spark, texts)
+    assert got == covered(texts)
+    assert all(got[i] == set(range(30, 105)) for i in range(0, len(texts), 3))
+    assert later == 250 * 100
