@@ -2,7 +2,8 @@
 
 Documents are cut into windows of about the size of an item, and items and windows are
 compared by SimHash. A multi-index over the fingerprint's blocks finds every window within the
-Hamming radius, and each window found is compared with its item by weighted shingles.
+Hamming radius, and an index of shingles finds what SimHash misses because an item is cut or
+edited. Each place found is compared with its item by weighted shingles.
 
 * An item of m words belongs to the largest window size w <= 3m/4 of a fixed list. Windows of w
   words start every ``w // 3 + 1`` words of a document. Of the item, the windows at its first
@@ -15,6 +16,11 @@ Hamming radius, and each window found is compared with its item by weighted shin
 * The exact comparison is the weighted share of the item's five-word shingles (of the whole
   item, if it has fewer words) found where the item would have to stand. It must be 0.75 or
   more. A shingle weighs less the more items have it.
+* Of each item of five words or more, the heaviest shingles that together weigh more than 0.25 are
+  indexed. A place with a share of 0.75 has one of them, so none is missed, wherever the item
+  is cut or changed. Such a shingle says where the item would have to begin; if the share is too
+  small there, the item may still be moved apart, and every piece that begins with one of its
+  shingles is compared.
 
 Letters A-Z are lower-cased; words end at white space.
 
@@ -36,6 +42,8 @@ from dialogue_engine.llm.words import as_bytes, blocks, distinct, shingles, wind
 
 WORDS = 5
 SIMILARITY = 0.75
+# What the sum of an item's weights may be off by.
+ROUNDING = 1e-9
 SIZES = (9, 12, 16, 21, 28, 38, 50, 64)
 SHORT_ITEM = 12
 BLOCK_BITS = (22, 21, 21)
@@ -43,6 +51,8 @@ BLOCK_RADIUS = 2
 RADIUS = 3 * BLOCK_RADIUS + 2
 # About 50 MB of index.
 SLICE_FINGERPRINTS = 8192
+# Places of shingles looked at together.
+PLACES = 1 << 20
 HIT = "struct<item_id: bigint, start_word: int, similarity: double>"
 
 _U64 = np.uint64
@@ -143,16 +153,46 @@ class SizeIndex:
         return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
 
 
+class ShingleIndex:
+    """The shingles of which a place must have one, with the items and where they stand in them."""
+
+    def __init__(self, entries: list[tuple[int, int, int]]):
+        found = sorted(entries)
+        self.shingles = np.array([e[0] for e in found], _U64)
+        self.items = np.array([e[1] for e in found], np.int64)
+        self.offsets = np.array([e[2] for e in found], np.int64)
+
+    def open(self) -> None:
+        """Add a table that says which first 20 bits occur at all."""
+        self.occurs = np.zeros(1 << 20, bool)
+        self.occurs[self.shingles >> _U64(44)] = True
+
+    def places(self, every: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(position of the shingle, item, word at which the item would begin), in parts."""
+        which = np.flatnonzero(self.occurs[every >> _U64(44)])
+        low = np.searchsorted(self.shingles, every[which], side="left")
+        count = np.searchsorted(self.shingles, every[which], side="right") - low
+        which, low, count = which[count > 0], low[count > 0], count[count > 0]
+        part = np.cumsum(count) // PLACES
+        for cut in np.split(np.arange(len(which)), np.flatnonzero(np.diff(part)) + 1):
+            n = count[cut]
+            place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            mine = place + np.repeat(low[cut], n)
+            at = np.repeat(which[cut], n)
+            yield at, self.items[mine], at - self.offsets[mine]
+
+
 class ItemIndex:
     """A slice of the items: fingerprints by window size, shingles and their weights."""
 
     def __init__(self, items: list[tuple[int, bytes]]):
         self.ids = [item_id for item_id, _ in items]
         by_size: dict[int, tuple[list, list, list]] = {}
-        self.lengths, sets = [], []
+        self.lengths, sets, listed = [], [], []
         for no, (_, text) in enumerate(items):
             hashes, _ = word_hashes([text])
             self.lengths.append(len(hashes))
+            listed.append(shingles(hashes, WORDS).tolist())
             sets.append(distinct(shingles(hashes, WORDS)))
             size = window_size(len(hashes))
             starts = np.arange(min(stride(size), len(hashes) - size + 1))
@@ -166,6 +206,23 @@ class ItemIndex:
         for own in sets:
             weight = np.log1p(len(items) / held_by[np.searchsorted(known, own)])
             self.weights.append(dict(zip(own.tolist(), (weight / weight.sum()).tolist())))
+        entries = []
+        for no, weights in enumerate(self.weights):
+            if self.lengths[no] < WORDS:
+                continue
+            needed, total = set(), 0.0
+            for shingle, weight in sorted(weights.items(), key=lambda w: (-w[1], w[0])):
+                if total > 1 - SIMILARITY + ROUNDING:
+                    break
+                needed.add(shingle)
+                total += weight
+            entries += [(x, no, at) for at, x in enumerate(listed[no]) if x in needed]
+        self.heaviest = ShingleIndex(entries)
+
+    def open(self) -> None:
+        for size in self.sizes:
+            size.open()
+        self.heaviest.open()
 
     def hits(self, texts: list[bytes]) -> list[list[dict]]:
         """Per text the items in it, in order of their number, each with its best place."""
@@ -193,14 +250,18 @@ class ItemIndex:
                 found = (owner, index.items[mine], at - index.offsets[mine])
                 places = set(zip(*(part.tolist() for part in found)))
                 for doc, item, place in places:
-                    low, high = ranges[doc]
-                    place, slack = max(low, place), self.lengths[item] // 8
-                    share = self._share(hashes, every, item, place, low, high, slack)
-                    if share >= SIMILARITY:
-                        # of places with the same share, where the item fits without slack
-                        exact = self._share(hashes, every, item, place, low, high, 0)
-                        here = (share, exact, low - place)
-                        best[doc, item] = max(best.get((doc, item), here), here)
+                    self._compare(best, hashes, every, doc, item, place, ranges[doc])
+            places = set()
+            for at, items, place in self.heaviest.places(every):
+                owner = np.searchsorted(bounds, at, side="right") - 1
+                inside = at + WORDS <= bounds[owner + 1]
+                found = (owner[inside], items[inside], place[inside])
+                places.update(zip(*(part.tolist() for part in found)))
+            for doc, item, place in places:
+                self._compare(best, hashes, every, doc, item, place, ranges[doc])
+            for doc, item in {(doc, item) for doc, item, _ in places} - best.keys():
+                for place in self._apart(every, item, *ranges[doc]):
+                    self._compare(best, hashes, every, doc, item, place, ranges[doc])
         listed: list[list[dict]] = [[] for _ in range(docs)]
         for (doc, item), (share, _, place) in sorted(best.items()):
             listed[doc].append(
@@ -208,6 +269,27 @@ class ItemIndex:
             )
         yield from listed
 
+    def _compare(self, best, hashes, every, doc: int, item: int, place: int, bounds) -> None:
+        """Keep the place if the item is there and no better place is known."""
+        low, high = bounds
+        place, slack = max(low, place), self.lengths[item] // 8
+        share = self._share(hashes, every, item, place, low, high, slack)
+        if share >= SIMILARITY - ROUNDING:
+            # of places with the same share, where the item fits without slack
+            exact = self._share(hashes, every, item, place, low, high, 0)
+            here = (share, exact, low - place)
+            best[doc, item] = max(best.get((doc, item), here), here)
+
+    def _apart(self, every, item: int, low: int, high: int) -> list[int]:
+        """Where the piece and the slack before it begin with a shingle of the item. A piece with the
+        largest share is among them. None if the whole text has too few of the shingles."""
+        weights = self.weights[item]
+        own = every[low : high - WORDS + 1]
+        at = np.flatnonzero(np.isin(own, np.array(list(weights), _U64)))
+        if sum(weights[shingle] for shingle in set(own[at].tolist())) < SIMILARITY - ROUNDING:
+            return []
+        return np.minimum(low + at + self.lengths[item] // 8, high - 1).tolist()
+
     def _share(
         self, hashes, every, item: int, place: int, low: int, high: int, slack: int
     ) -> float:
@@ -247,8 +329,7 @@ def _hits(spark, items: list[tuple[int, bytes]]) -> Column:
     @F.arrow_udf(f"array<{HIT}>")
     def hits(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         index = sent.value
-        for size in index.sizes:
-            size.open()
+        index.open()
         kind = pa.list_(
             pa.struct(
                 [("item_id", pa.int64()), ("start_word", pa.int32()), ("similarity", pa.float64())]

@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -126,3 +127,53 @@ def test_null_items_are_left_out(spark):
 def test_contaminated_rows_go(spark):
     docs = documents(spark, [" ".join(ITEMS[5]), "clean text", None])
     assert sorted(r.doc_id for r in D.drop_contaminated(docs, benchmark(spark)).collect()) == [1, 2]
+
+
+def edited(rng, item):
+    """Cut at the front, in the middle or at the end, words changed all over, or a word put in."""
+    n = len(item)
+    kind = rng.randrange(5)
+    if kind < 3:
+        cut = rng.randrange(1, n // 4 + 1)
+        low = (0, rng.randrange(n - cut), n - cut)[kind]
+        return item[:low] + item[low + cut :]
+    words = list(item)
+    for _ in range(max(1, n // 20)):
+        at = rng.randrange(n)
+        words[at : at + (kind == 3)] = [f"new{rng.randrange(10**6)}"]
+    return words
+
+
+def every_place(texts, items):
+    """(text, item) where a piece with the slack around it has 0.75 of the item's shingles."""
+    held = {}
+    sets = [{tuple(item[i : i + 5]) for i in range(len(item) - 4)} for item in items]
+    for own in sets:
+        for shingle in own:
+            held[shingle] = held.get(shingle, 0) + 1
+    out = set()
+    for n, (item, own) in enumerate(zip(items, sets)):
+        weight = {s: math.log1p(len(items) / held[s]) for s in own}
+        slack = len(item) // 8
+        for d, words in enumerate(texts):
+            runs = [tuple(words[i : i + 5]) for i in range(len(words) - 4)]
+            if sum(weight[s] for s in own & set(runs)) < 0.7 * sum(weight.values()):
+                continue
+            for place in range(len(words)):
+                first, last = max(0, place - slack), min(len(words), place + len(item) + slack)
+                share = sum(weight[s] for s in own & set(runs[first : max(first, last - 4)]))
+                if share / sum(weight.values()) >= 0.75 - 1e-9:
+                    out.add((d, n))
+    return out
+
+
+def test_cut_and_edited_items_against_every_place(spark):
+    rng = random.Random(12)
+    items = [text(n) for n in (20, 40, 50, 59, 100, 200) for _ in range(2)]
+    texts = []
+    for _ in range(40):
+        for item in items:
+            texts.append([*text(rng.randrange(40)), *edited(rng, item), *text(rng.randrange(40))])
+    wanted = every_place(texts, items)
+    assert len(wanted) > 200
+    assert set(hits(spark, [" ".join(words) for words in texts], items)) == wanted
