@@ -15,7 +15,7 @@ edited. Each place found is compared with its item by weighted shingles.
   item's, so one lookup per block misses none of them.
 * The exact comparison is the weighted share of the item's five-word shingles (of the whole
   item, if it has fewer words) found where the item would have to stand. It must be 0.75 or
-  more. A shingle weighs less the more items have it.
+  more. A shingle weighs less the more items of the whole benchmark have it.
 * Of each item of five words or more, the heaviest shingles that together weigh more than 0.25 are
   indexed. A place with a share of 0.75 has one of them, so none is missed, wherever the item
   is cut or changed. Such a shingle says where the item would have to begin; if the share is too
@@ -37,8 +37,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dialogue_engine.llm.tables import unused
-from dialogue_engine.llm.words import as_bytes, blocks, distinct, shingles, windows, word_hashes
+from dialogue_engine.llm.tables import dealt, unused
+from dialogue_engine.llm.words import (
+    as_bytes,
+    blocks,
+    distinct,
+    shingles,
+    signed,
+    windows,
+    word_hashes,
+)
+from dialogue_engine.scratch import written
 
 WORDS = 5
 SIMILARITY = 0.75
@@ -182,14 +191,19 @@ class ShingleIndex:
             yield at, self.items[mine], at - self.offsets[mine]
 
 
+# Number, lower-cased text, and how many items have those shingles that others have too.
+Item = tuple[int, bytes, dict[int, int]]
+
+
 class ItemIndex:
     """A slice of the items: fingerprints by window size, shingles and their weights."""
 
-    def __init__(self, items: list[tuple[int, bytes]]):
-        self.ids = [item_id for item_id, _ in items]
+    def __init__(self, items: list[Item], total: int):
+        """``total`` is the number of items in all slices."""
+        self.ids = [item_id for item_id, _, _ in items]
         by_size: dict[int, tuple[list, list, list]] = {}
         self.lengths, sets, listed = [], [], []
-        for no, (_, text) in enumerate(items):
+        for no, (_, text, _) in enumerate(items):
             hashes, _ = word_hashes([text])
             self.lengths.append(len(hashes))
             listed.append(shingles(hashes, WORDS).tolist())
@@ -201,10 +215,10 @@ class ItemIndex:
             entry[1].extend([no] * len(starts))
             entry[2].extend(starts.tolist())
         self.sizes = [SizeIndex(size, *entry) for size, entry in sorted(by_size.items())]
-        known, held_by = np.unique(np.concatenate(sets), return_counts=True)
         self.weights: list[dict[int, float]] = []
-        for own in sets:
-            weight = np.log1p(len(items) / held_by[np.searchsorted(known, own)])
+        for own, (_, _, shared) in zip(sets, items):
+            held_by = np.array([shared.get(shingle, 1) for shingle in signed(own).tolist()])
+            weight = np.log1p(total / held_by)
             self.weights.append(dict(zip(own.tolist(), (weight / weight.sum()).tolist())))
         entries = []
         for no, weights in enumerate(self.weights):
@@ -305,17 +319,48 @@ class ItemIndex:
         return sum(weights[shingle] for shingle in weights.keys() & there.tolist())
 
 
-def _slices(benchmark: DataFrame) -> Iterator[list[tuple[int, bytes]]]:
-    """The items, in slices of a bounded number of fingerprints. Items without words or without
-    an id are left out: nothing contains them."""
+def _shingles() -> Column:
+    @F.arrow_udf("array<bigint>")
+    def own(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in texts:
+            found = [
+                signed(distinct(shingles(word_hashes([text.lower()])[0], WORDS)))
+                for text in as_bytes(batch)
+            ]
+            yield pa.array(found, pa.list_(pa.int64()))
+
+    return own(F.col("text"))
+
+
+def _counted(benchmark: DataFrame) -> DataFrame:
+    """(no, item_id, text, shared): the items, and of their shingles those that several items have,
+    with their number over the whole benchmark. Items without words or without an id are left
+    out: nothing contains them."""
+    items = written(
+        benchmark.select(
+            F.monotonically_increasing_id().alias("no"),
+            F.col("item_id").cast("long").alias("item_id"),
+            "text",
+            _shingles().alias("shingles"),
+        ).where(F.col("item_id").isNotNull() & (F.size("shingles") > 0))
+    )
+    each = items.select("no", F.explode("shingles").alias("shingle"))
+    held = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
+    shared = (
+        each.join(dealt(held), "shingle")
+        .groupBy("no")
+        .agg(F.collect_list(F.struct("shingle", "held")).alias("shared"))
+    )
+    return written(items.drop("shingles").join(dealt(shared), "no", "left"))
+
+
+def _slices(items: DataFrame) -> Iterator[list[Item]]:
+    """The items, in slices of a bounded number of fingerprints."""
     held, prints = [], 0
-    for row in benchmark.select(F.col("item_id").cast("long"), "text").toLocalIterator():
-        text = (row["text"] or "").encode().lower()
-        words = len(text.split())
-        if not words or row["item_id"] is None:
-            continue
-        held.append((row["item_id"], text))
-        prints += stride(window_size(words))
+    for row in items.orderBy("no").toLocalIterator():
+        text = row["text"].encode().lower()
+        held.append((row["item_id"], text, dict(row["shared"] or ())))
+        prints += stride(window_size(len(text.split())))
         if prints >= SLICE_FINGERPRINTS:
             yield held
             held, prints = [], 0
@@ -323,8 +368,8 @@ def _slices(benchmark: DataFrame) -> Iterator[list[tuple[int, bytes]]]:
         yield held
 
 
-def _hits(spark, items: list[tuple[int, bytes]]) -> Column:
-    sent = spark.sparkContext.broadcast(ItemIndex(items))
+def _hits(spark, items: list[Item], total: int) -> Column:
+    sent = spark.sparkContext.broadcast(ItemIndex(items, total))
 
     @F.arrow_udf(f"array<{HIT}>")
     def hits(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -349,7 +394,9 @@ def with_hits(documents: DataFrame, benchmark: DataFrame, name: str = "hits") ->
     id are reported each. Of ``benchmark`` only ``item_id`` and ``text`` are read.
     """
     spark = documents.sparkSession
-    found = [_hits(spark, items) for items in _slices(benchmark)]
+    items = _counted(benchmark)
+    total = items.count()
+    found = [_hits(spark, part, total) for part in _slices(items)]
     none = F.array().cast(f"array<{HIT}>")
     return documents.withColumn(name, F.concat(*found) if found else none)
 

@@ -177,3 +177,14 @@ def test_cut_and_edited_items_against_every_place(spark):
     wanted = every_place(texts, items)
     assert len(wanted) > 200
     assert set(hits(spark, [" ".join(words) for words in texts], items)) == wanted
+
+
+def test_weights_are_those_of_the_whole_benchmark(spark, monkeypatch):
+    """Items that share shingles, cut so that the share is near 0.75, in one slice and in many."""
+    common = text(30)
+    items = [[*common, *text(30)] for _ in range(8)]
+    texts = [" ".join([*text(4), *item[cut:], *text(4)]) for item in items for cut in (12, 24, 30)]
+    whole = hits(spark, texts, items)
+    assert 0 < len(whole) < len(texts)
+    monkeypatch.setattr(D, "SLICE_FINGERPRINTS", 5)
+    assert hits(spark, texts, items) == whole
