@@ -120,3 +120,13 @@ def test_matches_with_different_texts_add_up(spark):
     assert got == covered(texts)
     assert all(got[i] == set(range(30, 105)) for i in range(0, len(texts), 3))
     assert later == 250 * 100
+
+
+def test_one_text_that_repeats_a_word(spark):
+    """All its windows have one hash; they are dealt out in small batches and add up to one passage."""
+    docs = documents(spark, ["a " * 20_000])
+    listed = S.repeated_anchors(docs)
+    rows = S.passages(docs, listed).collect()
+    assert len(rows) == 20_000 - 49 and len({r.hash for r in rows}) == 1
+    got = [(r.start_word, r.n_words, r.later_words) for r in S.repeated_passages(docs).collect()]
+    assert got == [(0, 20_000, 20_000)]
