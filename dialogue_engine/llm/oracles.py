@@ -123,3 +123,65 @@ SELECT d.doc_id, CASE WHEN n_removed > 0 THEN rest ELSE d.text END AS text, d.la
        n_lines, n_removed
 FROM documents d JOIN cleaned USING (doc_id)
 """
+
+# The largest page_id of a group of equal payloads of 1000 bytes or more is the response.
+ORACLES["op11_warc"] = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+         sha1(coalesce(html, '')) AS payload_digest, coalesce(html, '') AS body
+  FROM pages
+), g AS (SELECT body, max(page_id) AS response FROM p GROUP BY body)
+SELECT p.page_id, p.payload_bytes::BIGINT AS payload_bytes, p.payload_digest,
+       CASE WHEN p.payload_bytes >= 1000 AND p.page_id < g.response
+            THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN p.payload_bytes >= 1000 AND p.page_id < g.response THEN g.response END AS refers_to
+FROM p JOIN g ON p.body = g.body
+"""
+
+# crc32 by its table of 256 remainders, over the bytes of doc_id:run (one byte below U+0080, else
+# C3 and a second one). Near words share a key of deletion neighbourhoods: the word less a letter.
+ORACLES["op13_spelling_variants"] = """
+WITH RECURSIVE t AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tbl
+), runs AS (
+  SELECT doc_id, translate(r, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS k
+  FROM (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')) AS r FROM documents)
+  GROUP BY ALL
+), hashed AS (
+  SELECT run, k, xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(
+      string_split(coalesce(doc_id::VARCHAR, '') || ':' || run, ''),
+      lambda ch: CASE WHEN unicode(ch) < 128 THEN [unicode(ch)::BIGINT]
+                      ELSE [195::BIGINT, (unicode(ch) - 64)::BIGINT] END))),
+    lambda c, b: xor(c >> 8, tbl[(xor(c, b) & 255) + 1]))) AS h
+  FROM runs, t
+), words AS (
+  SELECT word, sum(k)::BIGINT AS n FROM (
+    SELECT CASE WHEN h % 97 = 0
+           THEN substr(run, 1, (h % length(run))::BIGINT) || substr(run, (h % length(run))::BIGINT + 2)
+           ELSE run END AS word, k FROM hashed)
+  WHERE length(word) >= 5 GROUP BY word HAVING sum(k) >= 3
+), cut AS (
+  SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS less
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)
+), near AS (
+  SELECT DISTINCT a.word, a.n, b.word AS other, b.n AS other_n
+  FROM cut a JOIN cut b ON a.less = b.less AND a.i = b.i AND a.word <> b.word
+  UNION SELECT DISTINCT a.word, a.n, w.word, w.n FROM cut a JOIN words w ON a.less = w.word
+  UNION SELECT DISTINCT w.word, w.n, a.word, a.n FROM cut a JOIN words w ON a.less = w.word
+), best AS (
+  SELECT word, n, count(*) AS n_near,
+         first(other ORDER BY other_n DESC, encode(other)) AS form, max(other_n) AS form_n
+  FROM near GROUP BY word, n
+), forms AS (
+  SELECT w.word, w.n, coalesce(b.n_near, 0)::BIGINT AS n_near,
+         CASE WHEN b.form_n >= 2 * w.n THEN b.form END AS form,
+         CASE WHEN b.form_n >= 2 * w.n THEN b.form_n END AS form_n
+  FROM words w LEFT JOIN best b ON w.word = b.word
+), walk AS (
+  SELECT word, word AS root, 0 AS steps FROM forms
+  UNION ALL
+  SELECT walk.word, f.form, steps + 1 FROM walk JOIN forms f ON walk.root = f.word WHERE f.form IS NOT NULL
+), ends AS (SELECT word, arg_max(root, steps) AS root FROM walk GROUP BY word)
+SELECT f.word, f.form, e.root, f.n, f.n_near, f.form_n FROM forms f JOIN ends e ON f.word = e.word
+"""

@@ -4,6 +4,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from dialogue_engine.llm import (
     decontaminate,
@@ -15,7 +16,10 @@ from dialogue_engine.llm import (
     resample,
     secret_scan,
     sparse_suffixes,
+    spelling,
     toxicity,
+    warc,
+    whitening,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -96,3 +100,20 @@ def op9_html_extraction(spark, sf_dir):
 def op10_suffix_dedup(spark, sf_dir):
     found = sparse_suffixes.repeated_passages(_table(spark, sf_dir, "documents"))
     return found.drop("text_hash")
+
+
+@query
+def op11_warc(spark, sf_dir):
+    return warc.page_records(_table(spark, sf_dir, "pages"))
+
+
+@query
+def op12_embedding_whitening(spark, sf_dir):
+    found = whitening.whitened_embeddings(_table(spark, sf_dir, "embeddings"))
+    # exact at any size as decimal(38, 0); beyond a long it is null here
+    return found.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+@query
+def op13_spelling_variants(spark, sf_dir):
+    return spelling.spelling_variants(_table(spark, sf_dir, "documents"))
