@@ -8,13 +8,14 @@ Two words are near when one inserted, deleted or replaced code point turns one i
 * **Decomposition.** At each position a word has one gram, the shortest that is not frequent (at
   most five long, or to the word's end). Where a gram ends depends on its own letters alone,
   so an edit changes a gram only if it lies within it.
-* **Bound.** An edit at a position touches the grams that span it. The most that span one
-  position, counted for each word, is the number of grams one edit can take from it. All other
-  grams stand in every near word, at the same position or one moved by the edit.
-* **Lists.** The list of a gram and position has the words with it. A word near to a word whose
-  bound is b is in at least one of any b + 1 of its lists, so the b + 1 shortest are merged and
-  the others need not be read. Words of five letters have six grams and no bound is above
-  five, so there are always that many, and no pair is lost.
+* **Bound.** An edit touches the grams that span its place, and all others stand in every near
+  word, at the same position or one moved by the edit. Of a set of grams of a word it can take
+  as many as span one place: that is the bound of the set, and a near word has the rest.
+* **Lists.** The list of a gram and position has the words with it. For each word the sets whose
+  bound is smaller than the set are compared by the length of their lists, and those of the
+  cheapest are merged; the others need not be read. Intervals without a common point have two
+  that are disjoint, so the cheapest set is a pair of grams that do not overlap, with bound one.
+  The first and the last gram of a word of five letters do not, so no word is without a pair.
 * **Check.** What the lists give is compared letter by letter.
 """
 
@@ -24,7 +25,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dialogue_engine.scratch import written
@@ -103,60 +104,102 @@ def word_counts(documents: DataFrame, id_col: str = "doc_id", column: str = "tex
 def frequent_grams(words: DataFrame, least: int = LEAST_LIST, most: int = MOST_FREQUENT) -> set[str]:
     """The grams with more postings than a share of all that lets no more than ``most`` through."""
     framed = F.concat(F.lit("^"), F.col("word"), F.lit("$"))
-    grams = F.flatten(
-        F.array(
-            *(
-                F.transform(
-                    F.sequence(F.lit(1), F.length("t") - q + 1), lambda p, q=q: F.substring("t", p, q)
-                )
-                for q in range(SHORTEST, LONGEST)
-            )
-        )
-    )
+
+    def of_size(size: int) -> Column:
+        starts = F.sequence(F.lit(1), F.length("t") - size + 1)
+        return F.transform(starts, lambda p: F.substring("t", p, size))
+
+    grams = F.flatten(F.array(*map(of_size, range(SHORTEST, LONGEST))))
     lists = words.select(framed.alias("t")).select(F.explode(grams).alias("gram")).groupBy("gram").count()
     postings = words.agg(F.sum((F.length("word") + 2) * (LONGEST - SHORTEST))).first()[0] or 0
     above = max(least, postings // most)
     return {r["gram"] for r in lists.where(F.col("count") > above).select("gram").collect()}
 
 
-def decompose(word: str, frequent: set[str]) -> tuple[list[str], int]:
-    """The gram at each position of ``^word$``, and how many of them one edit can change."""
+def decompose(word: str, frequent: set[str]) -> list[str]:
+    """The gram at each position of ``^word$``."""
     framed = f"^{word}$"
     size = len(framed)
-    grams, covered = [], [0] * (size + 1)
+    grams = []
     for p in range(size - SHORTEST + 1):
         end = p + SHORTEST
         while end < min(size, p + LONGEST) and framed[p:end] in frequent:
             end += 1
         grams.append(framed[p:end])
-        covered[p] += 1
-        covered[end] -= 1
-    most = now = 0
-    for p in range(size):
-        now += covered[p]
-        most = max(most, now)
-    return grams, most
+    return grams
+
+
+def cheapest(sizes: list[int], lengths: list[int]) -> tuple[int, int]:
+    """The two positions whose grams, of the given sizes, do not overlap and whose lists are the
+    shortest together."""
+    by_end = sorted(range(len(sizes)), key=lambda p: p + sizes[p])
+    best, ended, total, pair = -1, 0, float("inf"), (-1, -1)
+    for p, length in enumerate(lengths):
+        while ended < len(by_end) and by_end[ended] + sizes[by_end[ended]] <= p:
+            before = by_end[ended]
+            if best < 0 or lengths[before] < lengths[best]:
+                best = before
+            ended += 1
+        if best >= 0 and lengths[best] + length < total:
+            total, pair = lengths[best] + length, (best, p)
+    return pair
 
 
 def _places(words: DataFrame, frequent: set[str]) -> DataFrame:
-    """(word, n, size, bound, gram, p): a row per gram of each word."""
+    """(word, n, p, gram): a row per gram of each word."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            grams = [decompose(w, frequent) for w in batch.column("word").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(grams, pa.list_(pa.string()))],
+                names=[*batch.schema.names, "grams"],
+            )
+
+    split = words.mapInArrow(run, "word string, n long, grams array<string>")
+    return split.select("word", "n", F.posexplode("grams").alias("p", "gram"))
+
+
+def _place(gram: Column | str, p: Column) -> Column:
+    """A gram at a position, as a hash. Two with one hash would share a list, and what they have in
+    common is checked like all else."""
+    return F.xxhash64(gram, p)
+
+
+def merged_lists(places: DataFrame) -> DataFrame:
+    """(word, n, place, next_place) of the two lists to merge for each word; ``next_place`` is the
+    gram's place one position on."""
+    here = _place("gram", F.col("p")).alias("place")
+    lists = places.groupBy(here).agg(F.count(F.lit(1)).alias("length"))
+    entry = F.struct("p", F.length("gram").alias("size"), "length", "place", "next_place")
+    gathered = (
+        places.select(
+            "word", "n", "p", "gram", here, _place("gram", F.col("p") + 1).alias("next_place")
+        )
+        .join(lists, "place")
+        .groupBy("word", "n")
+        .agg(F.array_sort(F.collect_list(entry)).alias("all"))
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            split = [decompose(w, frequent) for w in batch.column("word").to_pylist()]
+            entries = batch.column("all")
+            starts, rows = entries.offsets.to_numpy(), entries.values
+            sizes, lengths = (rows.field(n).to_pylist() for n in ("size", "length"))
+            chosen = []
+            for low, high in zip(starts[:-1], starts[1:]):
+                chosen += [int(low) + p for p in cheapest(sizes[low:high], lengths[low:high])]
+            owner = pa.array([i for i in range(batch.num_rows) for _ in (0, 1)], pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [
-                    *batch.columns,
-                    pa.array([bound for _, bound in split], pa.int32()),
-                    pa.array([grams for grams, _ in split], pa.list_(pa.string())),
+                    batch.column("word").take(owner),
+                    batch.column("n").take(owner),
+                    *(rows.field(n).take(pa.array(chosen, pa.int64())) for n in ("place", "next_place")),
                 ],
-                names=[*batch.schema.names, "bound", "grams"],
+                names=["word", "n", "place", "next_place"],
             )
 
-    return (
-        words.mapInArrow(run, "word string, n long, bound int, grams array<string>")
-        .select("word", "n", F.length("word").alias("size"), "bound", F.posexplode("grams").alias("p", "gram"))
-    )
+    return gathered.mapInArrow(run, "word string, n long, place long, next_place long")
 
 
 def near_pairs(words: DataFrame) -> DataFrame:
@@ -164,35 +207,36 @@ def near_pairs(words: DataFrame) -> DataFrame:
 
     ``words`` has (word, n), each word once and with at least five letters.
     """
-    frequent = frequent_grams(words)
-    places = written(_places(words, frequent))
-    lists = places.groupBy("gram", "p").agg(F.count(F.lit(1)).alias("length"))
-    shortest = Window.partitionBy("word").orderBy("length", "gram", "p")
-    merged = (
-        places.join(lists, ["gram", "p"])
-        .withColumn("rank", F.row_number().over(shortest))
-        .where(F.col("rank") <= F.col("bound") + 1)
-    )
+    places = written(_places(words, frequent_grams(words)))
+    merged = merged_lists(places)
+
+    def listed(place: str, longer: int) -> Column:
+        """The list of the words with a gram at a place and of one length, and what such a word has
+        to compare with: 16 bits each for as many letters at its start and at its end as one
+        edit cannot touch both."""
+        size = F.length("word") + longer
+        letters = F.floor((size - 1) / 2).cast("int")
+        ends = [F.hash(end("word", letters)).bitwiseAND(0xFFFF) for end in (F.left, F.right)]
+        return F.struct(
+            F.xxhash64(place, size).alias("list"), F.shiftleft(ends[0], 16).bitwiseOR(ends[1]).alias("ends")
+        )
+
     # where a near word that is as long, or one longer, has the gram
     asked = merged.select(
         "word",
         "n",
-        "gram",
-        F.inline(
-            F.array(
-                F.struct(F.col("p"), F.col("size")),
-                F.struct(F.col("p"), (F.col("size") + 1).alias("size")),
-                F.struct((F.col("p") + 1).alias("p"), (F.col("size") + 1).alias("size")),
-            )
-        ),
+        F.inline(F.array(listed("place", 0), listed("place", 1), listed("next_place", 1))),
     )
-    index = places.select(
-        "gram", "p", "size", F.col("word").alias("other"), F.col("n").alias("other_n")
+    index = (
+        places.withColumn("place", _place("gram", F.col("p")))
+        .select(F.col("word").alias("other"), F.col("n").alias("other_n"), listed("place", 0).alias("in"))
+        .select("other", "other_n", "in.list", F.col("in.ends").alias("other_ends"))
     )
-    longer = F.col("size") > F.length("word")
+    unlike = F.col("ends").bitwiseXOR(F.col("other_ends"))
     found = (
-        asked.join(index, ["gram", "p", "size"])
-        .where(longer | (F.col("word") < F.col("other")))
+        asked.join(index, "list")
+        .where((unlike.bitwiseAND(0xFFFF) == 0) | (F.shiftrightunsigned(unlike, 16) == 0))
+        .where((F.length("other") > F.length("word")) | (F.col("word") < F.col("other")))
         .where(F.levenshtein("word", "other", 1) == 1)
         .select("word", "n", "other", "other_n")
         .distinct()
