@@ -21,7 +21,10 @@ from pyspark.sql import functions as F
 
 # Element names of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = ("script", "style", "title", "textarea", "noscript", "template", "iframe", "svg", "math")
+# Their content is not markup and goes on to their end tag, or the end of the page.
+RAW = frozenset("script style title textarea iframe".split())
+# Their content is no text of the page. Without an end tag they end with their parent.
+UNSEEN = frozenset("noscript template svg".split())
 BLOCK = frozenset(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt "
     "fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html "
@@ -30,6 +33,8 @@ BLOCK = frozenset(
 )
 # Elements that are never part of the main text.
 ASIDE = frozenset("nav aside footer form button select fieldset menu dialog search head".split())
+# Elements that end where the next one of their name starts.
+REPEATED = frozenset("li td th tr dd dt option".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # Words in class, id or role that say what an element is for.
 AWAY = frozenset(
@@ -41,29 +46,43 @@ AWAY = frozenset(
     "share sharing sidebar sidenav signup skip social sponsor sponsored sponsors subscribe "
     "subscription tagcloud teaser toolbar topbar tracking trending widget widgets".split()
 )
+# Words that say how an element is laid out, not what it is for. A name made of these and of words
+# above is a name of something away from the text; one with other words may be about anything.
+LAYOUT = frozenset(
+    "area bar block body bottom box btn button buttons card center column container content count "
+    "element feed fixed form full grid group holder icon icons inner item items label left line link "
+    "links list main menu message mobile module new outer page panel post posts primary region right "
+    "row secondary section site small standard sticky sub text thread title top unit wrap wrapper".split()
+)
 TOWARDS = frozenset("article articlebody blog content entry main maincontent post story text".split())
 
 # Costs, in thousandths of a natural logarithm of odds.
 IN_ASIDE, NAMED_AWAY, HIDDEN = 12_000, 9_000, 12_000
+# A name with other words as well: outside an article it still weighs, inside hardly.
+PARTLY_AWAY, PARTLY_AWAY_INSIDE = 3_000, 500
 IN_ARTICLE, NAMED_TOWARDS = 3_000, 1_500
 LINKS, SHORT, RIGHTS = 3_000, 700, 4_000
 PER_WORD, MOST_WORDS, SENTENCE, PARAGRAPH = 60, 3_000, 500, 800
 CLOSE, FAR = 1_200, 60
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>|<[!?][^>]*>", re.S)
+_TAG = re.compile(r"(/?)([a-zA-Z][^\s/>]*)")
+_UNQUOTED = re.compile(r"[^>\"']*")
 _ATTRIBUTE = re.compile(r"""(class|id|role|hidden|style|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _RIGHTS = re.compile(r"©|\(c\)\s*\d{4}|copyright|all rights reserved", re.I)
-_UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
+_UNSEEN_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _WHITE = re.compile(r"\s+")
+_END = {name: re.compile(rf"</{name}\s*>", re.I) for name in RAW | UNSEEN}
 
 
 @dataclass
 class Element:
-    """An open element and what it says about the text in it."""
+    """An open element and what it says about the text in it. ``block`` is the nearest block-level
+    element, itself included."""
 
     name: str
     parent: "Element | None"
+    block: "Element | None" = None
     depth: int = 0
     away: int = 0
     towards: int = 0
@@ -80,43 +99,111 @@ class Block:
     text: str = ""
 
 
-def _open(name: str, attributes: str, parent: Element | None) -> Element:
+def _named(value: str) -> tuple[bool, bool, bool]:
+    """What a class, id or role says: away from the text, partly so, towards it."""
+    away = partly = towards = False
+    for name in value.strip("\"'").split():
+        words = {word.lower() for word in _NAME.findall(name)}
+        if words & TOWARDS:
+            towards = True
+            # the header or text of an article belongs to it
+            said = (words & AWAY) - {"header", "footer", "text"}
+        else:
+            said = words & AWAY
+        if said:
+            whole = words <= AWAY | LAYOUT | TOWARDS
+            away, partly = away or whole, partly or not whole
+    return away, partly, towards
+
+
+def _open(name: str, attributes: str, parent: Element) -> Element:
     element = Element(name, parent)
-    if parent is not None:
-        element.depth, element.away = parent.depth + 1, parent.away
-        element.towards, element.article = parent.towards, parent.article
-    named, hidden = set(), False
+    element.block = element if name in BLOCK else parent.block
+    element.depth, element.away = parent.depth + 1, parent.away
+    element.towards, element.article = parent.towards, parent.article
+    away = partly = hidden = False
     if attributes and not attributes.isspace():
         for key, value in _ATTRIBUTE.findall(attributes):
             key = key.lower()
             if key in ("class", "id", "role"):
-                named.update(word.lower() for word in _NAME.findall(value))
+                said = _named(value)
+                away, partly = away or said[0], partly or said[1]
+                if said[2]:
+                    element.towards = NAMED_TOWARDS
             elif key == "style":
-                hidden |= bool(_UNSEEN.search(value))
+                hidden |= bool(_UNSEEN_STYLE.search(value))
             else:
                 hidden |= key == "hidden" or "true" in value.lower()
-    away = named & AWAY
-    if named & TOWARDS:
-        element.towards = NAMED_TOWARDS
-        away -= {"header", "footer", "text"}
     if name in ("article", "main"):
         element.article = True
     if name in ASIDE or (name == "header" and not element.article):
         element.away = max(element.away, IN_ASIDE)
-    if away and name not in ("html", "body"):
-        element.away = max(element.away, NAMED_AWAY)
-    if hidden:
+    if name not in ("html", "body"):
+        if away:
+            element.away = max(element.away, NAMED_AWAY)
+        elif partly:
+            element.away = max(element.away, PARTLY_AWAY_INSIDE if parent.article else PARTLY_AWAY)
+    if hidden or name in UNSEEN:
         element.away = max(element.away, HIDDEN)
     return element
 
 
+class _Tags:
+    """The tags of a page, from front to back. What has been searched for in vain is not searched
+    for again, so a page without ends costs no more than one with them."""
+
+    def __init__(self, html: str) -> None:
+        self.html = html
+        self._missing: set[str] = set()
+        self._quotes_hold = True
+
+    def find(self, what: str, at: int) -> int:
+        """Where ``what`` is from ``at`` on, or -1."""
+        if what in self._missing:
+            return -1
+        found = self.html.find(what, at)
+        if found < 0:
+            self._missing.add(what)
+        return found
+
+    def end_of(self, name: str, at: int) -> int:
+        """Where the end tag of an element ends, or -1."""
+        if name in self._missing:
+            return -1
+        found = _END[name].search(self.html, at)
+        if not found:
+            self._missing.add(name)
+            return -1
+        return found.end()
+
+    def close(self, at: int) -> int:
+        """Where the ``>`` of a tag is whose attributes start at ``at``; one inside quotes is none,
+        unless the quotes do not end or no other ``>`` follows. -1 without any."""
+        start, html = at, self.html
+        while self._quotes_hold:
+            at = _UNQUOTED.match(html, at).end()
+            if at == len(html):
+                self._quotes_hold = False
+            elif html[at] == ">":
+                return at
+            else:
+                end = self.find(html[at], at + 1)
+                if end < 0:
+                    break
+                at = end + 1
+        return self.find(">", start)
+
+
 def blocks_of(html: str) -> list[Block]:
     """The blocks of a page in order, without scripts, styles, comments and markup. Elements that
-    are not closed end with their parent, and a paragraph ends where the next block starts."""
+    are not closed end with their parent, and a paragraph ends where the next block starts. A
+    ``<`` that begins no tag is text. The work grows with the length of the page."""
     root = Element("", None)
-    stack, found, now = [root], [], None
-    links = 0
-    at, end = 0, len(html)
+    root.block = root
+    # open elements, how many there are of each name, and which of them are blocks
+    stack, opened, block_at = [root], {}, [0]
+    found, now = [], None
+    tags, at = _Tags(html), 0
 
     def add(text: str) -> None:
         nonlocal now
@@ -125,50 +212,89 @@ def blocks_of(html: str) -> list[Block]:
         if now is None:
             if text.isspace():
                 return
-            now = Block(next((e for e in reversed(stack) if e.name in BLOCK), root))
+            now = Block(stack[-1].block)
             found.append(now)
         text = unescape(text) if "&" in text else text
         now.parts.append(text)
-        if links:
+        if opened.get("a"):
             now.linked += len(text.strip())
 
-    while at < end:
-        token = _TOKEN.search(html, at)
-        if token is None:
+    def drop(position: int) -> None:
+        """Close the element at a position of the stack and all in it."""
+        for element in stack[position:]:
+            opened[element.name] -= 1
+        del stack[position:]
+        while block_at[-1] >= position:
+            block_at.pop()
+
+    while True:
+        start = tags.find("<", at)
+        if start < 0:
             add(html[at:])
             break
-        add(html[at : token.start()])
-        at = token.end()
-        closing, name = token[1], (token[2] or "").lower()
-        if not name:
+        mark = html[start + 1 : start + 2]
+        if mark in ("!", "?"):
+            comment = html.startswith("<!--", start)
+            close = tags.find("-->" if comment else ">", start + 4 if comment else start)
+            if close < 0 and not comment:
+                add(html[at:])
+                break
+            add(html[at:start])
+            if close < 0:
+                break
+            at = close + (3 if comment else 1)
+            continue
+        tag = _TAG.match(html, start + 1)
+        if not tag:
+            add(html[at : start + 1])
+            at = start + 1
             continue
+        close = tags.close(tag.end())
+        if close < 0:
+            add(html[at:])
+            break
+        add(html[at:start])
+        at = close + 1
+        name, attributes = tag[2].lower(), html[tag.end() : close]
         if name == "br":
             add(" ")
             continue
         if name in BLOCK:
             now = None
-        if closing:
-            if any(e.name == name for e in stack[1:]):
-                while stack[-1].name != name:
-                    links -= stack.pop().name == "a"
-                links -= stack.pop().name == "a"
+        if tag[1]:
+            if opened.get(name):
+                position = len(stack) - 1
+                while stack[position].name != name:
+                    position -= 1
+                drop(position)
             continue
         if name in RAW:
-            close = re.compile(rf"</{name}\s*>", re.I).search(html, at)
-            at = close.end() if close else end
+            end = tags.end_of(name, at)
+            if end < 0:
+                break
+            at = end
             continue
+        if name in UNSEEN:
+            if name == "svg" and attributes.endswith("/"):
+                continue
+            end = tags.end_of(name, at)
+            if end >= 0:
+                at = end
+                continue
+            # its text, if any, is a block of its own
+            now = None
         if name in VOID:
             continue
         if name in BLOCK:
             # a paragraph, item or cell ends where the next one starts
-            ends = {"p"} | ({name} if name in ("li", "td", "th", "tr", "dd", "dt", "option") else set())
-            inner = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].name in BLOCK), 0)
-            if inner and stack[inner].name in ends:
-                for left in stack[inner:]:
-                    links -= left.name == "a"
-                del stack[inner:]
-        stack.append(_open(name, token[3], stack[-1]))
-        links += name == "a"
+            inner = block_at[-1]
+            if inner and (stack[inner].name == "p" or (stack[inner].name == name and name in REPEATED)):
+                drop(inner)
+            block_at.append(len(stack))
+        stack.append(_open(name, attributes, stack[-1]))
+        opened[name] = opened.get(name, 0) + 1
+        if name in UNSEEN:
+            stack[-1].block = stack[-1]
     for block in found:
         block.text = _WHITE.sub(" ", "".join(block.parts)).strip()
     return [block for block in found if block.text]
@@ -198,7 +324,8 @@ def closeness(a: Block, b: Block) -> int:
     places in the tree, and little across the edge of an article, menu or the like."""
     x, y, steps = a.parent, b.parent, 0
     edge = x.article != y.article or (x.away > 0) != (y.away > 0)
-    while x is not y:
+    # further apart than this the edge costs least, however deep the tree is
+    while x is not y and steps < 2 * CLOSE // FAR:
         if x.depth >= y.depth:
             x = x.parent
         else:

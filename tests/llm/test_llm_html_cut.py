@@ -1,5 +1,6 @@
 import itertools
 import random
+import time
 
 import pytest
 
@@ -35,6 +36,77 @@ def test_references_and_white_space():
     assert H.main_text(html) == "a &é<b> c… and so on it goes."
 
 
+SENTENCE = "This paragraph is long enough to be content all by itself."
+
+
+@pytest.mark.parametrize(
+    "middle",
+    [
+        "<svg/>",
+        '<svg class="icon" />',
+        "<svg><title>Icon</title><text>label</text></svg>",
+        "<math><mi>x</mi></math>",
+        "<noscript><p>Please turn on scripts.</p></noscript>",
+        "<template><p>Row of a list to fill in.</p></template>",
+        "<SCRIPT>if (a < b) { c = '</p>'; }</SCRIPT >",
+    ],
+)
+def test_text_after_elements_that_are_not_text(middle):
+    got = H.main_text(f"<article><p>First {SENTENCE}{middle} Then more.</p><p>{SENTENCE}</p></article>")
+    inside = "x" if "math" in middle else ""
+    assert got == f"First {SENTENCE}{inside} Then more. {SENTENCE}"
+
+
+@pytest.mark.parametrize("name", ["noscript", "template", "svg"])
+def test_unclosed_hidden_elements_end_with_their_parent(name):
+    html = f"<article><p>{SENTENCE}</p><div><{name}><p>Turn on scripts to see this page.</div><p>Next {SENTENCE}</p></article>"
+    assert H.main_text(html) == f"{SENTENCE} Next {SENTENCE}"
+
+
+@pytest.mark.parametrize(
+    "name, kept",
+    [
+        ("related-work", True),
+        ("comment-quote", True),
+        ("notice-board-history", True),
+        ("search-algorithms", True),
+        ("article-header", True),
+        ("related-posts", False),
+        ("comments", False),
+        ("comment-list", False),
+        ("cookie-notice", False),
+        ("ad", False),
+        ("adBanner", False),
+        ("sidebar-left wide", False),
+        ("share-buttons", False),
+    ],
+)
+def test_names_inside_an_article(name, kept):
+    html = f'<article><p>{SENTENCE}</p><section class="{name}"><p>Of this, too: {SENTENCE}</p></section><p>End: {SENTENCE}</p></article>'
+    assert ("Of this" in H.main_text(html)) == kept
+
+
+def test_quotes_and_angles():
+    assert H.main_text(f'<article><p title="a > b">{SENTENCE}</p></article>') == SENTENCE
+    assert H.main_text(f'<article><p class="x>{SENTENCE}</p><p>Next.</p></article>') == f"{SENTENCE} Next."
+    assert H.main_text("<article><p>If 1 < 2 and 3 > 2, then all is well with it.</p></article>") == (
+        "If 1 < 2 and 3 > 2, then all is well with it."
+    )
+    assert H.main_text(f"<article><p>{SENTENCE}</p><!-- never <p>closed") == SENTENCE
+
+
+@pytest.mark.parametrize(
+    "piece",
+    ["<a ", '<a "', "<a '\">", '<a ">"', "<b>", "</i>", "<b></i>", "<svg>", "<noscript><p>x", "<!--", "<![", "< ", "<p>a", "<div>", "<script>", "&", "</"],
+)
+def test_broken_pages_take_no_longer(piece):
+    """A megabyte of one fault in a row."""
+    html = f"<article><p>{SENTENCE}</p>" + piece * (1_000_000 // len(piece))
+    start = time.process_time()
+    H.main_text(html)
+    assert time.process_time() - start < 8
+
+
 def cut_cost(lost, kept, edges, content):
     total = sum(k if c else l for l, k, c in zip(lost, kept, content))
     return total + sum(w for a, b, w in edges if content[a] != content[b])
