@@ -5,12 +5,18 @@ does the label of the line before it: a linear chain over the lines, decoded who
 A document is kept when content lines have at least ``CONTENT_SHARE`` of its words and the base
 rules let it pass.
 
-The field is trained by likelihood on the first ``SAMPLE_LINES`` lines of at most about
-``SAMPLE_ROWS`` labelled documents, chosen by a hash of the id; a document's quality label stands for all its lines, which the
-chain and the share of content even out. Scoring reads every line of every text.
+The field is trained by likelihood. At most about ``SAMPLE_ROWS`` labelled documents, chosen by a
+hash of the id, give at most ``SAMPLE_PIECES`` pieces of a few lines each, chosen by a hash all over
+the text; their lines carry the document's quality label. Pieces of both labels are joined to
+sequences in which the label changes from piece to piece as often as not: the field learns what
+a line of either kind looks like and how long kinds last, and not that a document has one kind
+alone. A document with lines of both kinds then has a share between 0 and 1. Scoring reads every
+line of every text.
 """
 
+import itertools
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,19 +29,20 @@ from dialogue_engine.llm.tables import unused
 from dialogue_engine.llm.words import as_bytes, blocks, windows, word_hashes
 
 SAMPLE_ROWS = 3_000
-# Lines of a sampled document that are trained on.
-SAMPLE_LINES = 1024
+# Pieces of a sampled document that are trained on, and lines of a piece.
+SAMPLE_PIECES = 8
+PIECE = 4
 CONTENT_SHARE = 0.5
 # Base rules.
 LEAST_WORDS = 50
 MOST_REPEATED = 50
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\v\f\r"
-# Lines per training sequence; longer documents give several.
-SEQUENCE = 16
-ROUNDS = 150
+# Pieces of a training sequence.
+JOINED = 6
+ROUNDS = 300
 STEP = 0.2
-SHRINK = 1e-3
+SHRINK = 1e-4
 FEATURES = (
     "bias", "words", "few words", "symbols", "capitals", "digits", "ends a sentence", "stops",
     "different words", "same word again", "exclaims", "seen before", "word length", "links",
@@ -118,21 +125,45 @@ class LineField:
         return float(sizes[self.labels(features) == 1].sum() / sizes.sum())
 
 
-def fit(sequences: list[tuple[np.ndarray, int]]) -> LineField:
-    """Maximum likelihood by gradient steps. Each sequence is the features of a document's lines
-    and the label of all of them; both labels weigh the same in total."""
-    cut = [
-        (features[at : at + SEQUENCE], label)
-        for features, label in sequences
-        for at in range(0, len(features), SEQUENCE)
-    ]
-    steps = max(len(f) for f, _ in cut)
-    x = np.zeros((len(cut), steps, len(FEATURES)))
-    there = np.zeros((len(cut), steps))
-    label = np.array([label for _, label in cut])
-    for i, (features, _) in enumerate(cut):
+def pieces_of(text: str) -> list[bytes]:
+    """The features of at most ``SAMPLE_PIECES`` pieces of a text, chosen by a hash of the text and
+    their number, each as 32-bit floats."""
+    features, _ = line_features(text)
+    cut = [features[at : at + PIECE] for at in range(0, len(features), PIECE)]
+    seed = zlib.crc32(text.encode())
+    chosen = sorted(range(len(cut)), key=lambda i: zlib.crc32(f"{seed}:{i}".encode()))
+    return [cut[i].astype(np.float32).tobytes() for i in chosen[:SAMPLE_PIECES]]
+
+
+def joined(pieces: list[tuple[np.ndarray, int]], seed: int = 17) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Sequences of pieces, (features, labels) line by line. Each next piece is of either label as
+    the toss of a coin says, so both have as many; the pieces of each are used in turn."""
+    random = np.random.Generator(np.random.PCG64(seed))
+    turns = []
+    for label in (0, 1):
+        own = [features for features, has in pieces if has == label]
+        turns.append(itertools.cycle([own[i] for i in random.permutation(len(own))]))
+    out = []
+    for _ in range(-(-len(pieces) // JOINED)):
+        kinds = random.integers(0, 2, JOINED)
+        parts = [next(turns[kind]) for kind in kinds]
+        labels = np.repeat(kinds, [len(part) for part in parts])
+        out.append((np.concatenate(parts), labels))
+    return out
+
+
+def fit(sequences: list[tuple[np.ndarray, np.ndarray]]) -> LineField:
+    """Maximum likelihood by gradient steps over sequences of features and labels of lines."""
+    steps = max(len(f) for f, _ in sequences)
+    x = np.zeros((len(sequences), steps, len(FEATURES)))
+    there, label = np.zeros((2, len(sequences), steps))
+    for i, (features, labels) in enumerate(sequences):
         x[i, : len(features)], there[i, : len(features)] = features, 1
-    weigh = np.where(label == 1, 1 / there[label == 1].sum(), 1 / there[label == 0].sum()) / 2
+        label[i, : len(features)] = labels
+    lines = there.sum()
+    seen = np.zeros((2, 2))
+    for a, b in itertools.product((0, 1), repeat=2):
+        seen[a, b] = (there[:, 1:] * (label[:, :-1] == a) * (label[:, 1:] == b)).sum() / lines
     weights, moves = np.zeros(len(FEATURES)), np.zeros((2, 2))
     pace = [np.zeros_like(weights), np.zeros_like(moves)]
     for round_ in range(ROUNDS):
@@ -151,17 +182,14 @@ def fit(sequences: list[tuple[np.ndarray, int]]) -> LineField:
             behind[:, t] = np.where(there[:, t + 1, None] > 0, step, 0)
         total = np.logaddexp.reduce(ahead[:, -1], axis=1)
         one = np.exp(ahead[:, :, 1] + behind[:, :, 1] - total[:, None]) * there
-        grad = np.einsum("i,it,itf->f", weigh, label[:, None] * there - one, x)
+        grad = np.einsum("it,itf->f", (label - one) * there, x) / lines
         pairs = np.exp(
             ahead[:, :-1, :, None]
             + moves[None, None]
             + (score + behind)[:, 1:, None, :]
             - total[:, None, None, None]
         ) * there[:, 1:, None, None]
-        expected = np.einsum("i,itab->ab", weigh, pairs)
-        seen = np.zeros((2, 2))
-        for which in (0, 1):
-            seen[which, which] = (weigh[label == which][:, None] * there[label == which, 1:]).sum()
+        expected = pairs.sum((0, 1)) / lines
         for k, (value, g) in enumerate(((weights, grad), (moves, seen - expected))):
             g = g - SHRINK * value
             pace[k] = 0.9 * pace[k] + 0.1 * g * g
@@ -170,8 +198,9 @@ def fit(sequences: list[tuple[np.ndarray, int]]) -> LineField:
 
 
 def train(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> LineField:
-    """Fit the field on a sample of labelled documents. Without both labels in the sample every
-    line is content."""
+    """Fit the field on a sample of labelled documents. Without lines of both labels in the sample
+    every line is content. What the driver receives is bounded by ``rows``, ``SAMPLE_PIECES`` and
+    ``PIECE``."""
     usable = (
         labels.select(F.col("doc_id").cast("long"), F.col("quality").cast("int"))
         .dropna()
@@ -186,25 +215,28 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> L
         share = F.when(F.col("quality") == label, F.lit(part)).otherwise(share)
     sample = usable.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share)
 
-    @F.arrow_udf("array<array<double>>")
+    @F.arrow_udf("array<binary>")
     def features(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in texts:
-            found = [line_features(text or "")[0].tolist() for text in batch.to_pylist()]
-            yield pa.array(found, pa.list_(pa.list_(pa.float64())))
+            yield pa.array([pieces_of(text.as_py() or "") for text in batch], pa.list_(pa.binary()))
 
-    # at most a little over ``rows`` ids, so the texts need not move
+    # at most a little over ``rows`` ids, so the texts need not move; repeated rows are one
     chosen = (
         documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
         .join(F.broadcast(sample), "doc_id")
-        .select("quality", F.slice(features("text"), 1, SAMPLE_LINES).alias("lines"))
+        .select("quality", F.explode(features("text")).alias("piece"))
+        .distinct()
         .collect()
     )
-    sequences = [(np.array(r["lines"]), int(r["quality"] > 0)) for r in chosen if r["lines"]]
-    if len({label for _, label in sequences}) < 2:
+    pieces = [
+        (np.frombuffer(r["piece"], np.float32).reshape(-1, len(FEATURES)), int(r["quality"] > 0))
+        for r in sorted(chosen, key=lambda r: (r["quality"], bytes(r["piece"])))
+    ]
+    if len({label for _, label in pieces}) < 2:
         weights = np.zeros(len(FEATURES))
         weights[0] = 1
         return LineField(weights, np.zeros((2, 2)))
-    return fit(sequences)
+    return fit(joined(pieces))
 
 
 def base_counts(texts: list[str]) -> list[tuple[int, int, int, int, int]]:

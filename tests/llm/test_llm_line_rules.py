@@ -74,6 +74,53 @@ def test_held_out_accuracy(spark):
     assert np.mean(right) > 0.95
 
 
+def good_line(rng):
+    return prose(rng, rng.randrange(12, 40))
+
+
+def bad_line(rng):
+    return " | ".join(prose(rng, 2) for _ in range(9))
+
+
+def test_mixed_documents_have_a_share_between(spark):
+    """Planted boilerplate lines are found among content, at any place, and the other way round."""
+    texts, labels = labelled_corpus(spark)
+    field = L.train(documents(spark, texts), labels)
+    rng = random.Random(12)
+    for kinds in ([1] * 8 + [0] * 4, [0] * 5 + [1] * 5, [1, 1, 1, 0, 0, 0, 1, 1, 1, 0, 0, 0], [1, 0] * 5):
+        lines = [good_line(rng) if k else bad_line(rng) for k in kinds]
+        features, words = L.line_features("\n".join(lines))
+        assert np.mean(field.labels(features) == kinds) > 0.8
+        share = field.content_share("\n".join(lines))
+        assert 0.1 < share < 0.9
+        assert abs(share - words[np.array(kinds) == 1].sum() / words.sum()) < 0.25
+
+
+def test_pieces_come_from_the_whole_text():
+    rng = random.Random(4)
+    text = "\n".join(f"line {i} " + prose(rng, 5) for i in range(4000))
+    features, _ = L.line_features(text)
+    places = []
+    for piece in L.pieces_of(text):
+        lines = np.frombuffer(piece, np.float32).reshape(-1, len(L.FEATURES))
+        assert len(lines) == L.PIECE
+        same = [i for i in range(0, 4000, L.PIECE) if np.allclose(features[i : i + L.PIECE], lines)]
+        places += same
+    assert len(L.pieces_of(text)) == L.SAMPLE_PIECES and max(places) > 2000
+    assert L.pieces_of("") == [] and len(L.pieces_of("one line")) == 1
+
+
+def test_labels_change_inside_training_sequences():
+    pieces = [(np.full((3, len(L.FEATURES)), float(label)), label) for label in (0, 1) for _ in range(60)]
+    sequences = L.joined(pieces)
+    assert len(sequences) == 20
+    for features, labels in sequences:
+        assert (features[:, 0] == labels).all()
+    labels = np.concatenate([y for _, y in sequences])
+    assert 0.3 < labels.mean() < 0.7
+    assert sum((np.diff(y) != 0).any() for _, y in sequences) > 15
+
+
 def test_chain_evens_out_single_lines(spark):
     """A line that looks like boilerplate among content is labelled with its surroundings."""
     texts, labels = labelled_corpus(spark)
