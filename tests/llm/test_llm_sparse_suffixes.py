@@ -23,9 +23,9 @@ def covered(texts):
     return out
 
 
-def found(spark, texts):
+def found(spark, texts, **how):
     marks, later = defaultdict(set), 0
-    for r in S.repeated_passages(documents(spark, texts)).collect():
+    for r in S.repeated_passages(documents(spark, texts), **how).collect():
         marks[r.doc_id] |= set(range(r.start_word, r.start_word + r.n_words))
         later += r.later_words
     return dict(marks), later
@@ -50,10 +50,51 @@ def test_against_all_runs(spark, seed):
     assert found(spark, texts)[0] == covered(texts)
 
 
-def test_frequent_runs_in_pieces(spark, monkeypatch):
-    monkeypatch.setattr(S, "PIECE", 2)
+def test_runs_with_many_contexts(spark):
+    """Whatever a task compares itself and what is grouped by window, the passages are the same."""
+    texts = corpus(3) + [" ".join(w) for w in one_sided(random.Random(1), "h")]
+    rows = [sorted(S.repeated_passages(documents(spark, texts), most=m).collect()) for m in (0, 3, 20_000)]
+    assert rows[0] == rows[1] == rows[2]
+    assert found(spark, texts, most=0)[0] == covered(texts)
+
+
+def test_rows_handed_on_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(S, "ROWS", 60)
     texts = corpus(3)
-    assert found(spark, texts)[0] == covered(texts)
+    assert found(spark, texts)[0] == found(spark, texts, most=0)[0] == covered(texts)
+
+
+def later_of(texts):
+    """Words in windows that an earlier place has, by comparing all windows."""
+    seen, count = set(), 0
+    for text in texts:
+        words, marks = (text or "").split(), set()
+        for i in range(len(words) - 49):
+            window = tuple(words[i : i + 50])
+            if window in seen:
+                marks |= set(range(i, i + 50))
+            seen.add(window)
+        count += len(marks)
+    return count
+
+
+@pytest.mark.parametrize("most", [0, 20_000])
+def test_later_words(spark, most):
+    texts = [t for t in corpus(5) if t] + ["b " * 130, "c d " * 60]
+    marks, later = found(spark, texts, most=most)
+    assert marks == covered(texts)
+    assert later == later_of(texts)
+
+
+def test_range_hashes():
+    rng = np.random.default_rng(2)
+    words = rng.integers(0, 2**64, 3, dtype=np.uint64)[rng.integers(0, 3, 400)]
+    starts, sizes = rng.integers(0, 300, 3000), rng.integers(0, 9, 3000)
+    hashes = S.range_hashes(words, starts, sizes)
+    of = defaultdict(set)
+    for s, n, h in zip(starts, sizes, hashes):
+        of[tuple(words[s : s + n])].add(int(h))
+    assert all(len(h) == 1 for h in of.values()) and len({h for v in of.values() for h in v}) == len(of)
 
 
 def test_later_words_leave_one_copy(spark):
@@ -123,10 +164,20 @@ def test_matches_with_different_texts_add_up(spark):
 
 
 def test_one_text_that_repeats_a_word(spark):
-    """All its windows have one hash; they are dealt out in small batches and add up to one passage."""
+    """A few contexts at 20,000 places. Every word but the first is in a window that another place,
+    which overlaps it, has before."""
     docs = documents(spark, ["a " * 20_000])
-    listed = S.repeated_anchors(docs)
-    rows = S.passages(docs, listed).collect()
-    assert len(rows) == 20_000 - 49 and len({r.hash for r in rows}) == 1
+    entries = S.entries(S.suffixes(docs)).collect()
+    assert len({e.run for e in entries}) == 1 and len(entries) <= 60
     got = [(r.start_word, r.n_words, r.later_words) for r in S.repeated_passages(docs).collect()]
-    assert got == [(0, 20_000, 20_000)]
+    assert got == [(0, 20_000, 19_999)]
+
+
+def test_hot_passage_moves_as_few_rows(spark):
+    """A passage in all of 300 texts: what is compared grows with the texts' edges alone."""
+    passage = " ".join(f"p{i}" for i in range(400))
+    texts = [f"a{i} b{i} {passage} c{i}" for i in range(300)]
+    suffixes = S.suffixes(documents(spark, texts))
+    rows, kept = S.entries(suffixes).count(), suffixes.count()
+    assert kept > 300 * 20 and rows < 300 * 8
+    assert found(spark, texts) == ({i: set(range(2, 402)) for i in range(300)}, 299 * 400)
