@@ -12,19 +12,18 @@ are parameters and hold at every size; scoring reads all texts whole.
 """
 
 import math
-import re
-import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import FMClassifier
-from pyspark.ml.linalg import SparseVector, VectorUDT
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dialogue_engine.llm.tables import unused
+from dialogue_engine.llm.terms import Machine, listed_terms
+from dialogue_engine.scratch import written
 
 THRESHOLD = 0.7
 SAMPLE_ROWS = 20_000
@@ -35,36 +34,6 @@ FACTORS = 4
 ITERATIONS = 100
 STEP = 0.2
 SHRINK = 0.0001
-STEMS = (4, 5)
-
-_WORD = re.compile(r"[^\W\d_]+")
-
-
-def term_hashes(text: str | None) -> list[int]:
-    """Hashes of the different terms of a text."""
-    words = set(_WORD.findall((text or "").lower()))
-    terms = words.union(*({f"{w[:n]}*" for w in words if len(w) > n} for n in STEMS))
-    return [zlib.crc32(term.encode()) for term in terms]
-
-
-@dataclass
-class Machine:
-    """A trained factorization machine: number of each term, weights and vectors."""
-
-    numbers: dict[int, int]
-    bias: float
-    weights: np.ndarray
-    vectors: np.ndarray
-
-    def score(self, text: str | None) -> float:
-        numbers = self.numbers
-        found = sorted({numbers[h] for h in term_hashes(text) if h in numbers})
-        total = self.bias
-        if found:
-            vectors = self.vectors[found]
-            pairs = vectors.sum(0) ** 2 - (vectors**2).sum(0)
-            total += float(self.weights[found].sum() + pairs.sum() / 2)
-        return 1 / (1 + math.exp(-max(-700.0, min(700.0, total))))
 
 
 def training_rows(labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
@@ -99,11 +68,12 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> M
     @F.arrow_udf("array<bigint>")
     def hashes(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in texts:
-            yield pa.array([term_hashes(t) for t in batch.to_pylist()], pa.list_(pa.int64()))
+            yield listed_terms(batch)
 
-    # at most a little over ``rows`` ids, so the other side need not move
+    # at most a little over ``rows`` ids, so the other side need not move; the terms of the sample
+    # are used several times and are made once
     sample = F.broadcast(training_rows(labels, rows))
-    terms = (
+    terms = written(
         documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
         .join(sample, "doc_id")
         .select("toxic", hashes("text").alias("terms"))
@@ -133,16 +103,16 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> M
     if not numbers:
         return nothing
 
-    size = len(numbers)
-
-    def filled(found):
-        at = sorted({numbers[t] for t in found if t in numbers})
-        return SparseVector(size, at, [1.0] * len(at))
-
-    examples = terms.select(
-        F.col("toxic").cast("double").alias("label"),
-        F.udf(filled, VectorUDT())("terms").alias("features"),
-    )
+    # the vectors are made in the JVM, from the terms as text
+    vectorizer = CountVectorizerModel.from_vocabulary(
+        [str(term) for term in numbers], "names", "features"
+    ).setBinary(True)
+    examples = vectorizer.transform(
+        terms.select(
+            F.col("toxic").cast("double").alias("label"),
+            F.col("terms").cast("array<string>").alias("names"),
+        )
+    ).select("label", "features")
     model = FMClassifier(
         factorSize=FACTORS, maxIter=ITERATIONS, stepSize=STEP, regParam=SHRINK, seed=7, tol=1e-6
     ).fit(examples)
@@ -156,7 +126,7 @@ def with_score(documents: DataFrame, machine: Machine, name: str = "score") -> D
     @F.arrow_udf("double")
     def score(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in texts:
-            yield pa.array([machine.score(text) for text in batch.to_pylist()], pa.float64())
+            yield machine.scores(batch)
 
     return documents.withColumn(name, score(F.col("text")))
 
