@@ -335,13 +335,17 @@ def read_members(index: DataFrame, folder: str, payloads: bool = True) -> DataFr
 
 
 def with_payloads(found: DataFrame) -> DataFrame:
-    """The read records with the payload of its response in each revisit."""
-    responses = found.where("record_type = 'response'").select(
-        F.col("record_id").alias("refers_to"), F.col("payload").alias("referred")
+    """The read records with the payload of its response in each revisit. Responses of one id and
+    digest are one."""
+    responses = (
+        found.where("record_type = 'response'")
+        .select(F.col("record_id").alias("refers_to"), "payload_digest", F.col("payload").alias("referred"))
+        .dropDuplicates(["refers_to", "payload_digest"])
     )
-    revisit = found.where("record_type = 'revisit'").drop("payload").join(responses, "refers_to", "left")
-    revisit = revisit.withColumnRenamed("referred", "payload").select(*found.columns)
-    return found.where("record_type is null or record_type <> 'revisit'").unionByName(revisit)
+    revisits_of = found.where("record_type = 'revisit'").drop("payload")
+    filled = revisits_of.join(responses, ["refers_to", "payload_digest"], "left")
+    filled = filled.withColumnRenamed("referred", "payload").select(*found.columns)
+    return found.where("record_type is null or record_type <> 'revisit'").unionByName(filled)
 
 
 def archive_pages(pages: DataFrame) -> tuple[DataFrame, str]:

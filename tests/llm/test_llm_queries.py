@@ -32,12 +32,12 @@ def test_query(spark, db, name):
 def test_all_are_registered():
     names = set(__spark_entry__.queries())
     assert set(QUERIES) <= names and "pipeline" in names
-    for number in range(1, 11):
+    for number in range(1, 14):
         assert sum(n.startswith(f"op{number}_") for n in QUERIES) == 1
     assert set(ORACLES) <= set(__spark_entry__.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES) - {"op2_benchmark_decontamination", "op10_suffix_dedup"}))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES) - {"op2_benchmark_decontamination", "op10_suffix_dedup", "op12_embedding_whitening"}))
 def test_a_row_for_each_row(spark, name):
     table = "pages" if name.startswith("op9") else "documents"
     key = "page_id" if table == "pages" else "doc_id"
@@ -48,6 +48,18 @@ def test_a_row_for_each_row(spark, name):
     assert sorted(r[0] for r in got.select(key).collect()) == sorted(r[0] for r in source.select(key).collect())
 
 
+def test_whitened_rows(spark):
+    """Every usable vector has a row per component; the values are tested against numpy."""
+    vectors = spark.read.parquet(f"{SF_DIR}/embeddings.parquet")
+    got = QUERIES["op12_embedding_whitening"](spark, SF_DIR)
+    assert dict(got.dtypes)["deviation"] == "bigint"
+    rows = got.collect()
+    assert sorted((r.vec_id, r.component) for r in rows) == sorted(
+        (r.vec_id, c) for r in vectors.collect() for c in range(1, 9)
+    )
+    assert max(r.identity_error for r in rows) < 1e-10 and all(r.deviation > 0 for r in rows)
+
+
 def test_pipeline(spark):
     """Each stage on what the stage before it kept, against the operators' own reports."""
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
