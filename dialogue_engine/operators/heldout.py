@@ -3,10 +3,15 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dialogue_engine import constants as C
 from dialogue_engine.functions.rounding import py_round
-from dialogue_engine.functions.text import normalised
+from dialogue_engine.functions.text import normalised, strip_unicode, text_or_empty
 
 NGRAM = 8
+# Size of the pre-filter of asked n-grams, the same whatever their number: 2 MB in a task.
+BLOOM_BITS = 1 << 24
+# Prompts of more text than this would set so many bits that the filter keeps most of the data.
+BLOOM_TEXT = BLOOM_BITS
 
 
 def held_out(
@@ -22,20 +27,64 @@ def held_out(
     return keyed.join(known, "__key", "left_anti").drop("__key")
 
 
-def _ngrams(text: Column, n: int) -> Column:
-    """Hashes of the different runs of n words; of the whole text, if it has fewer."""
+def _with_grams(df: DataFrame, text: str, n: int, *keep: str) -> DataFrame:
+    """(keep, __grams): hashes of the different runs of n words; of the whole text, if it has fewer;
+    none without words.
 
-    def runs(words: Column) -> Column:
-        last = F.greatest(F.size(words) - n + 1, F.lit(1))
-        every = F.transform(
-            F.sequence(F.lit(1), last),
-            lambda i: F.xxhash64(F.array_join(F.slice(words, i, n), " ")),
-        )
-        return F.when(words[0] == "", F.array().cast("array<bigint>")).otherwise(
-            F.array_distinct(every)
+    Each word is hashed once. Hashes of runs of 2, 4, 8, .. words are made from those of half as
+    many, and a run of n from the powers of two in n, so a run costs a few hashes of two numbers and
+    no string. The words are those of ``normalised``, without building that text.
+    """
+    blanks = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in C.BLANK_CHARS) + "]+"
+    stripped = strip_unicode(F.lower(text_or_empty(F.col(text))))
+    words = F.when(stripped == "", F.array().cast("array<string>")).otherwise(F.split(stripped, blanks))
+    hashed = df.select(*keep, words.alias("__w")).select(
+        *keep, F.transform("__w", lambda w: F.xxhash64(w)).alias("__run1")
+    )
+
+    def joined(first: str, second: str, apart: int) -> Column:
+        """Runs of the first kind, each with the run of the second kind that many words on."""
+        count = F.greatest(F.size(second) - apart, F.lit(0))
+        ahead = F.slice(second, F.lit(apart + 1), count)
+        return F.zip_with(F.slice(first, F.lit(1), count), ahead, lambda a, b: F.xxhash64(a, b))
+
+    # every step is a projection of its own, so that nothing is computed twice
+    power = 1
+    while power * 2 <= n:
+        hashed = hashed.withColumn(
+            f"__run{power * 2}", joined(f"__run{power}", f"__run{power}", power)
         )
+        power *= 2
+    done, name = power, f"__run{power}"
+    while done < n:
+        power //= 2
+        if n - done >= power:
+            hashed = hashed.withColumn("__runs", joined(name, f"__run{power}", done))
+            done, name = done + power, "__runs"
+    size = F.size("__run1")
+    grams = F.when(size == 0, F.array().cast("array<bigint>"))
+    grams = grams.when(size < n, F.array(F.xxhash64("__run1")))
+    return hashed.select(*keep, grams.otherwise(F.array_distinct(name)).alias("__grams"))
+
 
-    return F.element_at(F.transform(F.array(F.split(normalised(text), " ")), runs), 1)
+def _slot(gram: Column) -> Column:
+    """The bit of an n-gram in the pre-filter."""
+    return F.pmod(gram, F.lit(BLOOM_BITS))
+
+
+def _set_bits(grams: DataFrame) -> Column:
+    """An array of 64-bit numbers in which every n-gram has set its bit, as a scalar subquery."""
+    spark = grams.sparkSession
+    parts = (
+        grams.select(F.explode("__grams").alias("__gram"))
+        .select(_slot(F.col("__gram")).alias("slot"))
+        .selectExpr("slot div 64 as id", "shiftleft(1L, cast(slot % 64 as int)) as bit")
+        .groupBy("id")
+        .agg(F.bit_or("bit").alias("bits"))
+    )
+    every = spark.range(BLOOM_BITS // 64).join(parts, "id", "left")
+    part = F.struct("id", F.coalesce("bits", F.lit(0).cast("long")).alias("bits"))
+    return every.agg(F.array_sort(F.collect_list(part))["bits"].alias("bits")).scalar()
 
 
 def held_out_overlap(
@@ -46,26 +95,32 @@ def held_out_overlap(
     instruction: str = "instruction",
     id_col: str = "prompt_id",
 ) -> DataFrame:
-    """Per prompt how many of its word n-grams the data has: (id, ngrams, found, share).
+    """Per prompt how many of its different word n-grams the data has: (id, ngrams, found, share).
+
+    ``id_col`` must be unique. A prompt without words has no n-grams and the share 0. N-grams are
+    compared by 64-bit hashes, which is all that moves. Those of the data are made distinct in each
+    task first, so a passage that a third of the data shares is a row per task.
 
-    ``id_col`` must be unique. A prompt without words has no n-grams and the share 0. The data
-    is reduced to the prompts' n-grams before its own are made distinct; as long as the
-    prompts' are few, Spark does that where the data is.
+    Unless the prompts are large themselves (``BLOOM_TEXT``), a bit array of their n-grams, of a
+    fixed size, is looked into where the data is, and little more than what was asked for moves
+    at all. The result does not depend on it.
     """
-    grams = prompts.select(id_col, _ngrams(F.col(prompt), n).alias("__grams")).select(
-        id_col, F.size("__grams").cast("long").alias("ngrams"), F.explode_outer("__grams").alias("__gram")
-    )
-    asked = grams.select("__gram").distinct()
-    known = (
-        cases.select(F.explode(_ngrams(F.col(instruction), n)).alias("__gram"))
-        .join(asked, "__gram", "left_semi")
-        .distinct()
-        .withColumn("__known", F.lit(1))
-    )
-    share = F.coalesce(F.col("found") / F.nullif(F.col("ngrams"), F.lit(0)), F.lit(0.0))
-    return (
-        grams.join(known, "__gram", "left")
+    asked = _with_grams(prompts, prompt, n, id_col)
+    known = _with_grams(cases, instruction, n).select(F.explode("__grams").alias("__gram"))
+    text = prompts.agg(F.sum(F.octet_length(prompt).cast("long"))).first()[0] or 0
+    if text <= BLOOM_TEXT:
+        slot = _slot(F.col("__gram"))
+        part = F.get(_set_bits(asked), F.floor(slot / 64).cast("int"))
+        known = known.where(F.getbit(part, (slot % 64).cast("int")) == 1)
+    found = (
+        asked.select(id_col, F.explode("__grams").alias("__gram"))
+        .join(known.distinct(), "__gram", "left_semi")
         .groupBy(id_col)
-        .agg(F.max("ngrams").alias("ngrams"), F.count("__known").alias("found"))
-        .withColumn("share", py_round(share, 4))
+        .agg(F.count(F.lit(1)).alias("found"))
+    )
+    counts = asked.select(id_col, F.size("__grams").cast("long").alias("ngrams"))
+    hits = F.coalesce("found", F.lit(0).cast("long"))
+    share = F.coalesce(hits / F.nullif(F.col("ngrams"), F.lit(0).cast("long")), F.lit(0.0))
+    return counts.join(found, id_col, "left").select(
+        id_col, "ngrams", hits.alias("found"), py_round(share, 4).alias("share")
     )
