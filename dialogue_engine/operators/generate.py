@@ -4,7 +4,7 @@ from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,9 +12,12 @@ from dialogue_engine import constants as C
 from dialogue_engine import schemas
 from dialogue_engine.functions import chat
 from dialogue_engine.functions.text import text_or_empty
+from dialogue_engine.scratch import folder_exists, written
 
 # Conversations per call of a model.
 BATCH_SIZE = 64
+# Parts that requests are answered in, each stored before the next is asked.
+STEPS = 8
 
 # list of conversations -> list of replies; a conversation is a list of {role, content}
 BatchFunction = Callable[[list[list[dict]]], list[str]]
@@ -91,6 +94,68 @@ def batch_generate(
     return requests.mapInArrow(run, T.StructType(fields))
 
 
+def _request_key() -> Column:
+    """What an answer belongs to. A prompt whose messages have changed is another request."""
+    return F.struct("prompt_id", "model", F.xxhash64("messages").alias("asked"))
+
+
+def _stored(requests: DataFrame, store: str) -> DataFrame | None:
+    """(key, output, error) of all stored answers; a failed one only where no other came later."""
+    spark = requests.sparkSession
+    if not folder_exists(spark, store):
+        return None
+    fields = [T.StructField("__key", requests.select(_request_key().alias("k")).schema["k"].dataType)]
+    fields += [T.StructField(name, T.StringType()) for name in ("output", "error")]
+    rows = spark.read.schema(T.StructType(fields)).parquet(store)
+    good, bad = rows.where("error is null"), rows.where("error is not null")
+    failed = bad.join(good.select("__key"), "__key", "left_anti")
+    return good.unionByName(failed.groupBy("__key").agg(
+        F.lit(None).cast("string").alias("output"), F.max("error").alias("error")
+    ))
+
+
+def resume_generate(
+    requests: DataFrame,
+    load: Mapping[str, Callable[[], BatchFunction]],
+    store: str,
+    partitions: int | None = None,
+    batch_size: int = BATCH_SIZE,
+    steps: int = STEPS,
+    retry_errors: bool = True,
+) -> DataFrame:
+    """``batch_generate`` that keeps what has been answered.
+
+    ``requests`` has ``prompt_id``, ``model`` and ``messages``. Answers are stored under ``store``, a
+    shared folder, in ``steps`` parts; a request whose answer is there is not asked again, so a start
+    after a crash asks what was open and the part that was being asked. Within a part Spark
+    keeps the answers of finished tasks when an executor is lost, as nothing is shuffled after
+    the models. Equal requests are asked once. With ``retry_errors`` a start asks failed requests
+    again.
+    """
+    spark = requests.sparkSession
+    keyed = requests.withColumn("__key", _request_key())
+    # one row per request that is not answered yet, found by keys alone
+    keys = keyed.select("__key").distinct()
+    done = _stored(requests, store)
+    if done is not None:
+        finished = done.where("error is null") if retry_errors else done
+        keys = keys.join(finished.select("__key"), "__key", "left_anti")
+    # fixed now: what a step answers must not change which requests the next one takes
+    keys = written(keys)
+    for step in range(steps):
+        of_step = F.pmod(F.xxhash64("__key"), F.lit(steps)) == step
+        open_now = (
+            keyed.select("__key", "model", "messages")
+            .where(of_step)
+            .join(keys.where(of_step), "__key", "left_semi")
+            .dropDuplicates(["__key"])
+        )
+        answers = batch_generate(open_now, load, partitions, batch_size)
+        answers.select("__key", "output", "error").write.mode("append").parquet(store)
+    answered = _stored(requests, store)
+    return keyed.join(answered, "__key", "left").drop("__key")
+
+
 def token_count(fn: Callable[[list[str]], list[int]]) -> Callable:
     """A column function from a Python length function, e.g. of a real tokenizer.
 

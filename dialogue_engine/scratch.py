@@ -28,6 +28,11 @@ def _tables(spark: SparkSession) -> str:
     return f"{scratch_dir(spark)}/tables/{spark.sparkContext.applicationId}"
 
 
+def new_folder(spark: SparkSession) -> str:
+    """Name of a folder that no one else uses, deleted together with the intermediate tables."""
+    return f"{_tables(spark)}/{uuid.uuid4().hex}"
+
+
 def written(df: DataFrame) -> DataFrame:
     """Write an intermediate result once and read it back.
 
@@ -36,12 +41,21 @@ def written(df: DataFrame) -> DataFrame:
     becomes a broadcast join, above it stays a shuffle join. No broadcast is forced.
     """
     spark = df.sparkSession
-    path = f"{_tables(spark)}/{uuid.uuid4().hex}"
+    path = new_folder(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def folder_exists(spark: SparkSession, folder: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def clear_written(spark: SparkSession) -> None:
     """Delete what this application has written. Frames made from it can no longer be read."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(_tables(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    delete_folder(spark, _tables(spark))

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dialogue_engine import schemas
+from dialogue_engine.sources.staging import Staging
 
 
 def read_evaluations(spark: SparkSession, path: str) -> DataFrame:
@@ -100,18 +101,12 @@ def write_results(
     """Write rows under one folder per run, replacing only the runs that are in ``df``, and the run
     ``run_id``, which then loses its old rows even if it has no new ones.
 
-    The rebalance hint sends a run's rows to few tasks when it is small, and to many when large.
+    The old rows stay until all new ones are written; if that fails, nothing has changed.
     """
-    if run_id is not None:
-        jvm = df.sparkSession._jvm
-        utils = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
-        folder = jvm.org.apache.hadoop.fs.Path(path, utils.getPartitionPathString("run_id", run_id))
-        folder.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)
-    (
-        df.hint("rebalance", "run_id")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("run_id")
-        .format(fmt)
-        .save(path)
-    )
+    staging = Staging(df.sparkSession, path)
+    try:
+        staging.write(df, "", fmt, [] if run_id is None else [run_id])
+    except BaseException:
+        staging.discard()
+        raise
+    staging.commit()

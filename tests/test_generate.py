@@ -89,3 +89,88 @@ def test_large_numbers_next_to_nulls(spark, load):
     out = generate.batch_generate(df, {"echo": load["echo"]}, batch_size=7).collect()
     assert sorted((r.n is None, r.n) for r in out) == sorted((r.n is None, r.n) for r in df.collect())
     assert all(r.output == r.messages[0].content and r.error is None for r in out)
+
+
+def requests(spark, n=40):
+    return generate.prompt_messages(generate.fan_out(prompts(spark, n), ["a", "b"]))
+
+
+def counted(spark, fail=()):
+    """Models that note what they were asked, and fail for some prompts."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def load(name):
+        def loaded():
+            def run(conversations):
+                texts = [c[-1]["content"] for c in conversations]
+                if any(t in fail for t in texts):
+                    raise ValueError("no")
+                seen.add(len(texts))
+                return [f"{name}:{t}" for t in texts]
+
+            return run
+
+        return loaded
+
+    return seen, {name: load(name) for name in "ab"}
+
+
+def test_resume_asks_only_what_is_open(spark, tmp_path):
+    store = str(tmp_path / "answers")
+    some = requests(spark).where("prompt_id % 3 = 0")
+    seen, load = counted(spark)
+    assert generate.resume_generate(some, load, store).count() == some.count()
+    assert seen.value == some.count()
+    rows = generate.resume_generate(requests(spark), load, store, steps=3).collect()
+    assert seen.value == 80 and len(rows) == 80
+    assert all(r.output == f"{r.model}:{r.prompt}" and r.error is None for r in rows)
+    assert generate.resume_generate(requests(spark), load, store).count() == 80 and seen.value == 80
+
+
+def test_resume_after_a_crash(spark, tmp_path):
+    """The writer of the third part fails: two parts stay, and what they hold is not asked again."""
+    store = str(tmp_path / "answers")
+    seen, load = counted(spark)
+    keep, calls = generate.batch_generate, []
+
+    def crash(*args):
+        calls.append(1)
+        if len(calls) == 3:
+            raise RuntimeError("driver lost")
+        return keep(*args)
+
+    generate.batch_generate = crash
+    try:
+        with pytest.raises(RuntimeError):
+            generate.resume_generate(requests(spark), load, store, steps=4)
+    finally:
+        generate.batch_generate = keep
+    stored = spark.read.parquet(store).count()
+    assert seen.value == stored and 0 < stored < 80
+    rows = generate.resume_generate(requests(spark), load, store, steps=4).collect()
+    assert seen.value == 80 and {r.output for r in rows} == {f"{m}:p{i}" for m in "ab" for i in range(40)}
+
+
+def test_resume_retries_errors_and_changed_prompts(spark, tmp_path):
+    store = str(tmp_path / "answers")
+    seen, load = counted(spark, fail={"p1", "p2"})
+    first = generate.resume_generate(requests(spark, 5), load, store).collect()
+    assert {(r.prompt, r.error) for r in first if r.error} == {("p1", "ValueError: no"), ("p2", "ValueError: no")}
+    again, works = counted(spark)
+    kept = generate.resume_generate(requests(spark, 5), works, store, retry_errors=False).collect()
+    assert again.value == 0 and sum(r.error is not None for r in kept) == 4
+    changed = requests(spark, 5).withColumn("prompt", F.concat("prompt", F.when(F.col("prompt_id") == 3, "!").otherwise("")))
+    rows = generate.resume_generate(generate.prompt_messages(changed), works, store).collect()
+    # two prompts that failed and one that is another now, through two models
+    assert again.value == 6 and all(r.error is None and r.output == f"{r.model}:{r.prompt}" for r in rows)
+
+
+def test_resume_asks_equal_requests_once(spark, tmp_path):
+    seen, load = counted(spark)
+    twice = requests(spark, 4).unionByName(requests(spark, 4))
+    twice = twice.withColumn("prompt_id", F.when(F.col("prompt_id") > 0, F.col("prompt_id")))
+    rows = generate.resume_generate(twice, load, str(tmp_path / "answers")).collect()
+    assert len(rows) == 16 and seen.value == 8
+    assert {(r.prompt_id, r.output) for r in rows if r.model == "a"} == {(None, "a:p0"), (1, "a:p1"), (2, "a:p2"), (3, "a:p3")}
+    empty = generate.resume_generate(requests(spark, 0), load, str(tmp_path / "none"))
+    assert empty.collect() == [] and empty.columns == [*requests(spark, 0).columns, "output", "error"]
