@@ -9,7 +9,13 @@ from dialogue_engine import constants as C
 from dialogue_engine import schemas
 from dialogue_engine.functions import chat
 from dialogue_engine.functions.text import strip_unicode, text_or_empty
-from dialogue_engine.operators.positions import KEY, null_safe_join, span_of, top_per_key
+from dialogue_engine.operators.positions import (
+    KEY,
+    null_safe_join,
+    positions,
+    span_of,
+    top_per_key,
+)
 from dialogue_engine.scratch import written
 
 # Turns per block. Few conversations are longer, so few need what the next function does.
@@ -23,6 +29,33 @@ def _last(entries: Column, count: int | None) -> Column:
     return F.slice(entries, F.greatest(size - count + 1, F.lit(1)), count)
 
 
+def _recent(long: DataFrame, span: int, last_k: int) -> DataFrame:
+    """The ``last_k`` messages before the first turn of each block.
+
+    The messages are numbered and cut into runs of equal length, whatever gaps their turns have.
+    The last messages of a run also go to the next one, which then needs nothing else: a
+    window never spans more than one run, and only the counts per block meet by conversation.
+    """
+    width = max(span, last_k)
+    numbered = positions(long, ["conv_id"], ["turn"], span_of("turn", span), name="__pos")
+    own = numbered.withColumn("__run", F.expr(f"__pos div {width}")).withColumn("__own", F.lit(True))
+    handed_on = (
+        own.where(F.col("__pos") % width >= width - last_k)
+        .withColumn("__run", F.col("__run") + 1)
+        .withColumn("__own", F.lit(False))
+    )
+    rows = own.unionByName(handed_on).withColumn("__of", F.struct("conv_id", "__run"))
+    order = Window.partitionBy("__of").orderBy("__pos")
+    starts = F.coalesce(F.lag("block").over(order) != F.col("block"), F.lit(True))
+    return (
+        rows.withColumn("__starts", starts & F.col("__own"))
+        .withColumn("inherited", F.collect_list("message").over(order.rowsBetween(-last_k, -1)))
+        .where("__starts")
+        .select("conv_id", "block", "inherited")
+        .where(F.size("inherited") > 0)
+    )
+
+
 def _carried(history: DataFrame, span: int, last_k: int | None) -> DataFrame:
     """Messages a block of a long conversation inherits from the blocks before it.
 
@@ -33,20 +66,19 @@ def _carried(history: DataFrame, span: int, last_k: int | None) -> DataFrame:
     """
     outside = (F.col("turn") >= span) | (F.col("turn") < 0)
     long_ids = written(history.where(outside).select("conv_id").distinct())
+    long = null_safe_join(history.drop(KEY), long_ids, ["conv_id"], "left_semi")
+    if last_k is not None:
+        return _recent(long, span, last_k)
+    # whole histories: every block holds all before it, so they must meet
     blocks = (
-        null_safe_join(history.drop(KEY), long_ids, ["conv_id"], "left_semi")
-        .repartition("conv_id", "block")
+        long.repartition("conv_id", "block")
         .groupBy("conv_id", "block")
         .agg(F.sort_array(F.collect_list(F.struct("turn", "message"))).alias("entries"))
-        .withColumn("messages", _last(F.col("entries")["message"], last_k))
-    )
-    # A block holds at least one message, so last_k blocks hold the last_k messages.
-    start = Window.unboundedPreceding if last_k is None else -last_k
-    before = Window.partitionBy("conv_id").orderBy("block").rowsBetween(start, -1)
-    inherited = F.flatten(F.collect_list("messages").over(before))
-    return blocks.select("conv_id", "block", _last(inherited, last_k).alias("inherited")).where(
-        F.size("inherited") > 0
+        .withColumn("messages", F.col("entries")["message"])
     )
+    earlier = Window.partitionBy("conv_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    inherited = F.flatten(F.collect_list("messages").over(earlier))
+    return blocks.select("conv_id", "block", inherited.alias("inherited")).where(F.size("inherited") > 0)
 
 
 def chat_context(

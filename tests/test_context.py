@@ -74,3 +74,38 @@ def test_request_gate(spark):
     rows = [("hi", 64), ("hi", 0), ("hi", None), (" \t　", 5), (None, 5), ("", 5)]
     gated = context.request_gate(spark.createDataFrame(rows, "message string, max_tokens long"))
     assert sorted(r.max_tokens for r in gated.collect()) == [64, 192, 192]
+
+
+@pytest.mark.parametrize("last_k", [3, 40])
+def test_a_conversation_with_a_third_of_all_turns_is_spread(spark, last_k):
+    """No task holds more than a few runs of it, however its turns are numbered."""
+    span = 16
+    rows = [(0, 7 * i if i % 2 else 7 * i + 3, "user" if i % 3 else "assistant", f"t{i}") for i in range(2000)]
+    rows += [(c, t, "user", "x") for c in range(1, 1001) for t in range(4)]
+    turns = spark.createDataFrame(rows, TURNS)
+    got = context.chat_context(turns, last_k=last_k, span=span)
+    assert {(r.conv_id, r.turn): [tuple(m) for m in r.messages] for r in got.collect()} == expected(rows, last_k)
+
+    plans = context._recent(
+        turns.selectExpr("*", f"floor(turn / {span}) as block", "struct(role, text) as message"), span, last_k
+    )._jdf.queryExecution().executedPlan().toString()
+    texts = [line for line in plans.splitlines() if "Window [" in line and "message" in line]
+    assert texts and not any("[conv_id#" in line.split("],", 1)[-1] for line in texts)
+
+
+def test_recent_messages_against_a_list(spark):
+    """Blocks with one turn, with many, and empty ones between them."""
+    rng = random.Random(8)
+    turn, rows = 0, []
+    for i in range(400):
+        turn += rng.choice([1, 1, 1, 30, 500])
+        rows.append((0, turn, "user", str(i)))
+    turns = spark.createDataFrame(rows, TURNS).selectExpr(
+        "*", "floor(turn / 8) as block", "struct(role, text as content) as message"
+    )
+    for k in (1, 5, 20):
+        got = {r.block: [m.content for m in r.inherited] for r in context._recent(turns, 8, k).collect()}
+        first = {}
+        for i, (_, t, _, _) in enumerate(rows):
+            first.setdefault(t // 8, i)
+        assert got == {b: [str(j) for j in range(max(0, i - k), i)] for b, i in first.items() if i}
