@@ -1,6 +1,11 @@
+import functools
+import random
+import re
 import statistics
 
 import pytest
+from helpers import plan
+from pyspark.sql import functions as F
 
 from dialogue_engine import constants as C
 from dialogue_engine.operators import heldout, prepare, profile
@@ -81,3 +86,119 @@ def test_held_out_keeps_repeats(spark):
     prompts = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b"), (4, None)], "prompt_id long, prompt string")
     data = spark.createDataFrame([("B",), ("b ",)], "instruction string")
     assert sorted(r.prompt_id for r in heldout.held_out(prompts, data).collect()) == [1, 2, 4]
+
+
+def test_held_out_overlap_against_sets(spark):
+    """Any n, blanks of all kinds, texts shorter than n, repeats; with and without the pre-filter."""
+    rng = random.Random(4)
+    blanks = [" ", "\t", "\n ", "\u3000", "\x1c", "  "]
+
+    def text():
+        return "".join(rng.choice("abC") + rng.choice(blanks) for _ in range(rng.randrange(12)))
+
+    asked = [(i, text()) for i in range(60)] + [(60, None), (61, ""), (62, " \n")]
+    known = [(text(),) for _ in range(80)] + [(None,), ("",)] + [("a b c a b c",)] * 40
+    prompts = spark.createDataFrame(asked, "prompt_id long, prompt string")
+    data = spark.createDataFrame(known, "instruction string").repartition(3)
+
+    def grams(value, n):
+        words = (value or "").lower().split()
+        if not words:
+            return set()
+        return {tuple(words[i : i + n]) for i in range(max(1, len(words) - n + 1))}
+
+    for n in (1, 2, 3, 5, 6, 7, 8):
+        have = set().union(*(grams(v, n) for (v,) in known))
+        wanted = {i: (len(grams(v, n)), len(grams(v, n) & have)) for i, v in asked}
+        for limit in (heldout.BLOOM_TEXT, -1):
+            keep, heldout.BLOOM_TEXT = heldout.BLOOM_TEXT, limit
+            try:
+                rows = heldout.held_out_overlap(prompts, data, n=n).collect()
+            finally:
+                heldout.BLOOM_TEXT = keep
+            assert {r.prompt_id: (r.ngrams, r.found) for r in rows} == wanted
+            assert all(r.share == (round(r.found / r.ngrams, 4) if r.ngrams else 0.0) for r in rows)
+
+
+@pytest.mark.parametrize("kind", ["long", "string", "two", "ties", "nulls"])
+def test_preview_far_from_the_start(spark, monkeypatch, kind):
+    monkeypatch.setattr(profile, "PREVIEW_ROWS", 20)
+    monkeypatch.setattr(profile, "PREVIEW_BOUNDS", 5)
+    rng = random.Random(2)
+    rows = [(rng.randrange(400), f"k{rng.randrange(60):02d}", i) for i in range(1500)]
+    if kind == "ties":
+        rows = [(7 if i % 3 == 0 else a, b, i) for i, (a, b, _) in enumerate(rows)]
+    if kind == "nulls":
+        rows = [(None if i % 4 == 0 else a, b, i) for i, (a, b, _) in enumerate(rows)]
+    order = {"long": ["a", "i"], "string": ["b", "i"], "two": ["b", "a"], "ties": ["a"], "nulls": ["a", "b"]}[kind]
+    df = spark.createDataFrame(rows, "a long, b string, i long").repartition(4)
+    at = [["a", "b", "i"].index(c) for c in order]
+    ordered = sorted(([r[j] for j in at] for r in rows), key=lambda k: [(v is not None, v) for v in k])
+    for offset, n in ((21, 3), (400, 50), (700, 300), (1490, 30), (1499, 1), (1500, 4), (9000, 1)):
+        got = [[r[c] for c in order] for r in profile.preview(df, n, order, offset).collect()]
+        assert got == ordered[offset : offset + n]
+
+
+def test_preview_far_gathers_no_earlier_rows(spark):
+    df = spark.range(200_000).withColumn("text", F.repeat(F.lit("x"), 20))
+    found = profile.preview(df, 5, ["id"], offset=150_000)
+    assert [r.id for r in found.collect()] == [*range(150_000, 150_005)]
+    text = plan(found)
+    offset = re.search(r"offset=(\d+)", text)
+    assert offset is None or int(offset[1]) <= profile.PREVIEW_ROWS
+    assert "TakeOrderedAndProject" in text and "rangepartitioning" not in text
+
+
+def cases_for(spark, n=30_000):
+    return spark.range(n).select(
+        F.concat(F.lit("i"), F.col("id") % 7000).alias("instruction"),
+        F.repeat(F.lit("r"), (F.col("id") % 997).cast("int")).alias("response"),
+        F.concat(F.lit("c"), F.col("id") % 2).alias("category"),
+        F.when(F.col("id") % 3 > 0, F.concat(F.lit("n"), F.col("id") % 3)).alias("intent"),
+        F.when(F.col("id") % 5 > 0, (F.col("id") % 11).cast("string")).alias("flags"),
+    )
+
+
+def test_totals_of_a_distribution(spark):
+    rows = {(r.level, r.category, r.intent): r for r in profile.distribution(cases_for(spark), totals=True).collect()}
+    assert len(rows) == 1 + 2 + 6
+    whole = rows[0, None, None]
+    assert (whole.cases, whole.instructions, whole.templates, whole.flags, whole.share) == (30_000, 7000, 997, 11, 1.0)
+    # a missing intent is a group, not a total
+    assert rows[2, "c0", None].cases == 5000 and rows[1, "c0", None].cases == 15_000
+
+
+@pytest.mark.parametrize("totals", [False, True])
+def test_sketched_counts_add_up_over_loads(spark, totals):
+    cases = cases_for(spark)
+    exact = {(r.category, r.intent, r.cases): r for r in profile.distribution(cases, totals=totals).collect()}
+    loads = [profile.distribution_sketches(cases.where(F.xxhash64("response") % 3 == i)) for i in (-2, -1, 0, 1, 2)]
+    merged = functools.reduce(lambda a, b: a.unionByName(b), loads)
+    for found in (profile.estimated_distribution(merged, totals=totals), profile.distribution(cases, approx=True, totals=totals)):
+        rows = found.collect()
+        assert {(r.category, r.intent, r.cases) for r in rows} == set(exact)
+        for r in rows:
+            e = exact[r.category, r.intent, r.cases]
+            assert r.share == e.share
+            for name in ("instructions", "templates", "flags"):
+                assert abs(r[name] - e[name]) <= max(1, 0.03 * e[name])
+
+
+def test_sketched_lengths_add_up_over_loads(spark):
+    rng = random.Random(6)
+    lengths = [int(rng.lognormvariate(5, 1)) for _ in range(20_000)]
+    cases = spark.createDataFrame([(i, n) for i, n in enumerate(lengths)], "id long, n int").select(
+        "id", F.repeat(F.lit("x"), F.col("n")).alias("instruction"), F.lit(None).cast("string").alias("response")
+    )
+    loads = [profile.length_sketches(cases.where(F.col("id") % 4 == i)) for i in range(4)]
+    merged = functools.reduce(lambda a, b: a.unionByName(b), loads)
+    ordered = sorted(lengths)
+    for found in (profile.estimated_lengths(merged), profile.length_profile(cases, approx=True)):
+        rows = {r.column: r for r in found.collect()}
+        assert tuple(rows["response"])[1:] == (0, 0, 0.0, 0.0, 0.0)
+        row = rows["instruction"]
+        assert (row.length_min, row.length_max) == (ordered[0], ordered[-1])
+        for share, value in ((0.5, row.p50), (0.95, row.p95), (0.99, row.p99)):
+            low = sum(n < value for n in lengths) / len(lengths)
+            high = sum(n <= value for n in lengths) / len(lengths)
+            assert low - 0.01 <= share <= high + 0.01
