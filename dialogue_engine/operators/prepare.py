@@ -41,6 +41,16 @@ def in_scope(cases: DataFrame, column: str, wanted: Sequence[str]) -> DataFrame:
     return cases.where(F.col(column).isin(*wanted))
 
 
+def in_scope_of(cases: DataFrame, selection: DataFrame, column: str) -> DataFrame:
+    """Keep the cases whose category or intent is in a selection table with a column of that name.
+
+    A semi join, so repeated selections do not multiply cases and a missing value is in no
+    selection. Where the cases are stored by that column and the selection is filtered and small
+    enough to broadcast, Spark reads only the chosen folders.
+    """
+    return cases.join(selection.select(column), column, "left_semi")
+
+
 def add_fallback_examples(cases: DataFrame, extra: DataFrame) -> DataFrame:
     """Add out-of-scope examples with an answer that leads back to the topic."""
     labelled = extra.withColumn("intent", F.lit(C.FALLBACK_INTENT))

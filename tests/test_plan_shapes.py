@@ -7,9 +7,10 @@ import pytest
 from helpers import plan
 from pyspark.sql import functions as F
 
-from dialogue_engine.operators import context
+from dialogue_engine.operators import context, prepare
 from dialogue_engine.registry import views
 from dialogue_engine.registry.queries import QUERIES
+from dialogue_engine.sources.cases import load_cases, write_cases
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 PYTHON = re.compile(r"MapInPandas|MapInArrow|ArrowEvalPython|BatchEvalPython|FlatMapGroupsInPandas")
@@ -98,3 +99,33 @@ def test_requests_pass_on_only_the_last_turns(spark, as_planned):
 def test_cases_read_only_needed_columns(spark):
     text = plan(views.cases(spark, SF_DIR).select("case_id"))
     assert "ReadSchema: struct<doc_id:bigint>" in text
+
+
+def test_selection_prunes_folders(spark, tmp_path):
+    """Only the folders of chosen categories are read."""
+    cases = views.cases(spark, SF_DIR)
+    cases.write.partitionBy("category").parquet(str(tmp_path / "cases"))
+    stored = spark.read.parquet(str(tmp_path / "cases"))
+    categories = stored.select("category").distinct().withColumn("wanted", F.col("category").isin("de", "fr").cast("int"))
+    categories.write.parquet(str(tmp_path / "chosen"))
+    chosen = spark.read.parquet(str(tmp_path / "chosen")).where("wanted = 1")
+    kept = prepare.in_scope_of(stored, chosen, "category")
+    assert "dynamicpruning" in plan(kept)
+    assert {r.category for r in kept.select("category").distinct().collect()} == {"de", "fr"}
+    assert kept.count() == cases.where("category in ('de', 'fr')").count()
+    twice = chosen.unionByName(chosen).select("category").unionByName(spark.sql("select cast(null as string) category"))
+    assert prepare.in_scope_of(stored, twice, "category").count() == kept.count()
+
+
+def test_csv_ids_move_no_text(spark, tmp_path):
+    write_cases(views.flagged_cases(spark, SF_DIR).drop("case_id"), str(tmp_path / "csv"), "csv")
+    text = plan(load_cases(spark, str(tmp_path / "csv"), "csv"))
+    assert "Window" not in text
+    counted = text[text.index("HashAggregate") :]
+    assert "response" not in counted.split("FileScan")[0]
+
+
+def test_few_prompts_are_looked_up_where_the_data_is(as_planned):
+    text = as_planned("held_out_overlap_items")
+    assert "getbit" in text and "array_join" not in text
+    assert "getbit" not in as_planned("held_out_overlap") or os.path.basename(SF_DIR) == "sf0.001"

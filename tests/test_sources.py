@@ -180,3 +180,14 @@ def test_scratch_folder(folder, master):
             scratch_dir(Session)
     else:
         assert scratch_dir(Session) == scratch_dir(Session) != ""
+
+
+def test_csv_keeps_every_text(spark, tmp_path):
+    """Line breaks, quotes, backslashes, outer blanks; an empty text is a missing one."""
+    texts = ['say "hi", now', "a\nb\r\nc", " outer ", "\\", '\\"', '"', "", None, "x,y", "\t", "#no comment", "é\U0001f600"]
+    rows = [(f"q{i}", t, "c", t, None) for i, t in enumerate(texts)]
+    cases = spark.createDataFrame(rows, schemas.CASES).repartition(3)
+    cases_source.write_cases(cases, str(tmp_path / "csv"), "csv")
+    loaded = cases_source.load_cases(spark, str(tmp_path / "csv"), "csv").collect()
+    assert {r.instruction: (r.response, r.intent) for r in loaded} == {q: (t or None, i or None) for q, t, _, i, _ in rows}
+    assert len({r.case_id for r in loaded}) == len(rows)
