@@ -3,8 +3,10 @@
 ``format('{:.2f}', x)`` rounds the binary value of a double, as Python does.
 """
 
+import re
+
 from dialogue_engine import constants as C
-from dialogue_engine.registry.views import KEYWORDS, TEMPLATE, TEST_TYPES
+from dialogue_engine.registry.views import KEYWORDS, TEMPLATES, TEST_TYPES
 
 BLANKS = "'" + C.BLANK_CHARS + "'"
 
@@ -123,9 +125,38 @@ losses AS (
 ) + """ AS loss FROM log WHERE loss IS NOT NULL)"""
 
 TPL = f"""tpl AS (
-  SELECT o_orderkey, o_custkey, o_orderstatus, {lit(TEMPLATE)} || ' ' || o_orderpriority AS text
+  SELECT o_orderkey, o_custkey, o_orderstatus,
+    CASE o_orderkey % {len(TEMPLATES)} {' '.join(f'WHEN {i} THEN {lit(t)}' for i, t in enumerate(TEMPLATES))} END
+      || ' ' || o_orderpriority || ' {{{{Field ' || o_custkey % 5 || '}}}}'
+      || repeat(' {{{{Status}}}}', o_custkey % 4)
+      || CASE WHEN o_custkey % 3 = 0 THEN ' {{{{Order Number' ELSE '' END AS text
   FROM orders)"""
 
+# every name the texts have, each replaced on its own: no value holds a token
+_NAMES = sorted({n for t in TEMPLATES for n in re.findall(r"\{\{([^{}]+)\}\}", t)} | {f"Field {i}" for i in range(5)})
+
+
+def _generic(column: str) -> str:
+    for name in _NAMES:
+        phrase = C.PLACEHOLDER_PHRASES.get(name, name.lower())
+        column = f"replace({column}, {lit('{{' + name + '}}')}, {lit(phrase)})"
+    return column
+
+
+# The files of the queries on stored evaluations: 40 conversations each, in three shapes.
+FILES = """entries AS (
+  SELECT conv_id // 40 AS run, (conv_id // 40) % 3 AS shape, conv_id || ':' || turn AS prompt, text,
+    CASE WHEN (conv_id // 40) % 3 <> 1 AND turn % 3 <> 0 THEN text || '!' END AS tuned,
+    row_number() OVER (PARTITION BY conv_id // 40 ORDER BY conv_id, turn) - 1 AS pos
+  FROM conversations WHERE role = 'assistant')"""
+
+# Run statistics: the events of 25 users are a run.
+STATS = """entries AS (
+  SELECT user_id // 25 AS run, event_id, user_id, event_type, value, event_id % 1000 + 4294967296 AS size,
+    CASE WHEN event_type = 'click' THEN event_id % 1000 + 4294967296 ELSE 0 END AS trainable,
+    row_number() OVER (PARTITION BY user_id // 25 ORDER BY event_id) - 1 AS pos
+  FROM events)"""
+
 FORMAT_BLANKS = f"'[{C.BLANK_CHARS}]+'"
 
 
@@ -147,6 +178,22 @@ _KIND = "CASE conv_id % 5 " + " ".join(
 ) + " END"
 
 
+def overlap(prompts: str, n: int) -> str:
+    """Share of the prompts' n-grams in the documents, compared as texts."""
+    grams = f"""unnest(list_transform(range(1, greatest(len(w) - {n - 1}, 1) + 1),
+    lambda i: array_to_string(w[i:i + {n - 1}], ' '))) AS g"""
+    return f"""WITH prompts AS ({prompts}),
+words AS (SELECT prompt_id, string_split({normal('text')}, ' ') AS w FROM prompts),
+data AS (SELECT string_split({normal('text')}, ' ') AS w FROM documents),
+grams AS (SELECT DISTINCT prompt_id, {grams} FROM words WHERE w[1] <> ''),
+known AS (SELECT DISTINCT {grams} FROM data WHERE w[1] <> ''),
+counted AS (SELECT prompt_id, count(*) AS ngrams, count(known.g) AS found
+  FROM grams LEFT JOIN known USING (g) GROUP BY prompt_id)
+SELECT prompt_id, coalesce(ngrams, 0) AS ngrams, coalesce(found, 0) AS found,
+  {rounded('coalesce(found / nullif(ngrams, 0), 0)', 4)} AS share
+FROM prompts LEFT JOIN counted USING (prompt_id)"""
+
+
 def _single_metrics() -> str:
     """Metrics of the record query: even runs with two models, odd ones with one."""
     return LONG + f""", replies AS (
@@ -348,9 +395,7 @@ WHERE role = 'user'""",
 SELECT placeholder, count(*) AS occurrences, count(DISTINCT o_orderkey) AS texts
 FROM names GROUP BY placeholder""",
     "placeholder_generic": f"""WITH {TPL}
-SELECT o_orderkey, replace(replace(replace(replace(text, '{{{{Order Number}}}}', 'your order number'),
-  '{{{{Customer}}}}', 'customer'), '{{{{Status}}}}', 'status'), '{{{{Website URL}}}}', 'website url') AS text
-FROM tpl""",
+SELECT o_orderkey, {_generic('text')} AS text FROM tpl""",
     "placeholder_strip": f"""WITH {TPL}
 SELECT o_orderkey, regexp_replace(text, '\\{{\\{{[^{{}}]+\\}}\\}}', '', 'g') AS text FROM tpl""",
     "placeholder_keep": f"WITH {TPL} SELECT o_orderkey, text FROM tpl",
@@ -370,19 +415,13 @@ FROM tpl JOIN customer ON o_custkey = c_custkey""",
 known AS (SELECT DISTINCT {normal('text')} AS t FROM documents)
 SELECT prompt_id, md5(prompt) AS prompt FROM prompts p
 WHERE NOT EXISTS (SELECT 1 FROM known WHERE t = {normal('p.prompt')})""",
-    "held_out_overlap": f"""WITH prompts AS (
-  SELECT -1 - item_id AS prompt_id, text FROM benchmark UNION ALL SELECT doc_id, text FROM documents),
-words AS (SELECT prompt_id, string_split({normal('text')}, ' ') AS w FROM prompts),
-data AS (SELECT string_split({normal('text')}, ' ') AS w FROM documents WHERE length(source) % 2 = 0),
-grams AS (SELECT DISTINCT prompt_id, unnest(list_transform(range(1, greatest(len(w) - 7, 1) + 1),
-    lambda i: array_to_string(w[i:i + 7], ' '))) AS g FROM words WHERE w[1] <> ''),
-known AS (SELECT DISTINCT unnest(list_transform(range(1, greatest(len(w) - 7, 1) + 1),
-    lambda i: array_to_string(w[i:i + 7], ' '))) AS g FROM data WHERE w[1] <> ''),
-counted AS (SELECT prompt_id, count(*) AS ngrams, count(known.g) AS found
-  FROM grams LEFT JOIN known USING (g) GROUP BY prompt_id)
-SELECT prompt_id, coalesce(ngrams, 0) AS ngrams, coalesce(found, 0) AS found,
-  {rounded('coalesce(found / nullif(ngrams, 0), 0)', 4)} AS share
-FROM prompts LEFT JOIN counted USING (prompt_id)""",
+    "held_out_overlap": overlap(
+        """SELECT -1 - item_id AS prompt_id, text FROM benchmark
+  UNION ALL SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN replace(text, 'an', 'on')
+    WHEN 1 THEN 'New ' || replace(text, ' ', '  ') || chr(9) || 'new' ELSE text END FROM documents""",
+        8,
+    ),
+    "held_out_overlap_items": overlap("SELECT item_id AS prompt_id, text FROM benchmark", 13),
     "loss_series": f"WITH {LOG} SELECT run_id, seq, coalesce(step, position) AS step, loss FROM losses",
     "loss_scaled": f"""WITH {LOG}, bounds AS (
   SELECT run_id, count(*) AS n, min(loss) AS mn, CASE WHEN max(loss) = 0 THEN 1 ELSE max(loss) END AS mx
@@ -430,4 +469,46 @@ SELECT CAST(position AS BIGINT) AS position, name AS "column", type, rows,
 FROM c, (VALUES (0, 'case_id', 'bigint'), (1, 'instruction', 'string'), (2, 'response', 'string'),
   (3, 'category', 'string'), (4, 'intent', 'string'), (5, 'flags', 'string')) AS v(position, name, type)""",
     "preview": "SELECT * FROM documents ORDER BY doc_id LIMIT 3 OFFSET 5",
+    "preview_far": """SELECT l_orderkey, l_linenumber, l_partkey, CAST(l_shipdate AS VARCHAR) AS shipped
+FROM lineitem ORDER BY l_orderkey, l_linenumber LIMIT 25 OFFSET 20000""",
+    "in_scope_table": f"""WITH {CASES}, chosen AS (
+  SELECT category FROM cases GROUP BY category HAVING count(*) % 2 = 0)
+SELECT case_id, category, md5(response) AS response FROM cases WHERE category IN (SELECT category FROM chosen)""",
+    "distribution_totals": f"""WITH {CASES}
+SELECT CAST(2 - grouping(category) - grouping(intent) AS INTEGER) AS level, category, intent,
+  count(*) AS cases, count(DISTINCT instruction) AS instructions,
+  count(DISTINCT response) AS templates, count(DISTINCT flags) AS flags,
+  {rounded('count(*) / (SELECT count(*) FROM cases)', 4)} AS share
+FROM cases GROUP BY ROLLUP (category, intent)""",
+    "cases_from_csv": f"""WITH {CASES}
+SELECT instruction, md5(response) AS response, category, intent, flags, 1::BIGINT AS uses FROM cases""",
+    "resumed_answers": """SELECT conv_id || ':' || turn AS prompt_id, 'again 2: ' || text AS output, NULL::VARCHAR AS error
+FROM conversations WHERE role = 'user' AND conv_id % 3 > 0
+UNION ALL SELECT conv_id || ':' || turn, 'first 2: ' || text, NULL
+FROM conversations WHERE role = 'user' AND conv_id % 3 = 0""",
+    "results_written": f"""WITH {RESPONSES}
+SELECT run_id::VARCHAR AS run_id, prompt_id, model, md5(CASE WHEN run_id % 2 = 0 THEN 'new ' || output ELSE output END) AS output
+FROM responses""",
+    "evaluation_files": f"""WITH {FILES}
+SELECT run, shape, CAST(pos AS BIGINT) AS prompt_id, prompt,
+  md5(CASE WHEN shape <> 1 THEN text END) AS base_output, md5(tuned) AS fine_tuned_output,
+  md5(CASE WHEN shape = 1 THEN text END) AS ollama_output, coalesce(shape <> 1 AND tuned IS NOT NULL, false) AS has_two
+FROM entries""",
+    "evaluation_file_metrics": f"""WITH {FILES}
+SELECT run, count(*) AS num_prompts, CASE WHEN shape = 0 THEN CAST(max(length(text)) AS DOUBLE) END AS avg_length_base,
+  CASE WHEN shape = 1 THEN CAST(max(length(text)) AS DOUBLE) END AS avg_length_ollama,
+  CAST(min(length(text)) AS BIGINT) AS shortest
+FROM entries WHERE shape < 2 GROUP BY run, shape""",
+    "evaluation_file_configs": f"""WITH {FILES}
+SELECT DISTINCT run, CASE WHEN shape = 0 THEN 'm' || run END AS base_model,
+  CASE WHEN shape = 0 AND run % 2 = 0 THEN 'a' || run END AS adapter_path,
+  CASE WHEN shape = 0 THEN run % 2 = 0 END AS adapter_loaded FROM entries""",
+    "run_stats_files": f"""WITH {STATS}
+SELECT run, 'm' || run AS model_name, sum(trainable)::BIGINT AS trainable_params, sum(size)::BIGINT AS total_params,
+  max(event_id)::DOUBLE AS duration_seconds, max(user_id)::VARCHAR AS batch_size,
+  CASE WHEN run % 2 = 0 THEN 'true' ELSE 'false' END AS used_4bit
+FROM entries GROUP BY run""",
+    "run_stats_log": f"""WITH {STATS}
+SELECT run, CAST(pos AS BIGINT) AS seq, CASE WHEN event_id % 3 <> 0 THEN event_id END AS step,
+  CASE WHEN event_type = 'view' THEN value END AS loss FROM entries""",
 }

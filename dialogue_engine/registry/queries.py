@@ -25,8 +25,16 @@ from dialogue_engine.operators import (
 )
 from dialogue_engine.registry import views
 from dialogue_engine.registry.views import KEYWORDS, table
-from dialogue_engine.scratch import written
-from dialogue_engine.sources.cases import load_cases
+from dialogue_engine.scratch import new_folder, written
+from dialogue_engine.sources.cases import load_cases, write_cases
+from dialogue_engine.sources.evaluations import (
+    load_eval_config,
+    load_eval_metrics,
+    load_eval_results,
+    read_evaluations,
+    write_results,
+)
+from dialogue_engine.sources.run_stats import load_run_stats, run_log, write_run_stats
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -587,15 +595,30 @@ def held_out(spark, sf_dir):
 
 @query
 def held_out_overlap(spark, sf_dir):
-    """Benchmark items and documents against the documents of some sources."""
+    """Benchmark items and all documents, two thirds of them changed, against all documents."""
     documents = table(spark, sf_dir, "documents")
+    changed = (
+        F.when(F.col("doc_id") % 3 == 0, F.replace("text", F.lit("an"), F.lit("on")))
+        .when(F.col("doc_id") % 3 == 1, F.concat(F.lit("New "), F.replace("text", F.lit(" "), F.lit("  ")), F.lit("\tnew")))
+        .otherwise(F.col("text"))
+    )
     prompts = (
         table(spark, sf_dir, "benchmark")
         .select((-1 - F.col("item_id")).alias("prompt_id"), F.col("text").alias("prompt"))
-        .unionByName(documents.select(F.col("doc_id").alias("prompt_id"), F.col("text").alias("prompt")))
+        .unionByName(documents.select(F.col("doc_id").alias("prompt_id"), changed.alias("prompt")))
+    )
+    return heldout.held_out_overlap(prompts, documents, instruction="text")
+
+
+@query
+def held_out_overlap_items(spark, sf_dir):
+    """Benchmark items alone, which are few enough for the pre-filter, in runs of 13 words."""
+    prompts = table(spark, sf_dir, "benchmark").select(
+        F.col("item_id").alias("prompt_id"), F.col("text").alias("prompt")
+    )
+    return heldout.held_out_overlap(
+        prompts, table(spark, sf_dir, "documents"), n=13, instruction="text"
     )
-    data = documents.where(F.length("source") % 2 == 0)
-    return heldout.held_out_overlap(prompts, data, instruction="text")
 
 
 # --- training runs ------------------------------------------------------------------------
@@ -671,3 +694,213 @@ def table_profile(spark, sf_dir):
 @query
 def preview(spark, sf_dir):
     return profile.preview(table(spark, sf_dir, "documents"), 3, ["doc_id"], offset=5)
+
+
+@query
+def preview_far(spark, sf_dir):
+    rows = profile.preview(
+        table(spark, sf_dir, "lineitem"), 25, ["l_orderkey", "l_linenumber"], offset=20_000
+    )
+    shipped = F.col("l_shipdate").cast("string").alias("shipped")
+    return rows.select("l_orderkey", "l_linenumber", "l_partkey", shipped)
+
+
+@query
+def distribution_totals(spark, sf_dir):
+    return profile.distribution(views.flagged_cases(spark, sf_dir), totals=True)
+
+
+@query
+def in_scope_table(spark, sf_dir):
+    """Cases stored by category, and a selection table computed from them."""
+    folder = new_folder(spark)
+    views.cases(spark, sf_dir).write.partitionBy("category").parquet(f"{folder}/cases")
+    cases = spark.read.parquet(f"{folder}/cases")
+    selection = written(cases.groupBy("category").count()).where(F.col("count") % 2 == 0)
+    kept = prepare.in_scope_of(cases, selection, "category")
+    return kept.select("case_id", "category", F.md5("response").alias("response"))
+
+
+# --- stored runs --------------------------------------------------------------------------
+
+
+@query
+def cases_from_csv(spark, sf_dir):
+    """Cases stored as CSV, whole texts with their line breaks, and loaded again."""
+    folder = new_folder(spark)
+    write_cases(views.flagged_cases(spark, sf_dir).drop("case_id"), folder, "csv")
+    loaded = load_cases(spark, folder, "csv")
+    ids = loaded.groupBy("case_id").agg(F.count(F.lit(1)).alias("uses"))
+    response = F.md5(text.text_or_empty(F.col("response")))
+    return loaded.join(ids, "case_id").select(
+        "instruction", response.alias("response"), "category", "intent", "flags", "uses"
+    )
+
+
+@query
+def resumed_answers(spark, sf_dir):
+    """A third of the prompts is answered by a first start, the rest by the next one."""
+    prompts = views.requests(spark, sf_dir).select(
+        F.concat_ws(":", "conv_id", "turn").alias("prompt_id"), "conv_id", F.col("message").alias("prompt")
+    )
+    asked = generate.prompt_messages(generate.fan_out(prompts, ["single"]))
+    store = f"{new_folder(spark)}/answers"
+
+    def model(name):
+        return lambda: lambda talks: [f"{name} {len(t)}: {t[-1]['content']}" for t in talks]
+
+    first = asked.where(F.col("conv_id") % 3 == 0)
+    generate.resume_generate(first, {"single": model("first")}, store, steps=2)
+    answered = generate.resume_generate(asked, {"single": model("again")}, store, steps=2)
+    return answered.select("prompt_id", "output", "error")
+
+
+@query
+def results_written(spark, sf_dir):
+    """All runs are written, then half of them again with other outputs."""
+    path = f"{new_folder(spark)}/responses"
+    replies = views.responses(spark, sf_dir).withColumn("run_id", F.col("run_id").cast("string"))
+    write_results(replies, path)
+    again = replies.where(F.col("run_id") % 2 == 0)
+    write_results(again.withColumn("output", F.concat(F.lit("new "), "output")), path)
+    found = spark.read.schema(replies.schema).parquet(path)
+    return found.select("run_id", "prompt_id", "model", F.md5("output").alias("output"))
+
+
+def _run_of(path):
+    """The number in the name of a run's folder."""
+    return F.regexp_extract(path, "run=([0-9]+)", 1).cast("long").alias("run")
+
+
+def _evaluations(spark, sf_dir):
+    """Assistant turns as evaluation files of 40 conversations: two models with a configuration, one
+    model without, or a bare list of results, in turn. A third of the entries lacks an output."""
+    entry = F.struct(
+        "conv_id",
+        "turn",
+        F.concat_ws(":", "conv_id", "turn").alias("prompt"),
+        F.when(F.col("shape") != 1, F.col("text")).alias("base_output"),
+        F.when((F.col("shape") != 1) & (F.col("turn") % 3 != 0), F.concat("text", F.lit("!"))).alias(
+            "fine_tuned_output"
+        ),
+        F.when(F.col("shape") == 1, F.col("text")).alias("ollama_output"),
+    )
+    kept = ("prompt", "base_output", "fine_tuned_output", "ollama_output")
+    longest = F.max(F.length("text")).cast("double")
+    files = (
+        _conversations(spark, sf_dir)
+        .where("role = 'assistant'")
+        .withColumn("run", F.expr("conv_id div 40"))
+        .withColumn("shape", F.col("run") % 3)
+        .groupBy("run", "shape")
+        .agg(
+            F.array_sort(F.collect_list(entry)).alias("entries"),
+            F.struct(
+                F.count(F.lit(1)).alias("num_prompts"),
+                F.when(F.col("shape") == 0, longest).alias("avg_length_base"),
+                F.when(F.col("shape") == 1, longest).alias("avg_length_ollama"),
+                F.struct(F.min(F.length("text")).alias("min")).alias("length_stats_base"),
+            ).alias("metrics"),
+        )
+    )
+    results = F.transform("entries", lambda e: F.struct(*(e[c].alias(c) for c in kept)))
+    even = F.col("run") % 2 == 0
+    config = F.struct(
+        F.concat(F.lit("m"), F.col("run").cast("string")).alias("base_model"),
+        F.when(even, F.concat(F.lit("a"), F.col("run").cast("string"))).alias("adapter_path"),
+        even.alias("adapter_loaded"),
+    )
+    whole = F.struct(
+        results.alias("results"),
+        "metrics",
+        F.when(F.col("shape") == 0, config).alias("evaluation_config"),
+    )
+    folder = new_folder(spark)
+    text = F.when(F.col("shape") == 2, F.to_json(results)).otherwise(F.to_json(whole))
+    files.select("run", text.alias("value")).write.partitionBy("run").text(folder)
+    return written(read_evaluations(spark, f"{folder}/*"))
+
+
+@query
+def evaluation_files(spark, sf_dir):
+    run = _run_of("run_id")
+    return load_eval_results(_evaluations(spark, sf_dir)).select(
+        run,
+        (run % 3).alias("shape"),
+        "prompt_id",
+        "prompt",
+        *(F.md5(c).alias(c) for c in ("base_output", "fine_tuned_output", "ollama_output")),
+        "has_two",
+    )
+
+
+@query
+def evaluation_file_metrics(spark, sf_dir):
+    return load_eval_metrics(_evaluations(spark, sf_dir)).select(
+        _run_of("run_id"),
+        "num_prompts",
+        "avg_length_base",
+        "avg_length_ollama",
+        F.col("length_stats_base.min").alias("shortest"),
+    )
+
+
+@query
+def evaluation_file_configs(spark, sf_dir):
+    configs = load_eval_config(_evaluations(spark, sf_dir))
+    return configs.select(_run_of("run_id"), "base_model", "adapter_path", "adapter_loaded")
+
+
+def _run_stats(spark, sf_dir):
+    """Events of 25 users as a training run with its log, one file each."""
+    even = F.col("run") % 2 == 0
+    size = F.col("event_id") % 1000 + 4294967296
+    entry = F.struct(
+        "event_id",
+        F.when(F.col("event_id") % 3 != 0, F.col("event_id")).alias("step"),
+        F.when(F.col("event_type") == "view", F.col("value")).alias("loss"),
+    )
+    stats = (
+        table(spark, sf_dir, "events")
+        .withColumn("run", F.expr("user_id div 25"))
+        .groupBy("run")
+        .agg(
+            F.array_sort(F.collect_list(entry)).alias("entries"),
+            F.sum(F.when(F.col("event_type") == "click", size).otherwise(0)).alias("trainable_params"),
+            F.sum(size).alias("total_params"),
+            F.max("event_id").cast("double").alias("duration_seconds"),
+            F.max("user_id").alias("batch_size"),
+        )
+    )
+    whole = F.struct(
+        F.concat(F.lit("m"), F.col("run").cast("string")).alias("model_name"),
+        "trainable_params",
+        "total_params",
+        F.struct("batch_size", even.alias("used_4bit")).alias("config"),
+        "duration_seconds",
+        F.transform("entries", lambda e: F.struct(e["step"].alias("step"), e["loss"].alias("loss"))).alias(
+            "log_history"
+        ),
+    )
+    folder = new_folder(spark)
+    stats.select("run", F.to_json(whole).alias("value")).write.partitionBy("run").text(f"{folder}/files")
+    # stored once more as the library stores them
+    write_run_stats(load_run_stats(spark, f"{folder}/files/*"), f"{folder}/stored")
+    return spark.read.parquet(f"{folder}/stored")
+
+
+@query
+def run_stats_files(spark, sf_dir):
+    return _run_stats(spark, sf_dir).select(
+        _run_of("run_id"),
+        "model_name",
+        "trainable_params",
+        "total_params",
+        "duration_seconds",
+        *(F.col("config")[c].alias(c) for c in ("batch_size", "used_4bit")),
+    )
+
+
+@query
+def run_stats_log(spark, sf_dir):
+    return run_log(_run_stats(spark, sf_dir)).select(_run_of("run_id"), "seq", "step", "loss")

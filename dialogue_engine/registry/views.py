@@ -9,7 +9,16 @@ from pyspark.sql import functions as F
 
 KEYWORDS = ("ung", "que", "elle", "ich", "ción", "ando")
 TEST_TYPES = ("standard", "typo", "structure", "edge", "paraphrase")
-TEMPLATE = "Order {{Order Number}} of {{Customer}} is {{Status}}, {{Website URL}} {{Order Number}} {{Open"
+# Texts with known, unknown, repeated, adjacent and unclosed tokens, stray braces, or none.
+TEMPLATES = (
+    "Order {{Order Number}} of {{Customer}} is {{Status}}, {{Website URL}} {{Order Number}} {{Open",
+    "{{Customer}}{{Customer}}{{Status}}",
+    "Nothing to fill in",
+    "{{Unclosed {{Status}} and }} closed twice}} { {one} {{Delivery City}} {{}}",
+    "{{status}} is not {{Status}}; {{ Status }} neither. {{Order Number}",
+    "{{Invoice Number}}: {{Order Number}}\n{{Customer Support Hours}}, {{Customer}}",
+    "",
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -98,12 +107,23 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A text with known, unknown, repeated and unclosed placeholders per order."""
+    """A text per order: which one depends on the order, and so do the tokens that follow, one with a
+    name of its own, another zero to three times, and for some a last one without an end."""
+    which = (F.col("o_orderkey") % len(TEMPLATES)).cast("int")
     return table(spark, sf_dir, "orders").select(
         F.col("o_custkey").alias("c_custkey"),
         "o_orderkey",
         "o_orderstatus",
-        F.concat_ws(" ", F.lit(TEMPLATE), "o_orderpriority").alias("text"),
+        F.concat(
+            F.get(F.array(*map(F.lit, TEMPLATES)), which),
+            F.lit(" "),
+            F.col("o_orderpriority"),
+            F.lit(" {{Field "),
+            (F.col("o_custkey") % 5).cast("string"),
+            F.lit("}}"),
+            F.repeat(F.lit(" {{Status}}"), (F.col("o_custkey") % 4).cast("int")),
+            F.when(F.col("o_custkey") % 3 == 0, F.lit(" {{Order Number")).otherwise(F.lit("")),
+        ).alias("text"),
     )
 
 
