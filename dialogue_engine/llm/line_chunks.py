@@ -1,16 +1,24 @@
 """Removal of repeated passages of lines, with DataFrame functions only.
 
-The lines of a document are cut into chunks where a rolling hash over the hashes of
-neighbouring lines says so. A boundary depends on the two lines around it alone, so lines put in or
-left out shift no other boundary, and the same lines give the same chunks in every document.
-Chunks of two lines or more that occur again, anywhere in the corpus, are removed except for
-the first occurrence, once their bytes have been compared with it. Single lines stay, since a
-line alone may repeat for good reasons.
-
-The texts are cut twice and moved twice at most: only hashes of chunks are counted, which are
-partial aggregates, so a chunk that a third of all documents have is one row per task; then
-only the texts of repeated chunks are dealt out by their hash, in a join that Spark can split;
-and last the documents meet the list of what to leave out.
+A rolling hash over the hashes of two neighbouring lines decides where a boundary lies. The two
+lines around a boundary are a chunk. What makes a chunk lies inside it, so the same two lines
+give the same chunk in every document, whatever stands before, between or after, and lines put
+in or left out shift no other chunk. Boundaries are dense: half of the passages that repeat have
+two lines only, and would be missed by longer chunks, whose ends depend on lines outside. Chunks of
+a longer passage overlap and add up to it.
+
+Chunks that occur again, anywhere in the corpus, are removed except for the first occurrence,
+once their bytes have been compared with it. Single lines stay, and so do two lines with few words,
+since these may repeat for good reasons.
+
+Where the data goes:
+
+1. Hashes of chunks are counted by partial aggregates, so a chunk that a third of all documents
+   have is one row per task. Those with two places or more meet their places again, without text,
+   in a join that Spark can split.
+2. The documents meet the list of their repeated chunks and give out the texts of these alone,
+   which are compared with the text of the first place, in a join that Spark can split.
+3. The documents meet the list of what to leave out.
 """
 
 from collections.abc import Callable
@@ -21,10 +29,10 @@ from pyspark.sql import functions as F
 from dialogue_engine.llm.tables import dealt, document_key, unused
 from dialogue_engine.scratch import written
 
-# A boundary stands where the rolled hash starts with a hex digit below this one, which is 5 in 16,
-# and at least after so many lines.
-CUT_BELOW = "5"
-MOST_LINES = 32
+# A boundary lies where the rolled hash starts with a hex digit below this one: at 15 of 16 places.
+CUT_BELOW = "f"
+# Words of a chunk, at least.
+LEAST_WORDS = 10
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -32,93 +40,77 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def _starts(lines: Column) -> Column:
-    """Numbers, from 0, of the lines that start a chunk.
-
-    Line i starts one when the hash of lines i-1 and i says so, and every ``MOST_LINES``-th line
-    of a chunk does, counted from its start.
-    """
-    hashes = F.transform(lines, lambda line: F.md5(line))
-
-    def cut(rolled: Column) -> Column:
-        marked = F.transform(
-            rolled, lambda h, i: F.when((i == 0) | (F.substring(h, 1, 1) < CUT_BELOW), i)
-        )
-        return F.filter(marked, lambda i: i.isNotNull())
-
-    def roll(h: Column) -> Column:
-        before = F.concat(F.array(F.lit("")), F.slice(h, 1, F.greatest(F.size(h) - 1, F.lit(0))))
-        return F.zip_with(h, before, lambda a, b: F.md5(F.concat(b, a)))
-
-    natural = _let(_let(hashes, roll), cut)
-
-    def bounded(starts: Column) -> Column:
-        ends = F.concat(F.slice(starts, 2, F.size(starts)), F.array(F.size(lines)))
-        return F.flatten(
-            F.zip_with(starts, ends, lambda a, b: F.sequence(a, b - 1, F.lit(MOST_LINES)))
-        )
-
-    return _let(natural, bounded)
+def _lines(text: Column) -> Column:
+    return F.split(F.coalesce(text, F.lit("")), "\n")
 
 
 def _chunks(text: Column) -> Column:
-    """array<struct<at, lines, text>>: the chunks of a text in order. Their texts joined by line
-    feeds are the text."""
+    """array<struct<at, hash>>: number of the first line, from 0, and hash of every chunk."""
 
     def cut(lines: Column) -> Column:
-        def pieces(starts: Column) -> Column:
-            ends = F.concat(F.slice(starts, 2, F.size(starts)), F.array(F.size(lines)))
-            return F.zip_with(
-                starts,
-                ends,
-                lambda a, b: F.struct(
-                    a.alias("at"),
-                    (b - a).alias("lines"),
-                    F.array_join(F.slice(lines, a + 1, b - a), "\n").alias("text"),
+        def chunks(hashes: Column) -> Column:
+            count = F.greatest(F.size(lines) - 1, F.lit(0))
+            words = F.transform(lines, lambda line: F.regexp_count(line, F.lit(r"[^\x20\x09-\x0D]+")))
+            rolled = F.zip_with(
+                F.slice(hashes, 1, count), F.slice(hashes, 2, count), lambda a, b: F.concat(a, b)
+            )
+            both = F.zip_with(F.slice(words, 1, count), F.slice(words, 2, count), lambda a, b: a + b)
+            marked = F.zip_with(
+                F.transform(rolled, lambda pair: F.struct(F.md5(pair).alias("cut"), F.xxhash64(pair).alias("hash"))),
+                both,
+                lambda c, n: F.when(
+                    (F.substring(c["cut"], 1, 1) < CUT_BELOW) & (n >= LEAST_WORDS), c["hash"]
                 ),
             )
+            placed = F.transform(marked, lambda h, i: F.struct(i.alias("at"), h.alias("hash")))
+            return F.filter(placed, lambda c: c["hash"].isNotNull())
 
-        return _let(_starts(lines), pieces)
+        return _let(F.transform(lines, lambda line: F.md5(line)), chunks)
 
-    return _let(F.split(F.coalesce(text, F.lit("")), "\n"), cut)
-
-
-def _occurrences(documents: DataFrame) -> DataFrame:
-    """The chunks of two lines or more that hold more than white space."""
-    cut = documents.select(document_key().alias("key"), F.explode(_chunks(F.col("text"))).alias("c"))
-    return cut.where((F.col("c.lines") > 1) & F.col("c.text").rlike(r"[^\x20\x09-\x0D]")).select(
-        "key",
-        F.col("c.at").alias("at"),
-        F.col("c.lines").alias("lines"),
-        F.col("c.text").alias("text"),
-        F.xxhash64("c.text", "c.lines").alias("hash"),
-    )
+    return _let(_lines(text), cut)
 
 
 def repeated_chunks(documents: DataFrame) -> DataFrame:
-    """(key, at, lines) of every chunk to remove: its bytes are those of an earlier chunk.
+    """(key, at) of every chunk to remove: its bytes are those of an earlier chunk.
 
     Earlier is by (doc_id, hash of the text, line). Two chunks with the same hash and other bytes
-    are not the same; of such the first one counts, and the others stay.
+    are not the same; of such the first one counts, and the others stay. Rows that agree in
+    doc_id and text are one document.
     """
-    place = F.struct("key", "at").alias("place")
+    keyed = documents.select(document_key().alias("key"), "text")
+    places = keyed.select("key", F.explode(_chunks(F.col("text"))).alias("c")).select(
+        "key", "c.at", "c.hash"
+    )
+    place = F.struct("key", "at")
     counted = (
-        _occurrences(documents)
-        .groupBy("hash")
+        places.groupBy("hash")
         .agg(F.min(place).alias("first"), F.max(place).alias("last"))
         .where("first <> last")
         .select("hash", "first")
     )
-    repeats = written(counted)
-    found = written(_occurrences(documents).join(dealt(repeats), "hash"))
-    here = F.struct("key", "at")
-    firsts = found.where(here == F.col("first")).select("hash", F.col("text").alias("first_text"))
-    others = found.where(here != F.col("first"))
-    # the same document, repeated, has the first chunk more than once
-    same = others.join(dealt(firsts.dropDuplicates(["hash"])), "hash").where(
-        F.col("text").cast("binary") == F.col("first_text").cast("binary")
+    listed = (
+        places.join(dealt(written(counted)), "hash")
+        .groupBy("key")
+        .agg(F.collect_set(F.struct("at", "hash", (place == F.col("first")).alias("is_first"))).alias("chunks"))
+    )
+    lines = _lines(F.col("text"))
+    with_text = F.transform(
+        "chunks",
+        lambda c: c.withField("text", F.array_join(F.slice(F.col("lines"), c["at"] + 1, F.lit(2)), "\n")),
+    )
+    found = written(
+        keyed.join(dealt(written(listed)), "key")
+        .select("key", "chunks", lines.alias("lines"))
+        .select("key", F.inline(with_text))
     )
-    return same.select("key", "at", "lines")
+    firsts = found.where("is_first").select("hash", F.col("text").alias("first_text"))
+    same = (
+        found.where("not is_first")
+        # the same document, repeated, has the first chunk more than once
+        .join(dealt(firsts.dropDuplicates(["hash"])), "hash")
+        .where(F.col("text").cast("binary") == F.col("first_text").cast("binary"))
+    )
+    return same.select("key", "at")
 
 
 def drop_repeated_lines(documents: DataFrame, counts: bool = False) -> DataFrame:
@@ -128,19 +120,22 @@ def drop_repeated_lines(documents: DataFrame, counts: bool = False) -> DataFrame
     Every row stays. A null text stays null; a text of which nothing is left is empty. Rows that
     agree in doc_id and text are one document and come out alike. Null ids are ids like others.
     """
-    key, gone, taken, kept = (unused(documents, n) for n in ("__key", "__gone", "__lines", "__kept"))
+    key, gone, left, kept = (unused(documents, n) for n in ("__key", "__gone", "__left", "__kept"))
     listed = (
         repeated_chunks(documents)
-        .distinct()
         .groupBy(F.col("key").alias(key))
-        .agg(F.collect_set("at").alias(gone), F.sum("lines").alias(taken))
+        .agg(F.collect_set("at").alias(gone))
     )
     joined = documents.withColumn(key, document_key()).join(dealt(written(listed)), key, "left")
-    rest = F.filter(_chunks(F.col("text")), lambda c: ~F.array_contains(gone, c["at"]))
-    cleaned = F.when(
-        F.col(gone).isNotNull(), F.array_join(F.transform(rest, lambda c: c["text"]), "\n")
-    ).otherwise(F.col("text"))
-    cleaned = joined.withColumn(kept, cleaned)
+    # both lines of each chunk go
+    every = F.sequence(F.lit(0), F.size(_lines(F.col("text"))) - 1)
+    lines_left = F.array_except(every, F.array_union(gone, F.transform(gone, lambda at: at + 1)))
+    joined = joined.withColumn(left, F.when(F.col(gone).isNotNull(), lines_left))
+    cleaned = _let(
+        _lines(F.col("text")),
+        lambda lines: F.array_join(F.transform(F.col(left), lambda i: F.get(lines, i)), "\n"),
+    )
+    cleaned = joined.withColumn(kept, F.when(F.col(gone).isNotNull(), cleaned).otherwise(F.col("text")))
     columns = []
     for field in documents.schema.fields:
         name = field.name
@@ -152,6 +147,7 @@ def drop_repeated_lines(documents: DataFrame, counts: bool = False) -> DataFrame
         else:
             columns.append(F.col(f"`{name}`"))
     if counts:
-        n_lines = F.size(F.split(F.coalesce(F.col("text"), F.lit("")), "\n")).cast("long")
-        columns += [n_lines.alias("n_lines"), F.coalesce(taken, F.lit(0)).cast("long").alias("n_removed")]
+        n_lines = F.size(_lines(F.col("text"))).cast("long")
+        removed = F.coalesce(n_lines - F.size(left), F.lit(0).cast("long"))
+        columns += [n_lines.alias("n_lines"), removed.alias("n_removed")]
     return cleaned.select(*columns)

@@ -87,36 +87,31 @@ LEFT JOIN classes ON list_sort(sets.s) = classes.s
 LEFT JOIN lowest ON lowest.rep = classes.rep
 """
 
-# Chunks of lines: cut where md5(md5(line before) || md5(line)) starts with a digit below 5, and every
-# 32 lines; a chunk of two lines or more goes if the same text came before.
+# Two neighbouring lines are a chunk where md5(md5(first) || md5(second)) starts with a digit below f
+# and they have ten words; both go if the same two stand at an earlier place.
 ORACLES["op5_line_dedup"] = """
 WITH cut AS (
-    SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) - 1 AS i
+    SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS i
     FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents)
 ),
-marked AS (
-    SELECT *, i = 0 OR substr(md5(lag(md5(line)) OVER w || md5(line)), 1, 1) < '5' AS cuts
-    FROM cut WINDOW w AS (PARTITION BY doc_id ORDER BY i)
-),
-runs AS (
-    SELECT *, max(CASE WHEN cuts THEN i END) OVER (PARTITION BY doc_id ORDER BY i) AS run
-    FROM marked
-),
-chunks AS (
-    SELECT doc_id, run + 32 * ((i - run) // 32) AS start, count(*) AS lines,
-           string_agg(line, chr(10) ORDER BY i) AS chunk
-    FROM runs GROUP BY ALL
+pairs AS (
+    SELECT doc_id, i, line, lead(line) OVER (PARTITION BY doc_id ORDER BY i) AS following FROM cut
 ),
 judged AS (
-    SELECT *, lines > 1 AND regexp_matches(chunk, '[^\\x20\\x09-\\x0D]')
-              AND row_number() OVER (PARTITION BY chunk, lines ORDER BY doc_id, start) > 1 AS again
-    FROM chunks
+    SELECT doc_id, i, row_number() OVER (PARTITION BY line, following ORDER BY doc_id, i) > 1 AS again
+    FROM pairs
+    WHERE substr(md5(md5(line) || md5(following)), 1, 1) < 'f'
+      AND len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+'))
+          + len(regexp_extract_all(following, '[^\\x20\\x09-\\x0D]+')) >= 10
+),
+gone AS (
+    SELECT doc_id, i FROM judged WHERE again
+    UNION SELECT doc_id, i + 1 FROM judged WHERE again
 ),
 cleaned AS (
-    SELECT doc_id, coalesce(string_agg(chunk, chr(10) ORDER BY start) FILTER (NOT again), '') AS rest,
-           sum(lines)::BIGINT AS n_lines,
-           coalesce(sum(lines) FILTER (again), 0)::BIGINT AS n_removed
-    FROM judged GROUP BY doc_id
+    SELECT cut.doc_id, count(*)::BIGINT AS n_lines, count(gone.i)::BIGINT AS n_removed,
+           coalesce(string_agg(line, chr(10) ORDER BY cut.i) FILTER (gone.i IS NULL), '') AS rest
+    FROM cut LEFT JOIN gone ON cut.doc_id = gone.doc_id AND cut.i = gone.i GROUP BY cut.doc_id
 )
 SELECT d.doc_id, CASE WHEN n_removed > 0 THEN rest ELSE d.text END AS text, d.lang, d.source,
        CASE WHEN n_removed > 0 THEN length(rest) ELSE d.n_chars END AS n_chars,
