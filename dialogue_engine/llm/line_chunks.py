@@ -78,8 +78,11 @@ def repeated_chunks(documents: DataFrame) -> DataFrame:
     doc_id and text are one document.
     """
     keyed = documents.select(document_key().alias("key"), "text")
-    places = keyed.select("key", F.explode(_chunks(F.col("text"))).alias("c")).select(
-        "key", "c.at", "c.hash"
+    # used twice, and cutting costs more than storing three numbers a line
+    places = written(
+        keyed.select("key", F.explode(_chunks(F.col("text"))).alias("c")).select(
+            "key", "c.at", "c.hash"
+        )
     )
     place = F.struct("key", "at")
     counted = (
