@@ -31,7 +31,9 @@ BUCKETS = 1 << 16
 SMOOTH = 1.0
 SHARPNESS = 40.0
 SEED = "resample"
-STEPS = 64
+# Steps that a range of keys is counted in at once, and rows that are put in order in the end.
+STEPS = 1024
+EDGE_ROWS = 10_000
 
 
 def _buckets(hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -116,34 +118,44 @@ def gumbel(seed: str = SEED) -> Column:
     return -F.log(-F.log(even))
 
 
+def _edge(keyed: DataFrame, key: str, wanted: int) -> tuple[DataFrame, int]:
+    """The rows among which the ``wanted``-th largest key is, and how many of them belong to the
+    ``wanted`` first. Of a range of keys one pass counts the rows in each of ``STEPS`` steps, and the
+    step with the cut is the next range, until few rows are left or all have one key."""
+    part, left = keyed, wanted
+    while True:
+        seen = part.agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("lo"), F.max(key).alias("hi"))
+        n, low, high = seen.first()
+        if n <= EDGE_ROWS or low == high:
+            return part, left
+        # the smallest and the largest key are in different steps
+        step = F.least(F.floor((F.col(key) - low) / (high - low) * STEPS), F.lit(STEPS - 1))
+        counts = {r["step"]: r["count"] for r in part.groupBy(step.alias("step")).count().collect()}
+        for at in sorted(counts, reverse=True):
+            if counts[at] >= left:
+                break
+            left -= counts[at]
+        part = part.where(step == at)
+
+
 def first_by_key(keyed: DataFrame, key: str, tie: list[str], share: float) -> DataFrame:
     """Add ``chosen``: whether a row is among the ceil(share * n) with the largest key.
 
     Of equal keys those come first that come first in the order of ``tie``. Rows equal in all
     are chosen together or not at all, and then count as far as they fit.
     """
-    step = F.floor(F.col(key) * STEPS).cast("long")
-    counted = keyed.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("rows"))
-    every = counted.agg(F.sum("rows")).first()[0] or 0
+    every = keyed.count()
     wanted = math.ceil(share * every)
-    # one row per step of the keys
-    edge = (
-        counted.withColumn("upto", F.sum("rows").over(Window.orderBy(F.col("step").desc())))
-        .where((F.col("upto") >= wanted) & (F.col("upto") - F.col("rows") < wanted))
-        .select("step", (wanted - F.col("upto") + F.col("rows")).alias("left"))
-        .first()
-    )
-    if edge is None:
+    if not wanted:
         return keyed.withColumn("chosen", F.lit(False))
+    edge, left = _edge(keyed, key, wanted)
+    # rows equal in all are one row here, so a third of the table may be alike
     order = [F.col(key).desc(), *(F.col(t) for t in tie)]
-    last = (
-        keyed.where(step == edge["step"])
-        .select(key, *tie)
-        .orderBy(*order)
-        .limit(int(edge["left"]))
-        .orderBy(F.col(key), *(F.col(t).desc() for t in tie))
-        .first()
-    )
+    groups = edge.groupBy(key, *tie).agg(F.count(F.lit(1)).alias("rows"))
+    for last in groups.orderBy(*order).toLocalIterator():
+        left -= last["rows"]
+        if left <= 0:
+            break
     before = F.col(key) > last[key]
     same = F.col(key) == last[key]
     for name in tie:

@@ -69,6 +69,23 @@ def test_cut_against_sorting(spark, share):
     assert got == {r[0] for r in order[: math.ceil(share * 200)]}
 
 
+@pytest.mark.parametrize("share", [0.0, 0.004, 0.3, 0.77, 1.0])
+def test_cut_in_many_small_steps(spark, monkeypatch, share):
+    """Close, far and equal keys; few rows are put in order, and a third of all are one row."""
+    monkeypatch.setattr(R, "STEPS", 4)
+    monkeypatch.setattr(R, "EDGE_ROWS", 3)
+    rng = random.Random(5)
+    rows = [(i, rng.choice([rng.random(), rng.random() * 1e-9, rng.random() * 1e9, -7.0]), i % 5) for i in range(400)]
+    rows += [(-1, 0.25, 0)] * 200
+    keyed = spark.createDataFrame(rows, "doc_id long, k double, tie long").repartition(5)
+    got = sorted(r.doc_id for r in R.first_by_key(keyed, "k", ["tie", "doc_id"], share).collect() if r.chosen)
+    order = sorted(rows, key=lambda r: (-r[1], r[2], r[0]))
+    wanted = [r[0] for r in order[: math.ceil(share * 600)]]
+    if wanted and wanted[-1] == -1:
+        wanted += [-1] * (200 - wanted.count(-1))
+    assert got == sorted(wanted)
+
+
 def test_noise_is_gumbel(spark):
     docs = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"))
     mean, dev = docs.select(R.gumbel().alias("g")).agg(F.avg("g"), F.stddev("g")).first()
