@@ -26,6 +26,8 @@ from dialogue_engine.scratch import written
 
 # Alternatives a query may have before it is given up for a weaker one.
 MOST_ALTERNATIVES = 64
+# Numbers summed up in one array.
+PART = 256
 
 
 @dataclass(frozen=True)
@@ -184,41 +186,71 @@ def candidates(documents: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame
     )
 
 
+def running_sums(values: Column, part: int = PART) -> Column:
+    """The sum of each number and those before it. Appending to an array copies it, so sums are made
+    in parts of a few numbers, and what lies before each part is added to them after."""
+
+    def added(numbers: Column) -> Column:
+        nothing = F.struct(F.lit(0).alias("sum"), F.array().cast("array<int>").alias("sums"))
+
+        def add(state: Column, number: Column) -> Column:
+            total = state["sum"] + number
+            return F.struct(total.alias("sum"), F.concat(state["sums"], F.array(total)).alias("sums"))
+
+        return F.aggregate(numbers, nothing, add)
+
+    def shifted(parts: Column) -> Column:
+        ends = added(F.transform(parts, lambda p: p["sum"]))["sums"]
+        before = F.concat(F.array(F.lit(0)), F.slice(ends, 1, F.size(ends) - 1))
+        return F.flatten(
+            F.zip_with(parts, before, lambda p, b: F.transform(p["sums"], lambda n: n + b))
+        )
+
+    def cut(numbers: Column) -> Column:
+        last = F.floor(F.greatest(F.size(numbers) - 1, F.lit(0)) / part).cast("int")
+        parts = F.transform(
+            F.sequence(F.lit(0), last), lambda i: added(F.slice(numbers, i * part + 1, part))
+        )
+        return _let(parts, shifted)
+
+    return _let(values, cut)
+
+
 def rule_spans(text: Column, rule: Rule, order: int) -> Column:
-    """array<struct<start, order, end, kind>> of the matches of a rule in a text."""
+    """array<struct<start, order, end, kind>> of the matches of a rule in a text. The work grows with
+    the length of the text, whatever the number of matches."""
     pattern = F.lit(rule.pattern)
+    none = F.array().cast("array<struct<start:int,order:int,end:int,kind:string>>")
 
     def placed(found: Column) -> Column:
-        # the length of what stands before each match, matches before it included
-        between = F.split(text, rule.pattern, -1)
-        steps = F.zip_with(
-            F.slice(between, 1, F.size(found["whole"])),
-            F.zip_with(found["whole"], found["part"], lambda w, p: F.struct(w.alias("w"), p.alias("p"))),
-            lambda gap, m: F.struct(
-                F.length(gap).alias("gap"), F.length(m["w"]).alias("size"), F.length(m["p"]).alias("part")
-            ),
+        # the lengths of what stands before each match, and of the match
+        sizes = F.transform(found["whole"], lambda w: F.length(w))
+        gaps = F.transform(
+            F.slice(F.split(text, rule.pattern, -1), 1, F.size(found["whole"])), lambda g: F.length(g)
         )
-        none = F.array().cast("array<struct<start:int,order:int,end:int,kind:string>>")
-        start = F.struct(F.lit(0).alias("at"), none.alias("spans"))
-
-        def add(state: Column, m: Column) -> Column:
-            begin = state["at"] + m["gap"]
-            span = F.struct(
-                begin.alias("start"),
-                F.lit(order).alias("order"),
-                (begin + m["size"]).alias("end"),
-                F.lit(rule.kind).alias("kind"),
+
+        def spans(sized: Column) -> Column:
+            ends = running_sums(F.zip_with(sized["gaps"], sized["sizes"], lambda g, n: g + n))
+            placed = F.zip_with(
+                F.zip_with(ends, sized["sizes"], lambda e, n: F.struct((e - n).alias("start"), e.alias("end"))),
+                found["part"],
+                lambda at, p: F.struct(
+                    at["start"].alias("start"),
+                    F.lit(order).alias("order"),
+                    at["end"].alias("end"),
+                    F.lit(rule.kind).alias("kind"),
+                    F.length(p).alias("size"),
+                ),
             )
-            more = F.when(m["part"] >= rule.least, F.concat(state["spans"], F.array(span)))
-            return F.struct(
-                (begin + m["size"]).alias("at"), more.otherwise(state["spans"]).alias("spans")
+            kept = F.filter(placed, lambda m: m["size"] >= rule.least)
+            return F.transform(
+                kept, lambda m: F.struct(*(m[c].alias(c) for c in ("start", "order", "end", "kind")))
             )
 
-        return F.aggregate(steps, start, add, lambda state: state["spans"])
+        return _let(F.struct(gaps.alias("gaps"), sizes.alias("sizes")), spans)
 
     whole = F.regexp_extract_all(text, pattern, F.lit(0))
     part = F.regexp_extract_all(text, pattern, F.lit(rule.group)) if rule.group else whole
-    none = F.array().cast("array<struct<start:int,order:int,end:int,kind:string>>")
     # most texts have no match, and then nothing else is done
     return F.when(
         F.rlike(text, pattern),

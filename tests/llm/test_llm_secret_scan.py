@@ -1,9 +1,12 @@
 import hashlib
+import itertools
 import random
 import re
+import time
 
 from edges import documents, edge_documents, no_documents
 from helpers import plan
+from pyspark.sql import functions as F
 
 from dialogue_engine.llm import secret_scan as S
 
@@ -83,6 +86,30 @@ def test_candidates_answer_the_index(spark):
     assert TEXTS.index("nothing here") not in listed
 
 
+def test_running_sums(spark):
+    rng = random.Random(3)
+    rows = [([rng.randrange(9) for _ in range(n)],) for n in (0, 1, 2, 3, 4, 5, 8, 9, 50, 257)]
+    df = spark.createDataFrame(rows, "v array<int>")
+    for part in (1, 3, 4, 256):
+        got = df.select("v", S.running_sums(F.col("v"), part).alias("s")).collect()
+        assert [list(r.s) for r in got] == [list(itertools.accumulate(r.v)) for r in got]
+
+
+def test_very_many_matches(spark):
+    """100,000 keys in one text, some of them too short."""
+    rng = random.Random(8)
+    words = ["".join(rng.choices("0123456789abcdef", k=rng.choice([16, 20, 9]))) for _ in range(100_000)]
+    start = time.time()
+    row = S.secrets(documents(spark, [" ".join(words)])).first()
+    assert time.time() - start < 60
+    at, spans = 0, []
+    for word in words:
+        if len(word) >= 16:
+            spans.append(f"hex:{at}:{at + len(word)}")
+        at += len(word) + 1
+    assert row.n_hex == len(spans) > 60_000 and row.spans == ",".join(spans)
+
+
 def test_no_python_in_the_plan(spark):
     text = plan(S.secrets(documents(spark, TEXTS)))
     assert not any(word in text for word in ("Python", "Arrow", "Pandas", "BroadcastHash"))
