@@ -24,20 +24,22 @@ edited. Each place found is compared with its item by weighted shingles.
 
 Letters A-Z are lower-cased; words end at white space.
 
-The items are the query set and the documents pass by once. Items are taken in slices of a
-bounded number of fingerprints, so the index a task holds has a fixed size; with more items
-than one slice has, each document is looked up in one slice after the other.
+The items are the query set and the documents pass by. Items are taken in slices of a bounded
+number of fingerprints, so the index a task holds has a fixed size; with more items than one
+slice has, the documents pass by once for each slice.
 """
 
 from collections.abc import Iterator
-from itertools import combinations
+from functools import reduce
+from itertools import chain, combinations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dialogue_engine.llm.tables import dealt, unused
+from dialogue_engine.llm.tables import dealt, document_key, unused
 from dialogue_engine.llm.words import (
     as_bytes,
     blocks,
@@ -368,20 +370,18 @@ def _slices(items: DataFrame) -> Iterator[list[Item]]:
         yield held
 
 
-def _hits(spark, items: list[Item], total: int) -> Column:
-    sent = spark.sparkContext.broadcast(ItemIndex(items, total))
-
+def _hits(index: Broadcast) -> Column:
     @F.arrow_udf(f"array<{HIT}>")
     def hits(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        index = sent.value
-        index.open()
+        found = index.value
+        found.open()
         kind = pa.list_(
             pa.struct(
                 [("item_id", pa.int64()), ("start_word", pa.int32()), ("similarity", pa.float64())]
             )
         )
         for batch in texts:
-            yield pa.array(index.hits([t.lower() for t in as_bytes(batch)]), kind)
+            yield pa.array(found.hits([t.lower() for t in as_bytes(batch)]), kind)
 
     return hits(F.col("text"))
 
@@ -389,16 +389,42 @@ def _hits(spark, items: list[Item], total: int) -> Column:
 def with_hits(documents: DataFrame, benchmark: DataFrame, name: str = "hits") -> DataFrame:
     """Add the items each document contains: item_id, first word, similarity; empty if none.
 
-    Works row by row, so null ids and repeated rows are kept as they are. A null or empty text
-    contains nothing. Of equal places of an item the first one is given; items with the same
-    id are reported each. Of ``benchmark`` only ``item_id`` and ``text`` are read.
+    A null or empty text contains nothing. Null ids and repeated rows are kept as they are. Of
+    equal places of an item the first one is given; items with the same id are reported each. Of
+    ``benchmark`` only ``item_id`` and ``text`` are read.
+
+    With one slice of items the documents pass by once, row by row. With more, one slice after the
+    other is sent out, looked up in a pass of its own whose hits are written, and given back, so
+    no worker holds two; the hits then meet the documents by doc_id and hash of the text.
     """
     spark = documents.sparkSession
     items = _counted(benchmark)
     total = items.count()
-    found = [_hits(spark, part, total) for part in _slices(items)]
+    slices = _slices(items)
+    first = next(slices, None)
+    if first is None:
+        return documents.withColumn(name, F.array().cast(f"array<{HIT}>"))
+    following = next(slices, None)
+    if following is None:
+        sent = spark.sparkContext.broadcast(ItemIndex(first, total))
+        return documents.withColumn(name, _hits(sent))
+    key = unused(documents, "__key")
+    passes = []
+    for number, part in enumerate(chain([first, following], slices)):
+        sent = spark.sparkContext.broadcast(ItemIndex(part, total))
+        found = documents.select(document_key().alias(key), "text").withColumn(name, _hits(sent))
+        # rows that agree in doc_id and text have the same hits
+        hits = found.where(F.size(name) > 0).select(key, F.lit(number).alias("slice"), name)
+        passes.append(written(hits.dropDuplicates([key])))
+        sent.unpersist()
+    every = F.array_sort(F.collect_list(F.struct("slice", name)))
+    listed = reduce(DataFrame.unionByName, passes).groupBy(key).agg(
+        F.flatten(F.transform(every, lambda s: s[name])).alias(name)
+    )
+    joined = documents.withColumn(key, document_key()).join(dealt(written(listed)), key, "left")
     none = F.array().cast(f"array<{HIT}>")
-    return documents.withColumn(name, F.concat(*found) if found else none)
+    columns = [F.col(f"`{c}`") for c in documents.columns]
+    return joined.select(*columns, F.coalesce(name, none).alias(name))
 
 
 def contaminations(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -412,4 +438,4 @@ def drop_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that contain no item, with all their columns."""
     name = unused(documents, "__hits")
     flagged = with_hits(documents, benchmark, name)
-    return flagged.where(F.size(name) == 0).select(*documents.columns)
+    return flagged.where(F.size(name) == 0).select(*(f"`{c}`" for c in documents.columns))

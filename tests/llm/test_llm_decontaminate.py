@@ -110,6 +110,20 @@ def test_slices_add_up(spark, monkeypatch):
     assert hits(spark, texts) == whole
 
 
+def test_slices_with_nulls_repeats_and_odd_columns(spark, monkeypatch):
+    """In many slices, each with a pass of its own, rows and columns stay as they are."""
+    monkeypatch.setattr(D, "SLICE_FINGERPRINTS", 5)
+    item = " ".join(ITEMS[0])
+    rows = [(1, item, "x"), (1, item, "y"), (None, item, "z"), (2, None, "x"), (3, "", "x"), (4, "nothing of it", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, `a.b` string")
+    held = D.with_hits(docs, benchmark(spark, ITEMS)).collect()
+    assert sorted((str(r.doc_id), r["a.b"], len(r.hits)) for r in held) == [
+        ("1", "x", 1), ("1", "y", 1), ("2", "x", 0), ("3", "x", 0), ("4", "x", 0), ("None", "z", 1)
+    ]
+    kept = D.drop_contaminated(docs, benchmark(spark, ITEMS))
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [2, 3, 4]
+
+
 @pytest.mark.parametrize("items", [[], [[]], ITEMS])
 def test_edges(spark, items):
     docs = edge_documents(spark)
