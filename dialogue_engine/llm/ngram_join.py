@@ -544,8 +544,9 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
 
 def keep_one_per_group(documents: DataFrame) -> DataFrame:
     """The documents without near copies: one row of each component stays, with all its columns.
-    Documents without words all stay."""
-    key, size, tie = (unused(documents, n) for n in ("__key", "__shingles", "__tie"))
+    Documents without words all stay. Of rows that agree in doc_id and text that one stays whose
+    other columns come first, in their order; maps, which have no order, do not count."""
+    key, size, tie, rank = (unused(documents, n) for n in ("__key", "__shingles", "__tie", "__rank"))
     wanted = (
         near_duplicates(documents)
         .where("is_kept")
@@ -553,10 +554,17 @@ def keep_one_per_group(documents: DataFrame) -> DataFrame:
         .agg(F.max("n_shingles").alias(size))
     )
     alone = F.when(F.col(size) == 0, F.monotonically_increasing_id()).otherwise(F.lit(0))
+    others = [
+        F.col(f"`{f.name}`")
+        for f in documents.schema.fields
+        if f.name not in ("doc_id", "text") and "map<" not in f.dataType.simpleString()
+    ]
+    first = Window.partitionBy(key, tie).orderBy(*(others or [F.lit(0)]))
     return (
         documents.withColumn(key, document_key())
         .join(dealt(wanted), key)
         .withColumn(tie, alone)
-        .dropDuplicates([key, tie])
-        .select(*documents.columns)
+        .withColumn(rank, F.row_number().over(first))
+        .where(F.col(rank) == 1)
+        .select(*(f"`{c}`" for c in documents.columns))
     )

@@ -149,3 +149,14 @@ def test_edges(spark):
 def test_no_documents(spark):
     assert N.near_duplicates(no_documents(spark)).collect() == []
     assert N.keep_one_per_group(no_documents(spark)).collect() == []
+
+
+def test_rows_that_differ_elsewhere(spark):
+    """Of rows that agree in doc_id and text the first by their other columns stays, whatever the
+    order they come in; columns may have any name."""
+    rows = [(1, "a b c d e f", "z", 1), (1, "a b c d e f", "a", 9), (1, "a b c d e f", "a", 2), (2, "a b c d e f", "a", 0)]
+    for order in (rows, rows[::-1]):
+        docs = spark.createDataFrame(order, "doc_id long, text string, `a.b` string, n int").repartition(3)
+        kept = N.keep_one_per_group(docs)
+        assert kept.columns == docs.columns
+        assert [tuple(r) for r in kept.collect()] == [(1, "a b c d e f", "a", 2)]
