@@ -8,8 +8,8 @@ from dialogue_engine.functions.rounding import py_round
 from dialogue_engine.functions.text import normalised, strip_unicode, text_or_empty
 
 NGRAM = 8
-# Size of the pre-filter of asked n-grams, the same whatever their number: 2 MB in a task.
-BLOOM_BITS = 1 << 24
+# Size of the pre-filter of asked n-grams, the same whatever their number: half a megabyte in a task.
+BLOOM_BITS = 1 << 22
 # Prompts of more text than this would set so many bits that the filter keeps most of the data.
 BLOOM_TEXT = BLOOM_BITS
 
@@ -35,7 +35,11 @@ def _with_grams(df: DataFrame, text: str, n: int, *keep: str) -> DataFrame:
     many, and a run of n from the powers of two in n, so a run costs a few hashes of two numbers and
     no string. The words are those of ``normalised``, without building that text.
     """
-    blanks = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in C.BLANK_CHARS) + "]+"
+    # ranges, which the pattern compiler makes a table of where it can
+    codes = [ord(c) for c in C.BLANK_CHARS]
+    firsts = [c for c in codes if c - 1 not in codes]
+    lasts = [c for c in codes if c + 1 not in codes]
+    blanks = "[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in zip(firsts, lasts)) + "]+"
     stripped = strip_unicode(F.lower(text_or_empty(F.col(text))))
     words = F.when(stripped == "", F.array().cast("array<string>")).otherwise(F.split(stripped, blanks))
     hashed = df.select(*keep, words.alias("__w")).select(
@@ -67,6 +71,12 @@ def _with_grams(df: DataFrame, text: str, n: int, *keep: str) -> DataFrame:
     return hashed.select(*keep, grams.otherwise(F.array_distinct(name)).alias("__grams"))
 
 
+def _each(df: DataFrame, *keep: str) -> DataFrame:
+    """A row per n-gram, and one with null for a text without any. Spark would test an inner explode
+    for empty arrays before it makes them, and work out every step of theirs again for that."""
+    return df.select(*keep, F.explode_outer("__grams").alias("__gram"))
+
+
 def _slot(gram: Column) -> Column:
     """The bit of an n-gram in the pre-filter."""
     return F.pmod(gram, F.lit(BLOOM_BITS))
@@ -76,7 +86,7 @@ def _set_bits(grams: DataFrame) -> Column:
     """An array of 64-bit numbers in which every n-gram has set its bit, as a scalar subquery."""
     spark = grams.sparkSession
     parts = (
-        grams.select(F.explode("__grams").alias("__gram"))
+        grams.where(F.col("__gram").isNotNull())
         .select(_slot(F.col("__gram")).alias("slot"))
         .selectExpr("slot div 64 as id", "shiftleft(1L, cast(slot % 64 as int)) as bit")
         .groupBy("id")
@@ -84,7 +94,7 @@ def _set_bits(grams: DataFrame) -> Column:
     )
     every = spark.range(BLOOM_BITS // 64).join(parts, "id", "left")
     part = F.struct("id", F.coalesce("bits", F.lit(0).cast("long")).alias("bits"))
-    return every.agg(F.array_sort(F.collect_list(part))["bits"].alias("bits")).scalar()
+    return every.agg(F.sort_array(F.collect_list(part))["bits"].alias("bits")).scalar()
 
 
 def held_out_overlap(
@@ -105,22 +115,17 @@ def held_out_overlap(
     fixed size, is looked into where the data is, and little more than what was asked for moves
     at all. The result does not depend on it.
     """
-    asked = _with_grams(prompts, prompt, n, id_col)
-    known = _with_grams(cases, instruction, n).select(F.explode("__grams").alias("__gram"))
+    asked = _each(_with_grams(prompts, prompt, n, id_col), id_col)
+    known = _each(_with_grams(cases, instruction, n)).where(F.col("__gram").isNotNull())
     text = prompts.agg(F.sum(F.octet_length(prompt).cast("long"))).first()[0] or 0
     if text <= BLOOM_TEXT:
         slot = _slot(F.col("__gram"))
         part = F.get(_set_bits(asked), F.floor(slot / 64).cast("int"))
         known = known.where(F.getbit(part, (slot % 64).cast("int")) == 1)
-    found = (
-        asked.select(id_col, F.explode("__grams").alias("__gram"))
-        .join(known.distinct(), "__gram", "left_semi")
+    ngrams, found = F.count("__gram"), F.count("__known")
+    share = F.coalesce(found / F.nullif(ngrams, F.lit(0).cast("long")), F.lit(0.0))
+    return (
+        asked.join(known.distinct().withColumn("__known", F.lit(True)), "__gram", "left")
         .groupBy(id_col)
-        .agg(F.count(F.lit(1)).alias("found"))
-    )
-    counts = asked.select(id_col, F.size("__grams").cast("long").alias("ngrams"))
-    hits = F.coalesce("found", F.lit(0).cast("long"))
-    share = F.coalesce(hits / F.nullif(F.col("ngrams"), F.lit(0).cast("long")), F.lit(0.0))
-    return counts.join(found, id_col, "left").select(
-        id_col, "ngrams", hits.alias("found"), py_round(share, 4).alias("share")
+        .agg(ngrams.alias("ngrams"), found.alias("found"), py_round(share, 4).alias("share"))
     )
