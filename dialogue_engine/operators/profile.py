@@ -11,7 +11,7 @@ from dialogue_engine.functions.rounding import py_round
 from dialogue_engine.functions.text import char_length, word_count
 
 # Keys that cut a range in two or more, per pass; rows before a position that may be gathered.
-PREVIEW_BOUNDS = 32
+PREVIEW_BOUNDS = 8
 PREVIEW_ROWS = 10_000
 # Size of a distinct-count sketch as a power of two, and of a quantile sketch.
 DISTINCT_LG_K = 14

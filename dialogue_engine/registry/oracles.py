@@ -469,8 +469,8 @@ SELECT CAST(position AS BIGINT) AS position, name AS "column", type, rows,
 FROM c, (VALUES (0, 'case_id', 'bigint'), (1, 'instruction', 'string'), (2, 'response', 'string'),
   (3, 'category', 'string'), (4, 'intent', 'string'), (5, 'flags', 'string')) AS v(position, name, type)""",
     "preview": "SELECT * FROM documents ORDER BY doc_id LIMIT 3 OFFSET 5",
-    "preview_far": """SELECT l_orderkey, l_linenumber, l_partkey, CAST(l_shipdate AS VARCHAR) AS shipped
-FROM lineitem ORDER BY l_orderkey, l_linenumber LIMIT 25 OFFSET 20000""",
+    "preview_far": """SELECT o_orderkey, o_custkey, o_orderpriority
+FROM orders ORDER BY o_orderkey LIMIT 25 OFFSET 12000""",
     "in_scope_table": f"""WITH {CASES}, chosen AS (
   SELECT category FROM cases GROUP BY category HAVING count(*) % 2 = 0)
 SELECT case_id, category, md5(response) AS response FROM cases WHERE category IN (SELECT category FROM chosen)""",

@@ -698,11 +698,8 @@ def preview(spark, sf_dir):
 
 @query
 def preview_far(spark, sf_dir):
-    rows = profile.preview(
-        table(spark, sf_dir, "lineitem"), 25, ["l_orderkey", "l_linenumber"], offset=20_000
-    )
-    shipped = F.col("l_shipdate").cast("string").alias("shipped")
-    return rows.select("l_orderkey", "l_linenumber", "l_partkey", shipped)
+    rows = profile.preview(table(spark, sf_dir, "orders"), 25, ["o_orderkey"], offset=12_000)
+    return rows.select("o_orderkey", "o_custkey", "o_orderpriority")
 
 
 @query
