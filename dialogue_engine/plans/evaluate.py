@@ -59,11 +59,11 @@ def evaluate(
             resume_generate(
                 prompt_messages(fan_out(prompts, [m])),
                 {m: load[m]},
-                f"{answers}/{place}",
+                f"{answers}/{md5(m.encode()).hexdigest()}",
                 partitions,
                 steps=steps,
             )
-            for place, m in enumerate(models)
+            for m in models
         ),
     ).select(F.lit(run_id).alias("run_id"), "prompt_id", "prompt", "model", "output", "error")
     staging.write(answered, "responses", runs=[run_id])
