@@ -1,6 +1,6 @@
 """Test prompts must not come from the training data."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dialogue_engine import constants as C
@@ -12,6 +12,8 @@ NGRAM = 8
 BLOOM_BITS = 1 << 22
 # Prompts of more text than this would set so many bits that the filter keeps most of the data.
 BLOOM_TEXT = BLOOM_BITS
+# Bytes of text whose n-grams meet in one task, so that it sorts them in memory.
+TASK_TEXT = 1 << 23
 
 
 def held_out(
@@ -97,6 +99,14 @@ def _set_bits(grams: DataFrame) -> Column:
     return every.agg(F.sort_array(F.collect_list(part))["bits"].alias("bits")).scalar()
 
 
+def _text_size(df: DataFrame, text: str) -> int:
+    return df.agg(F.sum(F.octet_length(text).cast("long"))).first()[0] or 0
+
+
+def _tasks(text: int, spark: SparkSession) -> int:
+    return max(spark.sparkContext.defaultParallelism, -(-text // TASK_TEXT))
+
+
 def held_out_overlap(
     prompts: DataFrame,
     cases: DataFrame,
@@ -108,17 +118,22 @@ def held_out_overlap(
     """Per prompt how many of its different word n-grams the data has: (id, ngrams, found, share).
 
     ``id_col`` must be unique. A prompt without words has no n-grams and the share 0. N-grams are
-    compared by 64-bit hashes, which is all that moves. Those of the data are made distinct in each
-    task first, so a passage that a third of the data shares is a row per task.
+    compared by 64-bit hashes, which is all that moves.
 
     Unless the prompts are large themselves (``BLOOM_TEXT``), a bit array of their n-grams, of a
     fixed size, is looked into where the data is, and little more than what was asked for moves
-    at all. The result does not depend on it.
+    at all, each once per task. The hashes of large prompts and of their data are dealt out over as
+    many tasks as their text asks for (``TASK_TEXT``), where they are made distinct and sorted in
+    memory; made distinct before, those of a task's whole input would go to disk. The result does
+    not depend on either.
     """
     asked = _each(_with_grams(prompts, prompt, n, id_col), id_col)
     known = _each(_with_grams(cases, instruction, n)).where(F.col("__gram").isNotNull())
-    text = prompts.agg(F.sum(F.octet_length(prompt).cast("long"))).first()[0] or 0
-    if text <= BLOOM_TEXT:
+    text = _text_size(prompts, prompt)
+    if text > BLOOM_TEXT:
+        tasks = _tasks(max(text, _text_size(cases, instruction)), prompts.sparkSession)
+        asked, known = (side.repartition(tasks, "__gram") for side in (asked, known))
+    else:
         slot = _slot(F.col("__gram"))
         part = F.get(_set_bits(asked), F.floor(slot / 64).cast("int"))
         known = known.where(F.getbit(part, (slot % 64).cast("int")) == 1)

@@ -120,6 +120,20 @@ def test_held_out_overlap_against_sets(spark):
             assert all(r.share == (round(r.found / r.ngrams, 4) if r.ngrams else 0.0) for r in rows)
 
 
+def test_large_prompts_are_dealt_out_by_their_text(spark, monkeypatch):
+    """As many tasks as the text asks for, and no task that keeps the n-grams of its input."""
+    monkeypatch.setattr(heldout, "BLOOM_TEXT", -1)
+    monkeypatch.setattr(heldout, "TASK_TEXT", 100)
+    prompts = spark.createDataFrame([(i, f"p{i} q r s") for i in range(40)], "prompt_id long, prompt string")
+    for rows in (150, 300):
+        data = spark.createDataFrame([(f"p{i} q r s t",) for i in range(rows)], "instruction string")
+        size = sum(len(f"p{i} q r s t") for i in range(rows))
+        found = heldout.held_out_overlap(prompts, data, n=3)
+        dealt = re.findall(r"Exchange hashpartitioning\(__gram#\d+L, (\d+)\), REPARTITION_BY_NUM", plan(found))
+        assert dealt == [str(-(-size // 100))] * 2
+        assert {(r.ngrams, r.found) for r in found.collect()} == {(2, 2)}
+
+
 @pytest.mark.parametrize("kind", ["long", "string", "two", "ties", "nulls"])
 def test_preview_far_from_the_start(spark, monkeypatch, kind):
     monkeypatch.setattr(profile, "PREVIEW_ROWS", 20)
