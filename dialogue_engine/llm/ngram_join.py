@@ -22,8 +22,13 @@ How the work is laid out:
 4. Pairs inside lists are only formed between sets that are not connected yet, of similar size,
    and only where both have enough shingles left that such sets share. Each row carries a
    bitmap of its set's remaining shingles, which bounds what two sets can share before a pair is
-   given out. This makes the result exact and leaves nothing to do inside the large groups. The
-   lists of common shingles are worked on in pieces, pair of pieces by pair of pieces.
+   given out. In long lists it also carries a sketch of the whole set, the parity of the shingles
+   in 2**11 cells: in as many cells as two sketches differ, at least, the sets differ, so edited
+   copies of one text that are too far apart are not given out pair by pair. This makes the result
+   exact and leaves nothing to do inside the large groups. The lists of common shingles are worked
+   on in pieces, pair of pieces by pair of pieces.
+5. Before that, each set of a long list is paired only with the one whose sketch is nearest, one row
+   per set and list. What that joins, step 4 need not give out pair by pair.
 """
 
 from collections.abc import Iterator
@@ -50,8 +55,12 @@ CELLS_PER_ROW = 4096
 PIECE = 2048
 # What comparing two sets costs, in lookups.
 COMPARE_COST = 16
+# Bits of the sketch of a set, and the longest list whose rows go without.
+SKETCH_BITS = 2048
+SHORT_LIST = 8
 
 _U64 = np.uint64
+_NO_SKETCH = bytes(SKETCH_BITS // 8)
 _ID_SALTS = (_U64(0x5851F42D4C957F2D), _U64(0x14057B7EF767814F))
 
 
@@ -60,6 +69,12 @@ def least_common(size: np.ndarray) -> np.ndarray:
     return (SAME * size + OF - 1) // OF
 
 
+def most_apart(sizes: np.ndarray) -> np.ndarray:
+    """Shingles that only one of two similar sets has, at most, given the sum of their sizes: they
+    share at least 3/7 of that sum."""
+    return sizes - 2 * (-(-SAME * sizes // (SAME + OF)))
+
+
 def prefix_size(size: np.ndarray, matches: np.ndarray) -> np.ndarray:
     return size - least_common(size) + matches
 
@@ -70,14 +85,21 @@ def set_id(shingles: np.ndarray) -> tuple[int, int]:
     return tuple(int(part) for part in parts)
 
 
+def sketch_of(shingles: np.ndarray) -> bytes:
+    """The parity of the number of shingles in each of ``SKETCH_BITS`` cells. A shingle that only
+    one of two sets has flips one bit, so two sketches differ in no more bits than that."""
+    cells = np.bincount((shingles % _U64(SKETCH_BITS)).astype(np.int64), minlength=SKETCH_BITS)
+    return np.packbits((cells & 1).astype(np.uint8)).tobytes()
+
+
 def signatures(documents: DataFrame) -> DataFrame:
-    """Per document: size and signature of its set. Then, per task, its shingle counts.
+    """Per document: size, signature and sketch of its set. Then, per task, its shingle counts.
 
-    Rows of the first kind have ``doc_id``, ``text_hash``, ``n_shingles``, ``na``, ``nb``; rows
-    of the second have ``cells``, a piece of the counts, and its number ``row``.
+    Rows of the first kind have ``doc_id``, ``text_hash``, ``n_shingles``, ``na``, ``nb``,
+    ``sketch``; rows of the second have ``cells``, a piece of the counts, and its number ``row``.
     """
     schema = (
-        "doc_id bigint, text_hash bigint, n_shingles bigint, na bigint, nb bigint, "
+        "doc_id bigint, text_hash bigint, n_shingles bigint, na bigint, nb bigint, sketch binary, "
         "row int, cells array<int>"
     )
 
@@ -86,10 +108,11 @@ def signatures(documents: DataFrame) -> DataFrame:
         names = [part.split()[0] for part in schema.split(", ")]
         for batch in batches:
             texts = [text.lower() for text in as_bytes(batch.column("text"))]
-            sizes, ids, held, pending = [], [], [], 0
+            sizes, ids, sketches, held, pending = [], [], [], [], 0
             for found in shingle_sets(texts, WORDS):
                 sizes.append(len(found))
                 ids.append(set_id(found))
+                sketches.append(sketch_of(found))
                 held.append(found)
                 pending += len(found)
                 if pending > 1 << CELL_BITS:
@@ -103,6 +126,7 @@ def signatures(documents: DataFrame) -> DataFrame:
                     batch.column("text_hash"),
                     pa.array(sizes, pa.int64()),
                     *_id_columns(ids),
+                    pa.array(sketches, pa.binary()),
                     pa.nulls(rows, pa.int32()),
                     pa.nulls(rows, pa.list_(pa.int32())),
                 ],
@@ -114,7 +138,8 @@ def signatures(documents: DataFrame) -> DataFrame:
             bounds = pa.array(np.arange(len(pieces) + 1, dtype=np.int32) * CELLS_PER_ROW)
             cells = pa.ListArray.from_arrays(bounds, pa.array(pieces.ravel()))
             number = pa.array(np.arange(len(pieces), dtype=np.int32))
-            yield pa.RecordBatch.from_arrays([none] * 5 + [number, cells], names=names)
+            empty = [*[none] * 5, pa.nulls(len(pieces), pa.binary())]
+            yield pa.RecordBatch.from_arrays([*empty, number, cells], names=names)
 
     return documents.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(
         run, schema
@@ -295,13 +320,18 @@ def _head_pairs(shared: DataFrame) -> DataFrame:
     ).select("na", "nb", "ha", "hb")
 
 
-def _open_pairs(shared: DataFrame, labels: DataFrame) -> DataFrame:
+def _open_pairs(
+    shared: DataFrame, labels: DataFrame, sketches: DataFrame, nearest: bool = False
+) -> DataFrame:
     """Pairs of sets from different components so far that share enough of their prefixes.
 
     Only shingles with sets from two components are looked at, the rarest first. Their lists are
     cut into pieces of a bounded expected size, and every pair of pieces is a group of its own.
     A pair that needs N matches is looked at where its shingle is among the first ``s - N + 1`` of
     both sets, which holds for the first shingle they share; so none is missed.
+
+    With ``nearest`` only lists longer than ``SHORT_LIST`` are looked at, and of the pairs of a set
+    in a list with sets of later components the one with the nearest sketches.
     """
     node = F.struct("na", "nb")
     labelled = (
@@ -317,6 +347,7 @@ def _open_pairs(shared: DataFrame, labels: DataFrame) -> DataFrame:
             F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("freq")
         )
         .where("low <> high")
+        .where(F.col("freq") > (SHORT_LIST if nearest else 0))
         .select("token", "freq")
     )
     pieces = F.transform(
@@ -327,17 +358,22 @@ def _open_pairs(shared: DataFrame, labels: DataFrame) -> DataFrame:
     )
     # windows over the rows of one set, which are no more than its prefix
     own = Window.partitionBy("na", "nb")
+    remaining = {
+        "s": F.count(F.lit(1)).over(own).cast("int"),
+        "r": F.row_number().over(own.orderBy("freq", "token")) - 1,
+        **{b: F.bit_or(bit).over(own) for b, bit in zip(_BITS, _bitmap(F.col("token")))},
+    }
+    # the sketches are enough to find the nearest: any shingle may be shared, and be the first
+    unknown = {"s": F.col("n"), "r": F.lit(0), **{b: F.lit(0).cast("long") for b in _BITS}}
     units = (
         labelled.join(dealt(mixed), "token")
-        .withColumns(
-            {
-                "s": F.count(F.lit(1)).over(own).cast("int"),
-                "r": F.row_number().over(own.orderBy("freq", "token")) - 1,
-                **{b: F.bit_or(bit).over(own) for b, bit in zip(_BITS, _bitmap(F.col("token")))},
-            }
-        )
+        .withColumns(unknown if nearest else remaining)
+        .join(dealt(sketches), ["na", "nb"])
+        .withColumn("sketch", F.when(F.col("freq") > SHORT_LIST, F.col("sketch")))
         .select("*", F.explode(pieces).alias("unit"))
-        .select("token", "unit.u", "unit.v", "salt", "na", "nb", "n", "p", "s", "r", "label", *_BITS)
+        .select(
+            "token", "unit.u", "unit.v", "salt", "na", "nb", "n", "p", "s", "r", "label", *_BITS, "sketch"
+        )
     )
     schema = "na bigint, nb bigint, ha bigint, hb bigint"
 
@@ -346,20 +382,21 @@ def _open_pairs(shared: DataFrame, labels: DataFrame) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            col = {n: batch.column(n).to_numpy() for n in batch.schema.names}
+            col = {n: batch.column(n).to_numpy() for n in batch.schema.names if n != "sketch"}
+            col["sketch"] = _sketch_rows(batch.column("sketch"))
             key = np.stack([col["token"], col["u"], col["v"]])
             edge = np.flatnonzero((key[:, 1:] != key[:, :-1]).any(0)) + 1
             # the last group may go on in the next batch, the others are complete
             cut = int(edge[-1]) if len(edge) else 0
             if held and not cut and any(held[-1][n][-1] != col[n][0] for n in ("token", "u", "v")):
-                yield from _pairs_of(held)
+                yield from _pairs_of(held, nearest)
                 held = []
             if cut:
-                yield from _pairs_of([*held, {n: v[:cut] for n, v in col.items()}])
+                yield from _pairs_of([*held, {n: v[:cut] for n, v in col.items()}], nearest)
                 held = []
             held.append({n: v[cut:] for n, v in col.items()})
         if held:
-            yield from _pairs_of(held)
+            yield from _pairs_of(held, nearest)
 
     ordered = units.repartition("token", "u", "v").sortWithinPartitions("token", "u", "v", "label")
     return ordered.mapInArrow(run, schema).distinct()
@@ -375,10 +412,16 @@ def _bitmap(token: Column) -> list[Column]:
     return [F.when(word == i, bit).otherwise(F.lit(0).cast("long")) for i in range(8)]
 
 
-def _pairs_of(held: list[dict[str, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+def _sketch_rows(column: pa.Array) -> np.ndarray:
+    """A row of 64-bit numbers per sketch; of zeros, which differ nowhere, where there is none."""
+    joined = b"".join(sketch or _NO_SKETCH for sketch in column.to_pylist())
+    return np.frombuffer(joined, _U64).reshape(-1, SKETCH_BITS // 64)
+
+
+def _pairs_of(held: list[dict[str, np.ndarray]], nearest: bool) -> Iterator[pa.RecordBatch]:
     """Pairs inside complete groups: different labels, similar sizes, from the two pieces of the
     group, and able to share enough. Groups are ordered by label, so the rows of a large component
-    are never held against each other."""
+    are never held against each other. With ``nearest``, at most one pair per row."""
     col = {n: np.concatenate([part[n] for part in held]) for n in held[0]}
     n, rows = col["n"].astype(np.int64), len(col["n"])
     new_group = np.ones(rows, bool)
@@ -411,12 +454,27 @@ def _pairs_of(held: list[dict[str, np.ndarray]]) -> Iterator[pa.RecordBatch]:
         across = col["u"][left] != col["v"][left]
         keep &= ~across | (col["salt"][left] != col["salt"][right])
         left, right, need = left[keep], right[keep], need[keep]
+        found = []
         for at in range(0, len(left), 100_000):
             a, b = left[at : at + 100_000], right[at : at + 100_000]
             common = np.bitwise_count(bits[a] & bits[b]).sum(1, dtype=np.int64)
             able = common + np.minimum(lost[a], lost[b]) >= need[at : at + 100_000]
-            if able.any():
-                yield _pair_batch(col, a[able], b[able])
+            a, b = a[able], b[able]
+            apart = np.bitwise_count(col["sketch"][a] ^ col["sketch"][b]).sum(1, dtype=np.int64)
+            able = apart <= most_apart(n[a] + n[b])
+            a, b, apart = a[able], b[able], apart[able]
+            if nearest:
+                found.append((a, b, apart / (n[a] + n[b])))
+            elif len(a):
+                yield _pair_batch(col, a, b)
+        if found:
+            # all pairs of a left row are in one round of the loop
+            a, b, apart = (np.concatenate(part) for part in zip(*found))
+            order = np.lexsort((apart, a))
+            a, b = a[order], b[order]
+            best = np.diff(a, prepend=-1) > 0
+            if len(a):
+                yield _pair_batch(col, a[best], b[best])
         first = last
 
 
@@ -508,11 +566,15 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     labels = stars if stars is not None else first.select(
         F.col("a").alias("node"), F.col("b").alias("component")
     )
-    rest = written(_open_pairs(shared, labels))
-    if not rest.isEmpty():
-        second = _similar(rest, documents, filled)
-        links = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
-        labels = written(components(links.unionByName(second)))
+    sketches = (
+        rows.where("n_shingles > 0").groupBy("na", "nb").agg(F.first("sketch").alias("sketch"))
+    )
+    for nearest in (True, False):
+        rest = written(_open_pairs(shared, labels, sketches, nearest))
+        if not rest.isEmpty():
+            second = _similar(rest, documents, filled)
+            links = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
+            labels = written(components(links.unionByName(second)))
 
     node = F.struct("na", "nb")
     labelled = (

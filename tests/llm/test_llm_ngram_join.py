@@ -160,3 +160,59 @@ def test_rows_that_differ_elsewhere(spark):
         kept = N.keep_one_per_group(docs)
         assert kept.columns == docs.columns
         assert [tuple(r) for r in kept.collect()] == [(1, "a b c d e f", "a", 2)]
+
+
+def edited_copies(rng, copies, base=300, edits=8):
+    """Copies of one text whose edits leave most of them too far apart to link."""
+    words = [f"b{i}" for i in range(base)]
+    texts = []
+    for _ in range(copies):
+        mine = list(words)
+        for at in rng.sample(range(base), edits):
+            mine[at] = f"e{rng.randrange(10**9)}"
+        texts.append(" ".join(mine))
+    return texts
+
+
+def test_pairs_of_edited_copies_are_not_given_out(spark, monkeypatch):
+    """Copies that share most of their shingles and do not link: the pairs given out to be compared
+    grow no faster than the copies."""
+    given = []
+    similar = N._similar
+    monkeypatch.setattr(
+        N, "_similar", lambda pairs, *rest: given.append(pairs.count()) or similar(pairs, *rest)
+    )
+    compared = []
+    for copies in (20, 100):
+        texts = edited_copies(random.Random(copies), copies) + corpus(copies)
+        given.clear()
+        assert [v[1] for _, v in sorted(found(spark, texts).items())] == components_of(sets_of(texts))
+        compared.append(sum(given))
+    assert compared[1] <= 5 * compared[0]
+
+
+def test_nearest_pairs_are_one_per_row():
+    """In a list of sets of which any two could be similar, every set but the last is in one pair
+    with a later one."""
+    rng = random.Random(6)
+    rows = 40
+    sets = [np.array(rng.sample(range(10**6), 100), np.uint64) for _ in range(rows)]
+    zero, one = np.zeros(rows, np.int64), np.ones(rows, np.int64)
+    col = {"token": one, "u": zero, "v": zero, "salt": zero, "na": np.arange(rows), "nb": zero, "p": 100 * one}
+    col |= {"n": 1000 * one, "s": 1000 * one, "r": zero, "label": np.arange(rows)} | {b: zero for b in N._BITS}
+    col["sketch"] = np.stack([np.frombuffer(N.sketch_of(s), np.uint64) for s in sets])
+    every = sum(batch.num_rows for batch in N._pairs_of([col], nearest=False))
+    near = [batch.column("na").to_pylist() for batch in N._pairs_of([col], nearest=True)]
+    assert every == rows * (rows - 1) // 2
+    assert sorted(sum(near, [])) == list(range(rows - 1))
+
+
+def test_sketches_differ_in_no_more_bits_than_sets():
+    rng = random.Random(7)
+    for size in (1, 30, 3000):
+        every = [rng.randrange(2**64) for _ in range(size)]
+        x = np.array(every[: size - size // 4], np.uint64)
+        y = np.array(every[size // 4 :], np.uint64)
+        bits = [np.unpackbits(np.frombuffer(N.sketch_of(s), np.uint8)) for s in (x, y)]
+        assert (bits[0] != bits[1]).sum() <= 2 * (size // 4)
+    assert N.most_apart(np.int64(8)) == 0 and N.most_apart(np.int64(7)) == 1
